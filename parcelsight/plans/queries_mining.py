@@ -139,8 +139,8 @@ def _pca_sql() -> str:
         # The diagonal cell is its own square root's square, so the largest entry is positive.
         if p == 1:
             value = " + ".join(f"v{i} * v{j} * {cell(i, j)}" for i in k for j in k)
-            ctes.append(f"lead1 AS (SELECT *, {value} AS lambda FROM base1, vector1)")
-            rest = ", ".join(f"{cell(i, j)} - lambda * v{i} * v{j} AS {cell(i, j)}" for i, j in cells)
+            ctes.append(f"lead1 AS (SELECT *, {value} AS size1 FROM base1, vector1)")
+            rest = ", ".join(f"{cell(i, j)} - size1 * v{i} * v{j} AS {cell(i, j)}" for i, j in cells)
             ctes.append(f"base2 AS (SELECT {rest} FROM lead1)")
     z = [f"(({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER ())" for c in prep.FEATURES]
     score = [
