@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -17,6 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelsight.functions.fourier import FourierFeatures
+
 NUMERIC = ("PC1", "PC2")
 CATEGORICAL = ("order_segment", "traffic_level")
 # Levels a predictor may have to be spelled out as indicator columns.
@@ -123,35 +124,23 @@ def fit_svm(
     cost: float = 1.0,
     gamma: float | None = None,
     features: int = 64,
-    max_iter: int = 30,
+    max_iter: int = 15,
     seed: int = 123,
 ) -> PipelineModel:
     """Radial-kernel SVM with class probabilities.
 
     The kernel is approximated by random Fourier features, so training is linear in the
-    rows; probabilities come from a logistic curve over the margin. The features are SQL
-    expressions: the whole pipeline stays in the JVM and can be saved.
+    rows; probabilities come from a logistic curve over the margin.
     """
     train = train.filter(F.col(label).isNotNull())
     terms = _design(train, numeric, categorical)
-    gamma = gamma or 1.0 / len(terms)
-    random = np.random.default_rng(seed)
-    weights = random.normal(0.0, np.sqrt(2.0 * gamma), (features, len(terms)))
-    offsets = random.uniform(0.0, 2.0 * np.pi, features)
-    scale = float(np.sqrt(2.0 / features))
     inputs = [f"_x{i}" for i in range(len(terms))]
-    waves = [
-        f"{scale!r}D * cos({' + '.join(f'{float(w)!r}D * {x}' for w, x in zip(row, inputs))}"
-        f" + {float(b)!r}D) AS _f{j}"
-        for j, (row, b) in enumerate(zip(weights, offsets))
-    ]
     design = ", ".join(f"{t} AS {x}" for t, x in zip(terms, inputs))
     rows, classes = train.count(), _labels(train, label)
     stages = [
         _code_stage(label, classes),
         SQLTransformer(statement=f"SELECT *, {design} FROM __THIS__"),
-        SQLTransformer(statement=f"SELECT *, {', '.join(waves)} FROM __THIS__"),
-        VectorAssembler(inputCols=[f"_f{j}" for j in range(features)], outputCol="features"),
+        FourierFeatures.drawn(inputs, "features", features, gamma or 1.0 / len(terms), seed),
         LinearSVC(
             labelCol="label_code", predictionCol="prediction_code", rawPredictionCol="margin",
             regParam=1.0 / (cost * max(rows, 1)), maxIter=max_iter, standardization=False,

@@ -16,10 +16,14 @@ from parcelsight.operators.quality import require_rows
 AGENT_FEATURES = ("avg_delivery_time", "delay_rate", "avg_rating")
 
 
-def _scaled_frame(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+def _scaled_frame(
+    df: DataFrame, columns: Sequence[str], shift: float = 0.0
+) -> tuple[DataFrame, list[Column]]:
     """Feature vectors of the complete rows, and the scaled columns they are made of."""
     complete = df.na.drop("any", subset=list(columns))
-    values = [F.coalesce(v, F.lit(0.0)) for v in scaled(fit_moments(complete, columns))]
+    values = [
+        F.coalesce(v, F.lit(0.0)) + F.lit(shift) for v in scaled(fit_moments(complete, columns))
+    ]
     names = [f"_z{i}" for i in range(len(values))]
     frame = complete.withColumns(dict(zip(names, values)))
     return VectorAssembler(inputCols=names, outputCol="_features").transform(frame), values
@@ -75,9 +79,11 @@ def bisecting(
 ) -> DataFrame:
     """Hierarchical clusters by repeated splitting; incomplete rows keep NULL.
 
-    Merging bottom-up needs all pairs of rows; splitting top-down does not.
+    Merging bottom-up needs all pairs of rows; splitting top-down does not. The splitter
+    moves a centre by a fraction of its length, and the centre of scaled data is the origin:
+    without a shift, which changes no distance, it would never split.
     """
-    frame, _ = _scaled_frame(df, columns)
+    frame, _ = _scaled_frame(df, columns, shift=1.0)
     model = BisectingKMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_p").fit(
         frame.select("_features")
     )

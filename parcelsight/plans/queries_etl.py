@@ -111,7 +111,8 @@ def price_range_codes(star: DeliveryStar):
 @query(
     "warehouse_time",
     "WH-02",
-    "SELECT * FROM dim_time",
+    """SELECT * FROM dim_time
+    WHERE order_date IN (SELECT order_date FROM fact_delivery)""",
 )
 def warehouse_time(star: DeliveryStar):
     return warehouse.time_dimension(star.deliveries("order_date"))
