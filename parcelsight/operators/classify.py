@@ -20,13 +20,16 @@ from parcelsight.functions.fourier import FourierFeatures
 
 NUMERIC = ("PC1", "PC2")
 CATEGORICAL = ("order_segment", "traffic_level")
-# Levels a predictor may have to be spelled out as indicator columns.
+# Levels a label or a predictor may have to be spelled out one by one.
 MAX_LEVELS = 1_000
 
 
-def _labels(train: DataFrame, label: str) -> list[str]:
-    """Class names in lexical order."""
-    return [r[0] for r in train.select(label).na.drop().distinct().orderBy(label).collect()]
+def _levels(train: DataFrame, column: str) -> list[str]:
+    """Distinct known values in lexical order; an error if there are too many for classes."""
+    found = train.select(column).na.drop().distinct().limit(MAX_LEVELS + 1).collect()
+    if len(found) > MAX_LEVELS:
+        raise ValueError(f"{column} has more than {MAX_LEVELS} levels: not a class")
+    return sorted(r[0] for r in found)
 
 
 def _quoted(value: str) -> str:
@@ -49,7 +52,7 @@ def _tree_pipeline(
     estimator, train: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str]
 ) -> PipelineModel:
     train = train.filter(F.col(label).isNotNull())
-    classes = _labels(train, label)
+    classes = _levels(train, label)
     codes = [f"{c}_code" for c in categorical]
     stages = [
         _code_stage(label, classes),
@@ -105,14 +108,10 @@ def _design(
     moments = train.agg(
         *[F.avg(c).alias(f"m_{c}") for c in numeric],
         *[F.stddev_samp(c).alias(f"s_{c}") for c in numeric],
-        *[F.collect_set(c).alias(f"l_{c}") for c in categorical],
     ).first()
     terms = [f"((`{c}` - {moments[f'm_{c}']!r}D) / {(moments[f's_{c}'] or 1.0)!r}D)" for c in numeric]
     for c in categorical:
-        levels = sorted(moments[f"l_{c}"])
-        if len(levels) > MAX_LEVELS:
-            raise ValueError(f"{c} has {len(levels)} levels: too many for indicator columns")
-        terms += [f"if(`{c}` = {_quoted(v)}, 1D, 0D)" for v in levels]
+        terms += [f"if(`{c}` = {_quoted(v)}, 1D, 0D)" for v in _levels(train, c)]
     return terms
 
 
@@ -136,7 +135,7 @@ def fit_svm(
     terms = _design(train, numeric, categorical)
     inputs = [f"_x{i}" for i in range(len(terms))]
     design = ", ".join(f"{t} AS {x}" for t, x in zip(terms, inputs))
-    rows, classes = train.count(), _labels(train, label)
+    rows, classes = train.count(), _levels(train, label)
     stages = [
         _code_stage(label, classes),
         SQLTransformer(statement=f"SELECT *, {design} FROM __THIS__"),

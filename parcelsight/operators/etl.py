@@ -49,13 +49,16 @@ def complete(df: DataFrame, required: Sequence[str] = REQUIRED) -> DataFrame:
     return df.na.drop("any", subset=list(required))
 
 
-def clean_reviews(raw: DataFrame, order_by: Sequence[str], reference_date: str) -> DataFrame:
+def clean_reviews(
+    raw: DataFrame, order_by: Sequence[str], reference_date: str, unique: bool = False
+) -> DataFrame:
     """Raw review rows to cleaned reviews: number, date, type, then drop incomplete rows.
 
     Ids are given before incomplete rows are dropped, so a dropped row leaves a gap. Column
     names ignore case in Spark: the typed ``rating`` takes the place of the raw ``Rating``.
+    ``unique`` promises that ``order_by`` identifies a row, which spares a pass over the texts.
     """
-    typed = clean_fields(dense_ids(raw, order_by, "review_id"))
+    typed = clean_fields(dense_ids(raw, order_by, "review_id", unique=unique))
     return complete(spread_dates(typed, "review_id", reference_date))
 
 

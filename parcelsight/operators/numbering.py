@@ -18,6 +18,7 @@ SMALL = 50_000
 SKETCH = 10_000
 # Groups whose statistics are fitted together in one job.
 GROUPS_PER_JOB = 64
+MAX_GROUPS = 1_000
 
 
 def _spread_copies(rows: DataFrame, copies: str, number: str) -> DataFrame:
@@ -184,28 +185,37 @@ def order_statistics(
 
 
 def exact_median(df: DataFrame, column: str, small: int = SMALL) -> float | None:
-    """Median of the non-null values: mean of the two middle ones if their number is even."""
-    n = df.agg(F.count(column).alias("n")).first()["n"]
+    """Median of the non-null values: mean of the two middle ones if their number is even.
+
+    The search passes over the values several times, so only they are staged, once.
+    """
+    values = staged(df.select(column).na.drop(), "values")
+    n = values.count()
     if n == 0:
         return None
     ranks = sorted({(n - 1) // 2, n // 2})
-    middle = order_statistics(df, column, [(F.lit(True), r, n) for r in ranks], small)
+    middle = order_statistics(values, column, [(F.lit(True), r, n) for r in ranks], small)
     return sum(middle) / len(middle)
 
 
 def rank_thresholds(
     df: DataFrame, by: str, column: str, share: float, small: int = SMALL
 ) -> dict[object, float]:
-    """Per group the smallest value with at least ``share`` of the group at or under it."""
-    sizes = [
-        (r[by], r["n"]) for r in df.groupBy(by).agg(F.count(column).alias("n")).collect() if r["n"]
-    ]
+    """Per group the smallest value with at least ``share`` of the group at or under it.
+
+    Meant for groups that are classes: their sizes and thresholds are held by the driver.
+    """
+    values = staged(df.select(by, column).na.drop(subset=[column]), "values")
+    counts = values.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
+    sizes = [(r[by], r["n"]) for r in counts.limit(MAX_GROUPS + 1).collect()]
+    if len(sizes) > MAX_GROUPS:
+        raise ValueError(f"{by} has more than {MAX_GROUPS} groups: not a class")
     found: dict[object, float] = {}
     for i in range(0, len(sizes), GROUPS_PER_JOB):
         block = sizes[i : i + GROUPS_PER_JOB]
         targets = [
             (F.col(by).eqNullSafe(F.lit(g)), max(0, math.ceil(share * n) - 1), n) for g, n in block
         ]
-        values = order_statistics(df, column, targets, small)
-        found.update({g: v for (g, _), v in zip(block, values)})
+        cuts = order_statistics(values, column, targets, small)
+        found.update({g: v for (g, _), v in zip(block, cuts)})
     return found

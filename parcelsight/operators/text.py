@@ -19,21 +19,12 @@ from parcelsight.functions.words import LEXICON, STOP_WORDS, words_of
 from parcelsight.sources.scratch import staged
 
 # Longest word list turned into a literal set.
-LITERAL_WORDS = 20_000
+LITERAL_WORDS = 2_000
 
 WordList = Sequence[str] | DataFrame
 Lexicon = Sequence[tuple[str, str]] | DataFrame
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan that has fewer splits than the cluster has cores one split per core.
-
-    Only small inputs in few files qualify; a scan with enough splits is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _small_list(words: WordList) -> list[str] | None:
     """The words themselves if there are few, None if they must be joined."""
     if not isinstance(words, DataFrame):
@@ -44,7 +35,8 @@ def _small_list(words: WordList) -> list[str] | None:
 
 def _word_frame(like: DataFrame, words: WordList) -> DataFrame:
     if isinstance(words, DataFrame):
-        return words.select("word")
+        # Staged, so that the join is chosen by the list's measured size.
+        return staged(words.select("word").distinct(), "words")
     return like.sparkSession.createDataFrame([(w,) for w in words], "word string")
 
 
@@ -95,6 +87,14 @@ def term_counts(
     As long as ``review_id`` is the key of the reviews, the total is counted in the row the
     words come from and rides along; nothing is summed or joined back over the reviews.
     """
+    counts = _counted(reviews, review_id, text, stop, unique_ids)
+    return counts.select(review_id, "word", "n", "total")
+
+
+def _counted(
+    reviews: DataFrame, review_id: str, text: str, stop: WordList, unique_ids: bool
+) -> DataFrame:
+    """Term counts and totals; ``_lead`` marks one row per review where that is known."""
     small = _small_list(stop)
     rows = reviews.filter(F.col(text).isNotNull()).select(
         review_id, _kept_words(text, small or ()).alias("_words")
@@ -103,36 +103,65 @@ def term_counts(
         rows.select(
             review_id,
             F.size("_words").cast("bigint").alias("_size"),
-            F.explode("_words").alias("word"),
+            F.posexplode("_words").alias("_at", "word"),
         )
         .groupBy(review_id, "word")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("_size").alias("total"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max("_size").alias("total"),
+            (F.min("_at") == 0).alias("_lead"),
+        )
     )
     if small is None:
         counts = counts.join(_word_frame(reviews, stop), "word", "left_anti")
     if small is None or not unique_ids:
+        # Words have gone, or a review has several rows: sum up what is there.
         per_review = Window.partitionBy(review_id)
-        counts = counts.withColumn("total", F.sum("n").over(per_review))
-    return counts.select(review_id, "word", "n", "total")
+        counts = counts.withColumn("total", F.sum("n").over(per_review)).drop("_lead")
+    return counts
 
 
 def tf_idf(counts: DataFrame, review_id: str = "review_id") -> DataFrame:
-    """Add tf = n / total, idf = ln(reviews / reviews with the word) and their product.
+    """Add tf = n / total, idf = ln(reviews / reviews with the word) and their product."""
+    return _scored(staged(counts, "term-counts"), review_id)
+
 
-    The term counts are read three times, so they are staged, and the vocabulary is staged
-    too: its measured size decides between a broadcast and a skew-aware shuffled join.
+def review_tf_idf(
+    reviews: DataFrame,
+    review_id: str = "review_id",
+    text: str = "review_text",
+    stop: WordList = STOP_WORDS,
+    unique_ids: bool = True,
+) -> DataFrame:
+    """The same from the texts; the reviews are counted by their lead rows, unshuffled."""
+    counts = _counted(reviews, review_id, text, stop, unique_ids)
+    return _scored(staged(counts, "term-counts"), review_id)
+
+
+def _scored(counts: DataFrame, review_id: str) -> DataFrame:
+    """Scores of staged term counts.
+
+    The counts are read three times, which is why they are staged, and the vocabulary is
+    staged too: its measured size decides between a broadcast and a skew-aware shuffled join.
     """
-    counts = staged(counts, "term-counts")
+    if "_lead" in counts.columns:
+        reviews = counts.agg(F.count_if("_lead").alias("n")).scalar()
+    else:
+        reviews = counts.agg(F.count_distinct(review_id).alias("n")).scalar()
+    frequency = counts.groupBy("word").agg(F.count(F.lit(1)).alias("_df"))
     vocabulary = staged(
-        counts.groupBy("word").agg(F.count(F.lit(1)).alias("_df")), "vocabulary"
+        frequency.select("word", F.log(reviews.cast("double") / F.col("_df")).alias("idf")),
+        "vocabulary",
     )
-    reviews = counts.select(review_id).distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
-    tf = ratio(F.col("n"), F.col("total"))
-    idf = F.log(reviews.cast("double") / F.col("_df"))
     return counts.join(vocabulary, "word").select(
-        review_id, "word", "n", "total", tf.alias("tf"), idf.alias("idf"),
-        (tf * idf).alias("tf_idf"),
-    )
+        review_id,
+        "word",
+        "n",
+        "total",
+        ratio(F.col("n"), F.col("total")).alias("tf"),
+        "idf",
+        (ratio(F.col("n"), F.col("total")) * F.col("idf")).alias("tf_idf"),
+    )
 
 
 def first_terms(scored: DataFrame, k: int = 100, review_id: str = "review_id") -> DataFrame:
@@ -162,7 +191,7 @@ def _word_weights(lexicon: Lexicon) -> dict[str, int] | None:
 
 def _lexicon_frame(like: DataFrame, lexicon: Lexicon) -> DataFrame:
     if isinstance(lexicon, DataFrame):
-        return lexicon.select("word", "sentiment")
+        return staged(lexicon.select("word", "sentiment"), "lexicon")
     return like.sparkSession.createDataFrame(list(lexicon), "word string, sentiment string")
 
 

@@ -8,7 +8,7 @@ from parcelsight.functions import columns as C
 from parcelsight.operators import enrich, etl, numbering, olap, quality, warehouse
 from parcelsight.plans.registry import query, rounded
 from parcelsight.plans.star import LINE_KEY, DeliveryStar, sql_uniform
-from parcelsight.sources.readers import read_delimited, read_table
+from parcelsight.sources.readers import read_delimited, read_table, spread
 from parcelsight.sources.scratch import scratch_path, staged
 from parcelsight.sources.writers import replace_table, write_delimited, write_stage
 
@@ -78,7 +78,7 @@ _CLEANED = f"""WITH numbered AS (
         AND rating IS NOT NULL AND city IS NOT NULL""",
 )
 def cleaned_reviews(star: DeliveryStar):
-    return etl.clean_reviews(star.raw_reviews, ["Row Key"], "2001-08-01").select(
+    return etl.clean_reviews(star.raw_reviews, ["Row Key"], "2001-08-01", unique=True).select(
         "review_id", "order_date", "rating", "order_accuracy", "product_availability",
         "discount_applied", "price_range", "city", "agent_name", "agent_id", "review_text",
     )
@@ -92,7 +92,7 @@ def cleaned_reviews(star: DeliveryStar):
         l_quantity, l_extendedprice FROM lineitem""",
 )
 def numbered_deliveries(star: DeliveryStar):
-    lines = star.table("lineitem").select(*LINE_KEY, "l_quantity", "l_extendedprice")
+    lines = spread(star.table("lineitem")).select(*LINE_KEY, "l_quantity", "l_extendedprice")
     return numbering.dense_ids(lines, list(LINE_KEY))
 
 
@@ -178,7 +178,7 @@ def warehouse_deliveries(star: DeliveryStar):
     WHERE rating IS NOT NULL""",
 )
 def warehouse_reviews(star: DeliveryStar):
-    cleaned = etl.clean_reviews(star.raw_reviews, ["Row Key"], "2001-08-01")
+    cleaned = etl.clean_reviews(star.raw_reviews, ["Row Key"], "2001-08-01", unique=True)
     raw = star.raw_deliveries
     cities = warehouse.city_dimension(
         raw.select("city"), star.raw_reviews.select(F.col("Location").alias("city"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parcelsight.operators import bayes, classify, cluster, evaluate, olap, outliers, prep
+from parcelsight.operators.numbering import exact_median
 from parcelsight.plans.queries_olap import performance
 from parcelsight.plans.registry import query, rounded
 from parcelsight.plans.star import DeliveryStar, sql_uniform
@@ -35,8 +36,6 @@ def _features(star: DeliveryStar, *more: str):
         count(order_value_raw) AS known FROM fact_delivery""",
 )
 def median_order_value(star: DeliveryStar):
-    from parcelsight.operators.numbering import exact_median
-
     facts = star.deliveries("order_value_raw")
     median = exact_median(facts, "order_value_raw")
     return facts.agg(F.count("order_value_raw").alias("known")).select(
@@ -314,8 +313,13 @@ _ANOMALY = """diffs AS (SELECT delivery_id, city_id, distance_km, delivery_time_
         delay_diff, round(z_delay, 6) AS z_delay FROM scored WHERE abs(z_delay) > 1.75""",
 )
 def delay_anomalies(star: DeliveryStar):
+    return rounded(_anomalies(star), 6, "z_delay")
+
+
+def _anomalies(star: DeliveryStar):
     facts = star.deliveries("delivery_id", "city_id", "distance_km", "delivery_time_min", "sla_min")
-    return rounded(outliers.delay_anomalies(facts, 1.75), 6, "z_delay")
+    times = star.deliveries("delivery_time_min", "sla_min")
+    return outliers.delay_anomalies(facts, 1.75, times)
 
 
 @query(
@@ -340,11 +344,10 @@ def order_outliers(star: DeliveryStar):
         (SELECT count(*) FROM scored WHERE abs(z_delay) > 1.75) AS outlier_count""",
 )
 def executive_summary(star: DeliveryStar):
-    facts = star.deliveries("delivery_id", "city_id", "distance_km", "delivery_time_min", "sla_min")
     summary = olap.executive_summary(
         star.deliveries("delivery_time_min"),
         evaluate.compare({"Naive Bayes": _bayes_test(star)}),
-        outliers.delay_anomalies(facts, 1.75),
+        _anomalies(star),
     )
     return rounded(summary, 9, "avg_accuracy")
 

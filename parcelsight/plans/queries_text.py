@@ -43,7 +43,7 @@ _LEXICON = f"lexicon(word, sentiment) AS (VALUES {_ENTRIES})"
 
 
 def _reviews(star: DeliveryStar):
-    return text.spread(star.plain_reviews.select("review_id", "rating", "review_text"))
+    return star.spread_reviews.select("review_id", "rating", "review_text")
 
 
 @query(
@@ -120,7 +120,7 @@ def term_totals_joined(star: DeliveryStar):
 
 
 def _scored(star: DeliveryStar):
-    return text.tf_idf(text.term_counts(_reviews(star)))
+    return text.review_tf_idf(_reviews(star))
 
 
 def _nine(df):
@@ -132,6 +132,12 @@ def tf_idf(star: DeliveryStar):
     return _nine(_scored(star))
 
 
+@query("tf_idf_of_counts", "TXT-05 TXT-04 FN-14", f"WITH {_TF_IDF} SELECT * FROM tf_idf")
+def tf_idf_of_counts(star: DeliveryStar):
+    """The same scores from a table of term counts."""
+    return _nine(text.tf_idf(text.term_counts(_reviews(star))))
+
+
 @query(
     "first_tf_idf_terms",
     "TOP-03 TXT-05",

@@ -22,6 +22,7 @@ from parcelsight.functions.columns import (
 )
 from parcelsight.operators.enrich import complaint
 from parcelsight.operators.warehouse import date_parts
+from parcelsight.sources.readers import spread
 
 # The day reviews are dated back from: a parameter, since "today" cannot be reproduced.
 REFERENCE_DATE = "2001-08-01"
@@ -30,6 +31,8 @@ LINE_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 _ORDER_COLUMNS = {"time_id", "order_date", "delivery_time_raw", "traffic_level"}
 _CITY_COLUMNS = {"city_id"}
 _AGENT_COLUMNS = {"agent_id"}
+# Columns that take string and digest work per row.
+_COSTLY_COLUMNS = {"delivery_id", "customer_complaint"}
 
 
 def _line_key() -> Column:
@@ -121,6 +124,8 @@ class DeliveryStar:
         """fact_delivery with the given columns."""
         wanted = set(columns)
         rows = self.table("lineitem")
+        if wanted & _COSTLY_COLUMNS:
+            rows = spread(rows)
         if wanted & (_ORDER_COLUMNS | _CITY_COLUMNS):
             orders = self.table("orders")
             if wanted & _CITY_COLUMNS:
@@ -150,12 +155,13 @@ class DeliveryStar:
         "product_availability", "price_range", "review_text", "source",
     )
 
-    def _plain_reviews(self) -> DataFrame:
+    def _plain_reviews(self, documents: DataFrame | None = None) -> DataFrame:
+        documents = self.table("documents") if documents is None else documents
         doc = F.col("doc_id")
         day = days_before(
             REFERENCE_DATE, F.floor(uniform(["doc_id"], "order_date") * 61).cast("int")
         )
-        return self.table("documents").select(
+        return documents.select(
             "doc_id",
             doc.alias("review_id"),
             date_id(day).alias("time_id"),
@@ -174,6 +180,11 @@ class DeliveryStar:
         """fact_review without the two columns that need the labels."""
         return self._plain_reviews().select(*self._plain_columns)
 
+    @cached_property
+    def spread_reviews(self) -> DataFrame:
+        """The same, for work on the texts."""
+        return self._plain_reviews(spread(self.table("documents"))).select(*self._plain_columns)
+
     @cached_property
     def raw_reviews(self) -> DataFrame:
         """Reviews as the raw file has them: all text, with gaps and junk."""
@@ -232,7 +243,7 @@ class DeliveryStar:
             "weather", "vehicle_type", "is_festival",
         )
         return (
-            self.table("lineitem")
+            spread(self.table("lineitem"))
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
             .select(

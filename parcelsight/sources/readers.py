@@ -47,3 +47,13 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def run_sql(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
     """SQL text over DataFrames named in braces: ``run_sql(spark, "... FROM {t}", t=df)``."""
     return spark.sql(sql, **tables)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a file scan that has fewer splits than the cluster has cores one split per core.
+
+    Only a small input packed in a few row groups qualifies: without this, costly column
+    work over it would run in a single task. A scan with enough splits is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
