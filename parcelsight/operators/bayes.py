@@ -41,8 +41,11 @@ def fit(
             *[F.avg(c).alias(f"mean_{c}") for c in numeric],
             *[F.stddev_samp(c).alias(f"sd_{c}") for c in numeric],
         )
+        .limit(LITERAL_LEVELS + 1)
         .collect()
     )
+    if len(moments) > LITERAL_LEVELS:
+        raise ValueError(f"{label} has more than {LITERAL_LEVELS} values: not a class")
     rows = {r[label]: r for r in moments}
     labels = sorted(rows)
     total = sum(r["n"] for r in rows.values())

@@ -23,7 +23,13 @@ def write_delimited(df: DataFrame, path: str, mode: str = "errorifexists") -> st
 
 
 def write_stage(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Parquet result of one stage, replacing an earlier run of the same stage."""
+    """Parquet result of one stage, replacing an earlier run of the same stage.
+
+    With partition columns the rows are rebalanced first: one writer per folder for small
+    values, several for a value that holds a large share of the rows.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
