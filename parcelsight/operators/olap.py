@@ -15,7 +15,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelsight.functions.columns import percent, ratio
+from parcelsight.functions.columns import date_id, percent, ratio
 
 PART_COLUMNS = ("time_sum", "time_count", "delayed_sum", "row_count")
 METRICS = ("delivery_time_min", "order_value", "distance_km")
@@ -23,7 +23,12 @@ LEVELS = ("region", "city", "agent_name")
 
 
 def measure_parts(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Additive parts of mean delivery time and delay rate per key."""
+    """Additive parts of mean delivery time and delay rate per key.
+
+    A frame that already holds parts, by finer or other keys, is summed up further.
+    """
+    if set(PART_COLUMNS) <= set(facts.columns):
+        return facts.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in PART_COLUMNS])
     return facts.groupBy(*keys).agg(
         F.sum("delivery_time_min").alias("time_sum"),
         F.count("delivery_time_min").alias("time_count"),
@@ -57,20 +62,34 @@ def city_month(facts: DataFrame, dim_city: DataFrame, dim_time: DataFrame) -> Da
 
 
 def star_frame(
-    facts: DataFrame, dim_time: DataFrame, dim_city: DataFrame, dim_agent: DataFrame
+    facts: DataFrame,
+    dim_time: DataFrame | None = None,
+    dim_city: DataFrame | None = None,
+    dim_agent: DataFrame | None = None,
 ) -> DataFrame:
-    """Deliveries with date, city and agent name; the agent may be unknown."""
-    return (
-        facts.join(dim_time.select("time_id", "order_date"), "time_id")
-        .join(dim_city.select("city_id", "city"), "city_id")
-        .join(dim_agent.select("agent_id", "agent_name"), "agent_id", "left")
-        .select(*facts.columns, "order_date", "city", "agent_name")
-    )
+    """Deliveries with date, city and agent name from the given dimensions.
+
+    Date and city must be known, the agent need not be. A dimension nobody asks for is
+    left out, which spares its join.
+    """
+    frame, added = facts, []
+    if dim_time is not None:
+        frame = frame.join(dim_time.select("time_id", "order_date"), "time_id")
+        added.append("order_date")
+    if dim_city is not None:
+        frame = frame.join(dim_city.select("city_id", "city"), "city_id")
+        added.append("city")
+    if dim_agent is not None:
+        frame = frame.join(dim_agent.select("agent_id", "agent_name"), "agent_id", "left")
+        added.append("agent_name")
+    return frame.select(*facts.columns, *added)
 
 
 def agent_performance(dim_agent: DataFrame, deliveries: DataFrame, reviews: DataFrame) -> DataFrame:
     """Mean time, delay rate and mean rating per agent that has deliveries.
 
+    ``deliveries`` may be rows or their parts.
+
     Joining an agent's deliveries with its reviews first would multiply their numbers.
     Each side is reduced to one row per agent instead; the means are the same.
     """
@@ -94,10 +113,21 @@ def agent_performance(dim_agent: DataFrame, deliveries: DataFrame, reviews: Data
 
 
 def dice(
-    frame: DataFrame, cities: Sequence[str] | None, start: date | str, end: date | str
+    frame: DataFrame,
+    cities: Sequence[str] | None,
+    start: date | str,
+    end: date | str,
+    dated_ids: bool = False,
 ) -> DataFrame:
-    """Rows of the chosen cities (None: all) within an inclusive date range."""
-    inside = F.col("order_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    """Rows of the chosen cities (None: all) within an inclusive date range.
+
+    ``dated_ids`` tells that time_id is yyyymmdd: the range then also filters the fact
+    table itself, before any join.
+    """
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    inside = F.col("order_date").between(first, last)
+    if dated_ids:
+        inside = inside & F.col("time_id").between(date_id(first), date_id(last))
     return frame.filter(inside if cities is None else inside & F.col("city").isin(list(cities)))
 
 
@@ -117,10 +147,11 @@ def slice_and_pick(frame: DataFrame, traffic_levels: Sequence[str], metric: str)
 
 
 def drill(frame: DataFrame, level: str) -> DataFrame:
-    """Mean delivery time at one level of the hierarchy."""
+    """Mean delivery time at one level of the hierarchy, from rows or their parts."""
     level = chosen(level, LEVELS)
-    return frame.groupBy(F.col(level).alias("label")).agg(
-        F.avg("delivery_time_min").alias("avg_delivery_time")
+    mean = ratio(F.col("time_sum"), F.col("time_count"))
+    return measure_parts(frame, [level]).select(
+        F.col(level).alias("label"), mean.alias("avg_delivery_time")
     )
 
 

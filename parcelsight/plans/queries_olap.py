@@ -68,10 +68,9 @@ STAR_COLUMNS = ("delivery_id", "agent_id", "city_id", "time_id", "delivery_time_
 
 
 def _frame(star: DeliveryStar, *columns: str):
-    """Star join of the given fact columns, keys included."""
-    keys = [c for c in ("agent_id", "city_id", "time_id") if c not in columns]
-    facts = star.deliveries(*keys, *columns)
-    return olap.star_frame(facts, star.dim_time, star.dim_city, star.dim_agent)
+    """Deliveries with date and city."""
+    facts = star.deliveries("city_id", "time_id", *columns)
+    return olap.star_frame(facts, star.stored_dim_time, star.dim_city)
 
 
 @query(
@@ -84,7 +83,7 @@ def _frame(star: DeliveryStar, *columns: str):
 )
 def star_join(star: DeliveryStar):
     facts = star.deliveries(*STAR_COLUMNS)
-    return olap.star_frame(facts, star.dim_time, star.dim_city, star.dim_agent)
+    return olap.star_frame(facts, star.stored_dim_time, star.dim_city, star.dim_agent)
 
 
 @query(
@@ -105,7 +104,7 @@ def agent_performance(star: DeliveryStar):
 def performance(star: DeliveryStar):
     return olap.agent_performance(
         star.dim_agent,
-        star.deliveries("agent_id", "delivery_time_min", "delayed_flag"),
+        star.agent_parts(),
         star.plain_reviews.select("agent_key", "rating"),
     )
 
@@ -159,7 +158,9 @@ def daily_orders(star: DeliveryStar):
     FROM fact_delivery JOIN dim_city USING (city_id) GROUP BY city""",
 )
 def drill_to_city(star: DeliveryStar):
-    return rounded(olap.drill(_frame(star, "delivery_time_min"), "city"), 9, "avg_delivery_time")
+    facts = star.deliveries("city_id", "delivery_time_min", "delayed_flag")
+    parts = olap.measure_parts(facts, ["city_id"]).join(star.dim_city, "city_id")
+    return rounded(olap.drill(parts, "city"), 9, "avg_delivery_time")
 
 
 @query(
@@ -169,8 +170,8 @@ def drill_to_city(star: DeliveryStar):
     FROM fact_delivery f LEFT JOIN dim_agent a ON f.agent_id = a.agent_id GROUP BY agent_name""",
 )
 def drill_to_agent(star: DeliveryStar):
-    frame = _frame(star, "delivery_time_min")
-    return rounded(olap.drill(frame, "agent_name"), 9, "avg_delivery_time")
+    parts = olap.star_frame(star.agent_parts(), dim_agent=star.dim_agent)
+    return rounded(olap.drill(parts, "agent_name"), 9, "avg_delivery_time")
 
 
 LEVELS = """count(*)::BIGINT AS deliveries, round(avg(delivery_time_min), 9) AS avg_delivery_time,
@@ -184,8 +185,7 @@ LEVELS = """count(*)::BIGINT AS deliveries, round(avg(delivery_time_min), 9) AS
     FROM fact_delivery JOIN dim_place USING (city_id) GROUP BY ROLLUP (region, city, agent_id)""",
 )
 def place_agent_rollup(star: DeliveryStar):
-    facts = star.deliveries("city_id", "agent_id", "delivery_time_min", "delayed_flag")
-    parts = olap.measure_parts(facts, ["city_id", "agent_id"]).join(star.dim_place, "city_id")
+    parts = star.agent_parts("city_id").join(star.dim_place, "city_id")
     return _measured(olap.hierarchy_rollup(parts, ["region", "city", "agent_id"]))
 
 
@@ -214,7 +214,7 @@ def city_traffic_weather_cube(star: DeliveryStar):
 )
 def diced_orders(star: DeliveryStar):
     frame = _frame(star, "delivery_id", "delivery_time_min")
-    rows = olap.dice(frame, CITIES, START, END)
+    rows = olap.dice(frame, CITIES, START, END, dated_ids=True)
     return rows.select("delivery_id", "order_date", "city", "delivery_time_min")
 
 
@@ -231,7 +231,7 @@ def diced_orders(star: DeliveryStar):
 )
 def key_figures(star: DeliveryStar):
     frame = _frame(star, "delayed_flag", "customer_complaint")
-    figures = olap.key_figures(olap.dice(frame, CITIES, START, END))
+    figures = olap.key_figures(olap.dice(frame, CITIES, START, END, dated_ids=True))
     return figures.select(
         "orders",
         "delay_pct",

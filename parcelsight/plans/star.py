@@ -21,8 +21,10 @@ from parcelsight.functions.columns import (
     uniform,
 )
 from parcelsight.operators.enrich import complaint
+from parcelsight.operators.olap import measure_parts
 from parcelsight.operators.warehouse import date_parts
 from parcelsight.sources.readers import spread
+from parcelsight.sources.scratch import staged
 
 # The day reviews are dated back from: a parameter, since "today" cannot be reproduced.
 REFERENCE_DATE = "2001-08-01"
@@ -73,6 +75,7 @@ def _delivery_columns() -> dict[str, Column]:
         ),
         "city_id": F.col("c_nationkey"),
         "agent_id": F.col("s_name"),
+        "agent_number": F.col("l_suppkey"),
     }
 
 
@@ -120,6 +123,19 @@ class DeliveryStar:
         days = self.table("orders").select(F.to_date("o_orderdate").alias("d")).distinct()
         return days.select(*[c.alias(n) for n, c in date_parts(F.col("d")).items()])
 
+    @cached_property
+    def stored_dim_time(self) -> DataFrame:
+        """The date dimension as a table of known size, for joins with single deliveries."""
+        return staged(self.dim_time, "dim-time")
+
+    def agent_parts(self, *keys: str) -> DataFrame:
+        """Measure parts per agent (and more keys): the agent is named after the summing."""
+        facts = self.deliveries("agent_number", *keys, "delivery_time_min", "delayed_flag")
+        agents = self.table("supplier").select(
+            F.col("s_suppkey").alias("agent_number"), F.col("s_name").alias("agent_id")
+        )
+        return measure_parts(facts, ["agent_number", *keys]).join(agents, "agent_number")
+
     def deliveries(self, *columns: str) -> DataFrame:
         """fact_delivery with the given columns."""
         wanted = set(columns)

@@ -236,6 +236,8 @@ def test_gates(spark, tmp_path):
         cluster.kmeans(few.selectExpr("x avg_delivery_time", "x delay_rate", "x avg_rating"))
     with pytest.raises(ValueError):
         olap.drill(few, "x")
+    with pytest.raises(ValueError):
+        olap.slice_and_pick(few, ["Low"], "x")
     with pytest.raises(ValueError):
         quality.conform(few, ["x", "y"])
 
@@ -272,3 +274,24 @@ def test_fan_out_free_agent_means(spark):
     assert sorted(map(tuple, ours.collect())) == [
         pytest.approx(tuple(r)) for r in sorted(naive.collect())
     ]
+
+
+def test_drill_from_rows_and_from_parts(spark):
+    rows = spark.createDataFrame(
+        [("A", "x", 10.0, 1), ("A", "y", 20.0, 0), ("A", "y", None, 0), ("B", "y", 7.0, 0)],
+        "city string, agent_name string, delivery_time_min double, delayed_flag int",
+    )
+    parts = olap.measure_parts(rows, ["city", "agent_name"])
+    for frame in (rows, parts):
+        assert sorted(map(tuple, olap.drill(frame, "city").collect())) == [("A", 15.0), ("B", 7.0)]
+
+
+def test_dice_bounds_are_inclusive(spark):
+    frame = spark.createDataFrame(
+        [("A", 20240101), ("A", 20240131), ("A", 20240201), ("B", 20240115)],
+        "city string, time_id int",
+    ).withColumn("order_date", F.to_date(F.col("time_id").cast("string"), "yyyyMMdd"))
+    for dated in (False, True):
+        kept = olap.dice(frame, ["A"], "2024-01-01", "2024-01-31", dated)
+        assert sorted(values(kept, "time_id")) == [20240101, 20240131]
+        assert olap.dice(frame, None, "2024-01-01", "2024-01-31", dated).count() == 3
