@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +38,8 @@ def _word_frame(like: DataFrame, words: WordList) -> DataFrame:
     if isinstance(words, DataFrame):
         # Staged, so that the join is chosen by the list's measured size.
         return staged(words.select("word").distinct(), "words")
-    return like.sparkSession.createDataFrame([(w,) for w in words], "word string")
+    # From Arrow: a local relation, whose size Catalyst knows.
+    return like.sparkSession.createDataFrame(pa.table({"word": pa.array(words, pa.string())}))
 
 
 def _kept_words(text: str | Column, stop: Sequence[str]) -> Column:
@@ -192,7 +194,11 @@ def _word_weights(lexicon: Lexicon) -> dict[str, int] | None:
 def _lexicon_frame(like: DataFrame, lexicon: Lexicon) -> DataFrame:
     if isinstance(lexicon, DataFrame):
         return staged(lexicon.select("word", "sentiment"), "lexicon")
-    return like.sparkSession.createDataFrame(list(lexicon), "word string, sentiment string")
+    columns = {
+        "word": pa.array([w for w, _ in lexicon], pa.string()),
+        "sentiment": pa.array([s for _, s in lexicon], pa.string()),
+    }
+    return like.sparkSession.createDataFrame(pa.table(columns))
 
 
 def sentiment_scores(
@@ -244,7 +250,15 @@ def sentiment_totals(
     Only the classes' total is stated by the known results; that occurrences and not
     reviews are counted is an assumption.
     """
-    counts = word_counts(reviews, text, stop)
+    weights, small = _word_weights(lexicon), _small_list(stop)
+    if weights is not None and small is not None:
+        # Only known words leave the row they stand in.
+        known = [w for w in weights if w not in set(small)]
+        hits = F.filter(words_of(text), lambda w: w.isin(*known))
+        words = reviews.select(F.explode(hits).alias("word"))
+        counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        counts = word_counts(reviews, text, stop)
     return (
         counts.join(_lexicon_frame(reviews, lexicon), "word")
         .groupBy("sentiment")
