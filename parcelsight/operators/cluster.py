@@ -84,9 +84,13 @@ def bisecting(
     without a shift, which changes no distance, it would never split.
     """
     frame, _ = _scaled_frame(df, columns, shift=1.0)
-    model = BisectingKMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_p").fit(
-        frame.select("_features")
-    )
+    points = frame.select("_features").persist()
+    try:
+        model = BisectingKMeans(
+            k=k, seed=seed, featuresCol="_features", predictionCol="_p"
+        ).fit(points)
+    finally:
+        points.unpersist()
     labelled = model.transform(frame).select(
         *df.columns, (F.col("_p") + 1).cast("int").alias(name)
     )

@@ -174,8 +174,9 @@ def dimension_cube(parts: DataFrame, dims: Sequence[str]) -> DataFrame:
 
 
 def daily_orders(facts: DataFrame, dim_time: DataFrame) -> DataFrame:
-    """Orders per calendar day."""
-    per_id = facts.groupBy("time_id").agg(F.count(F.lit(1)).alias("orders"))
+    """Orders per calendar day, from rows or their parts."""
+    counted = F.sum("row_count") if "row_count" in facts.columns else F.count(F.lit(1))
+    per_id = facts.groupBy("time_id").agg(counted.alias("orders"))
     return (
         per_id.join(dim_time.select("time_id", "order_date"), "time_id")
         .groupBy("order_date")

@@ -28,8 +28,7 @@ def _measured(df):
     GROUP BY city, traffic_level""",
 )
 def city_traffic_delays(star: DeliveryStar):
-    facts = star.deliveries("city_id", "traffic_level", "delivery_time_min", "delayed_flag")
-    return _measured(olap.city_traffic(facts, star.dim_city))
+    return _measured(olap.city_traffic(star.order_parts("city_id", "traffic_level"), star.dim_city))
 
 
 @query(
@@ -39,8 +38,8 @@ def city_traffic_delays(star: DeliveryStar):
     JOIN dim_time USING (time_id) GROUP BY city, year, month""",
 )
 def city_month_delays(star: DeliveryStar):
-    facts = star.deliveries("city_id", "time_id", "delivery_time_min", "delayed_flag")
-    return _measured(olap.city_month(facts, star.dim_city, star.dim_time))
+    parts = star.order_parts("city_id", "time_id")
+    return _measured(olap.city_month(parts, star.dim_city, star.dim_time))
 
 
 @query(
@@ -148,7 +147,7 @@ def source_summary(star: DeliveryStar):
     JOIN dim_time t USING (time_id) GROUP BY t.order_date""",
 )
 def daily_orders(star: DeliveryStar):
-    return olap.daily_orders(star.deliveries("time_id"), star.dim_time)
+    return olap.daily_orders(star.order_parts("time_id"), star.dim_time)
 
 
 @query(
@@ -158,8 +157,8 @@ def daily_orders(star: DeliveryStar):
     FROM fact_delivery JOIN dim_city USING (city_id) GROUP BY city""",
 )
 def drill_to_city(star: DeliveryStar):
-    facts = star.deliveries("city_id", "delivery_time_min", "delayed_flag")
-    parts = olap.measure_parts(facts, ["city_id"]).join(star.dim_city, "city_id")
+    parts = olap.measure_parts(star.order_parts("city_id"), ["city_id"])
+    parts = olap.star_frame(parts, dim_city=star.dim_city)
     return rounded(olap.drill(parts, "city"), 9, "avg_delivery_time")
 
 
@@ -197,10 +196,8 @@ def place_agent_rollup(star: DeliveryStar):
     FROM fact_delivery JOIN dim_city USING (city_id) GROUP BY CUBE (city, traffic_level, weather)""",
 )
 def city_traffic_weather_cube(star: DeliveryStar):
-    facts = star.deliveries(
-        "city_id", "traffic_level", "weather", "delivery_time_min", "delayed_flag"
-    )
-    parts = olap.measure_parts(facts, ["city_id", "traffic_level", "weather"])
+    keys = ["city_id", "traffic_level", "weather"]
+    parts = olap.measure_parts(star.order_parts(*keys), keys)
     parts = parts.join(star.dim_city, "city_id")
     return _measured(olap.dimension_cube(parts, ["city", "traffic_level", "weather"]))
 
@@ -299,9 +296,7 @@ def event_volume(star: DeliveryStar):
     JOIN dim_city USING (city_id) GROUP BY city ORDER BY avg_delivery_time, city""",
 )
 def ranked_cities(star: DeliveryStar):
-    parts = olap.measure_parts(
-        star.deliveries("city_id", "delivery_time_min", "delayed_flag"), ["city_id"]
-    )
+    parts = olap.measure_parts(star.order_parts("city_id"), ["city_id"])
     named = parts.join(star.dim_city, "city_id").groupBy("city").agg(*olap.merged_measures())
     means = rounded(named.select("city", "avg_delivery_time"), 9, "avg_delivery_time")
     return means.orderBy("avg_delivery_time", "city")

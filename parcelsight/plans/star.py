@@ -21,7 +21,7 @@ from parcelsight.functions.columns import (
     uniform,
 )
 from parcelsight.operators.enrich import complaint
-from parcelsight.operators.olap import measure_parts
+from parcelsight.operators.olap import PART_COLUMNS, measure_parts
 from parcelsight.operators.warehouse import date_parts
 from parcelsight.sources.readers import spread
 from parcelsight.sources.scratch import staged
@@ -136,6 +136,30 @@ class DeliveryStar:
         )
         return measure_parts(facts, ["agent_number", *keys]).join(agents, "agent_number")
 
+    def order_parts(self, *keys: str) -> DataFrame:
+        """Measure parts per order, with attributes of the order (and of its lines) as keys.
+
+        The lines are summed per order on the way to the join with orders: the join's own
+        shuffle carries the sums, and an order with very many lines is one row in it.
+        """
+        known = _delivery_columns()
+        own = [k for k in keys if k not in _ORDER_COLUMNS | _CITY_COLUMNS]
+        lines = self.table("lineitem").select(
+            "l_orderkey", *[known[c].alias(c) for c in (*own, "delivery_time_min", "delayed_flag")]
+        )
+        parts = measure_parts(lines, ["l_orderkey", *own])
+        orders = self._orders(bool(_CITY_COLUMNS & set(keys)))
+        joined = parts.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        named = [F.col(k) if k in own else known[k].alias(k) for k in keys]
+        return joined.select(*named, *PART_COLUMNS)
+
+    def _orders(self, with_city: bool) -> DataFrame:
+        orders = self.table("orders")
+        if not with_city:
+            return orders
+        places = self.table("customer").select("c_custkey", "c_nationkey")
+        return orders.join(places, F.col("o_custkey") == F.col("c_custkey"))
+
     def deliveries(self, *columns: str) -> DataFrame:
         """fact_delivery with the given columns."""
         wanted = set(columns)
@@ -143,10 +167,7 @@ class DeliveryStar:
         if wanted & _COSTLY_COLUMNS:
             rows = spread(rows)
         if wanted & (_ORDER_COLUMNS | _CITY_COLUMNS):
-            orders = self.table("orders")
-            if wanted & _CITY_COLUMNS:
-                places = self.table("customer").select("c_custkey", "c_nationkey")
-                orders = orders.join(places, F.col("o_custkey") == F.col("c_custkey"))
+            orders = self._orders(bool(wanted & _CITY_COLUMNS))
             rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         if wanted & _AGENT_COLUMNS:
             agents = self.table("supplier").select("s_suppkey", "s_name")
