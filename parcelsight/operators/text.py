@@ -21,6 +21,9 @@ from parcelsight.sources.scratch import staged
 
 # Longest word list turned into a literal set.
 LITERAL_WORDS = 2_000
+# Frequent words whose weights are broadcast, and their greatest length.
+HOT_WORDS = 200_000
+HOT_LENGTH = 64
 
 WordList = Sequence[str] | DataFrame
 Lexicon = Sequence[tuple[str, str]] | DataFrame
@@ -143,19 +146,17 @@ def review_tf_idf(
 def _scored(counts: DataFrame, review_id: str) -> DataFrame:
     """Scores of staged term counts.
 
-    The counts are read three times, which is why they are staged, and the vocabulary is
-    staged too: its measured size decides between a broadcast and a skew-aware shuffled join.
+    The counts are read several times, which is why they are staged, and so is the
+    vocabulary, whose number of words is then known.
     """
     if "_lead" in counts.columns:
         reviews = counts.agg(F.count_if("_lead").alias("n")).scalar()
     else:
         reviews = counts.agg(F.count_distinct(review_id).alias("n")).scalar()
     frequency = counts.groupBy("word").agg(F.count(F.lit(1)).alias("_df"))
-    vocabulary = staged(
-        frequency.select("word", F.log(reviews.cast("double") / F.col("_df")).alias("idf")),
-        "vocabulary",
-    )
-    return counts.join(vocabulary, "word").select(
+    idf = F.log(reviews.cast("double") / F.col("_df")).alias("idf")
+    vocabulary = staged(frequency.select("word", "_df", idf), "vocabulary")
+    return _with_idf(counts, vocabulary).select(
         review_id,
         "word",
         "n",
@@ -166,6 +167,24 @@ def _scored(counts: DataFrame, review_id: str) -> DataFrame:
     )
 
 
+def _with_idf(counts: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Term counts with the weight of their word.
+
+    A big vocabulary is split. Fewer than HOT_WORDS words can each hold more than
+    1 / HOT_WORDS of all rows: these are broadcast, which settles most rows in place. Only
+    rows of rare words are shuffled, and no rare word can fill a partition.
+    """
+    rows = counts.count()
+    hot_above = rows // HOT_WORDS if vocabulary.count() > HOT_WORDS else 0
+    is_hot = (F.col("_df") > hot_above) & (F.length("word") <= HOT_LENGTH)
+    hot = vocabulary.filter(is_hot).select("word", "idf")
+    rare = vocabulary.filter(~is_hot).select("word", F.col("idf").alias("_idf"))
+    marked = counts.join(F.broadcast(hot), "word", "left")
+    settled = marked.filter(F.col("idf").isNotNull())
+    rest = marked.filter(F.col("idf").isNull()).drop("idf").join(rare, "word")
+    return settled.unionByName(rest.withColumnRenamed("_idf", "idf"))
+
+
 def first_terms(scored: DataFrame, k: int = 100, review_id: str = "review_id") -> DataFrame:
     """First k rows by term count (not by tf_idf); ties by review and word."""
     return scored.orderBy(F.desc("n"), review_id, "word").limit(k)

@@ -295,3 +295,16 @@ def test_dice_bounds_are_inclusive(spark):
         kept = olap.dice(frame, ["A"], "2024-01-01", "2024-01-31", dated)
         assert sorted(values(kept, "time_id")) == [20240101, 20240131]
         assert olap.dice(frame, None, "2024-01-01", "2024-01-31", dated).count() == 3
+
+
+def test_rare_words_are_scored_like_frequent_ones(spark, monkeypatch):
+    """Splitting the vocabulary must not change a score, whatever the number of hot words."""
+    long_word = "x" * 200
+    rows = [(i, "the " * 5 + f"cold cold food{i % 7} u{i} {long_word if i % 3 else ''}") for i in range(60)]
+    df = spark.createDataFrame(rows, "review_id int, review_text string")
+    whole = sorted(map(tuple, text.review_tf_idf(df).collect()))
+    assert len(whole) == 60 * 3 + 40
+    for hot in (1, 3, 20):
+        monkeypatch.setattr(text, "HOT_WORDS", hot)
+        assert sorted(map(tuple, text.review_tf_idf(df).collect())) == whole
+        assert sorted(map(tuple, text.tf_idf(text.term_counts(df)).collect())) == whole
