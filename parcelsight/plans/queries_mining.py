@@ -14,7 +14,7 @@ from parcelsight.sources.writers import load_models, save_models
 
 SEGMENT = """CASE WHEN order_value <= 25 THEN 'Low Value' WHEN order_value <= 60 THEN 'Medium Value'
     WHEN order_value > 60 THEN 'High Value' END"""
-# The feature columns with repaired values, as the reference order of steps has them.
+# The feature columns with repaired values.
 _CLEAN = """clean AS (SELECT * REPLACE (
         coalesce(order_value_raw, (SELECT quantile_cont(order_value_raw, 0.5) FROM fact_delivery))
             AS order_value,

@@ -34,9 +34,14 @@ def _kinds(types: dict[str, str]) -> dict[str, str]:
 
 def _canonical(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
+
+    def plain(v):
+        if v is None or v is pd.NaT or v != v:
+            return None
+        return v + 0.0 if isinstance(v, float) else v
+
     rows = [
-        tuple(None if v is None or v is pd.NaT or v != v else (v + 0.0 if isinstance(v, float) else v) for v in r)
-        for r in frame.astype(object).itertuples(index=False, name=None)
+        tuple(map(plain, r)) for r in frame.astype(object).itertuples(index=False, name=None)
     ]
     return sorted(rows, key=lambda r: tuple((v is not None, str(v)) for v in r))
 
