@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from parcelsight.llm.common import flat_list
@@ -21,12 +23,18 @@ END_ID = 0
 _SPACE = "\t-\r " + "".join(
     map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 )
-_PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
-_STARTS_AFTER_SPACE = re.compile(f"[{_SPACE}]+[^{_SPACE}]+")
-#: Kept pieces are dropped once they hold this many characters (about 100 MB in all).
-KEPT_CHARS = 4_000_000
-#: Pieces that one call of the library encodes as a single string.
-JOINED = 20_000
+#: A word of Latin letters with the white space before it; or else all up to the next white space.
+#: What follows such a word starts a new piece of the tokenizer's own, too.
+_PIECE = re.compile(
+    f"[{_SPACE}]*[A-Za-zÀ-ÖØ-öø-ɏ]+(?![^\\W\\d_])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+"
+)
+#: A piece that the tokenizer does not split; a blank before it is written as a letter of its own.
+_PLAIN = re.compile(" ?[A-Za-z]+")
+_BLANK_LETTER = "Ġ"
+#: Pieces met once only are dropped when this many are kept (about 100 MB in all).
+KEPT = 400_000
+#: Longer pieces are not kept for the next texts.
+LONGEST = 100
 
 
 class Encoder:
@@ -35,14 +43,11 @@ class Encoder:
     def __init__(self, path: str):
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = True
-        self._forget()
-
-    def _forget(self) -> None:
+        self._model = self._library.model
         self._slots: dict[str, int] = {}
-        self._chars = 0
         self._ids = np.zeros(1 << 16, np.int32)
         self._starts = np.zeros(1 << 14, np.int64)
-        self._used = 0
+        self._uses = np.zeros(1 << 14, np.int64)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with the end id, and where each text starts.
@@ -52,12 +57,14 @@ class Encoder:
         """
         parts = [_PIECE.findall(t) if t else [] for t in texts]
         pieces = flat_list(parts)
-        if self._chars > KEPT_CHARS:
-            self._forget()
-        new = list(set(pieces).difference(self._slots))
+        coded = pa.array(pieces, pa.string()).dictionary_encode()
+        different = coded.dictionary.to_pylist()
+        new = [p for p in different if p not in self._slots]
         if new:
             self._learn(new)
-        slots = np.fromiter(map(self._slots.__getitem__, pieces), np.int64, len(pieces))
+        slots = np.fromiter(map(self._slots.__getitem__, different), np.int64, len(different))
+        slots = slots[coded.indices.to_numpy()]
+        self._uses[: len(self._slots)] += np.bincount(slots, minlength=len(self._slots))
         starts = self._starts[slots]
         lengths = self._starts[slots + 1] - starts
         ends = np.cumsum(lengths)
@@ -66,39 +73,47 @@ class Encoder:
         before = np.concatenate(([0], ends))
         stops = before[np.cumsum([len(p) for p in parts], dtype=np.int64)]
         ids = np.insert(ids, stops, END_ID)
+        if len(self._slots) > KEPT:
+            self._forget()
         return ids, np.concatenate(([0], stops + np.arange(1, len(texts) + 1)))
 
     def _learn(self, pieces: list[str]) -> None:
-        whole = [p for p in pieces if _STARTS_AFTER_SPACE.fullmatch(p)]
-        rest = set(pieces).difference(whole)
-        for at in range(0, len(whole), JOINED):
-            self._learn_joined(whole[at : at + JOINED])
-        rest = list(rest)
-        for at in range(0, len(rest), JOINED):
-            some = rest[at : at + JOINED]
-            found = [e.ids for e in self._library.encode_batch_fast(some, add_special_tokens=False)]
-            self._keep(some, np.array(flat_list(found), np.int32), [len(x) for x in found])
-
-    def _learn_joined(self, pieces: list[str]) -> None:
-        """Encode pieces as one string: each starts with white space that follows something else."""
-        encoded = self._library.encode("".join(pieces), add_special_tokens=False)
-        ends = np.cumsum([len(p) for p in pieces])
-        offsets = np.array([a for a, _ in encoded.offsets], np.int64)
-        owner = np.searchsorted(ends, offsets, side="right")
-        counts = np.bincount(owner, minlength=len(pieces))
-        self._keep(pieces, np.array(encoded.ids, np.int32), counts)
-
-    def _keep(self, pieces: list[str], ids: np.ndarray, counts) -> None:
-        first, used = len(self._slots), self._used
+        plain, rest = [], []
+        for piece in pieces:
+            (plain if _PLAIN.fullmatch(piece) else rest).append(piece)
+        tokenize = self._model.tokenize
+        found = [[t.id for t in tokenize(p.replace(" ", _BLANK_LETTER))] for p in plain]
+        found += [e.ids for e in self._library.encode_batch_fast(rest, add_special_tokens=False)]
+        first, counts = len(self._slots), [len(x) for x in found]
+        used, last = int(self._starts[first]), first + len(found)
+        ids = np.fromiter(chain.from_iterable(found), np.int32, sum(counts))
         while used + len(ids) > len(self._ids):
             self._ids = np.concatenate((self._ids, np.zeros_like(self._ids)))
-        while first + len(pieces) + 1 > len(self._starts):
+        while last + 1 > len(self._starts):
             self._starts = np.concatenate((self._starts, np.zeros_like(self._starts)))
+            self._uses = np.concatenate((self._uses, np.zeros_like(self._uses)))
         self._ids[used : used + len(ids)] = ids
-        self._starts[first + 1 : first + len(pieces) + 1] = used + np.cumsum(counts)
-        self._slots.update(zip(pieces, range(first, first + len(pieces)), strict=True))
-        self._used += len(ids)
-        self._chars += sum(map(len, pieces))
+        self._starts[first + 1 : last + 1] = used + np.cumsum(counts)
+        self._uses[first:last] = 0
+        self._slots.update(zip(chain(plain, rest), range(first, last), strict=True))
+
+    def _forget(self) -> None:
+        """Keep the pieces met twice or more since the last time, if they are half or fewer."""
+        n = len(self._slots)
+        again = self._uses[:n] > 1
+        if np.count_nonzero(again) > KEPT // 2:
+            again[:] = False
+        names = [p for p, stay in zip(self._slots, again.tolist(), strict=True) if stay and len(p) <= LONGEST]
+        old = np.array([self._slots[p] for p in names], np.int64)
+        starts = self._starts[old]
+        lengths = self._starts[old + 1] - starts
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self._ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+        self._ids[:total] = ids
+        self._starts[1 : len(old) + 1] = ends
+        self._uses[: len(old)] = 1
+        self._slots = dict(zip(names, range(len(old)), strict=True))
 
 
 @lru_cache(maxsize=2)
