@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelsight.llm import orc_tokens, packing
+from parcelsight.llm import (
+    cross_polytope,
+    kneser_ney,
+    mixing,
+    odd_sketch,
+    orc_tokens,
+    ordinal,
+    packing,
+    quality_ledger,
+    secrets,
+    url_cascade,
+)
 from parcelsight.llm.common import table
 from parcelsight.sources.scratch import scratch_path
 
@@ -27,6 +38,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_kneser_ney")
+def kneser_ney_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser_ney.score_documents(table(spark, folder, "documents"))
+
+
 @query("op2_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents")).select(
@@ -34,8 +50,112 @@ def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_cross_polytope")
+def nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return cross_polytope.search(vectors.where("vec_id % 50 = 0"), vectors)
+
+
 @query("op4_orc_tokens")
 def stored_tokens(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "orc_tokens")
     orc_tokens.write_tokens(table(spark, folder, "documents"), path)
     return orc_tokens.summarize(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op5_ordinal_quality")
+def rated_documents(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = ordinal.train(documents, table(spark, folder, "labels"))
+    rows = ordinal.rate(documents.select("doc_id", "text"), model)
+    return rows.select("doc_id", "expected_grade", "tail_probability", "selected")
+
+
+@query("op6_secrets")
+def secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = secrets.model_for(documents, table(spark, folder, "labels"))
+    return secrets.digest(secrets.find(documents.select("doc_id", "text"), model))
+
+
+@query("op7_url_cascade")
+def judged_urls(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    judged = url_cascade.judge(pages, url_cascade.fixed_rules(spark))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op8_odd_sketch")
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return odd_sketch.near_duplicates(table(spark, folder, "documents"), width=2, percent=80)
+
+
+_QUALITY_SQL = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents
+), numbered AS (
+  SELECT row_number() OVER () AS r, * FROM split
+), windows AS (
+  SELECT r, i, ws[i:i + 2] AS w
+  FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM numbered)
+), twice AS (
+  SELECT r, w FROM windows GROUP BY r, w HAVING count(*) > 1
+), covered AS (
+  SELECT r, count(DISTINCT i + k) AS n
+  FROM (SELECT * FROM windows SEMI JOIN twice USING (r, w)) CROSS JOIN (VALUES (0), (1), (2)) AS s(k)
+  GROUP BY r
+), measured AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(len(ls) AS BIGINT) AS n_lines,
+         CAST(length(regexp_replace(t, '\P{Lu}', '', 'g')) AS BIGINT) AS n_capitals,
+         CAST(len(list_filter(ws, w -> w IN ('|', '-', '*', '#'))) AS BIGINT) AS n_lone_marks
+  FROM numbered LEFT JOIN covered USING (r)
+), ledger AS (
+  SELECT *, CAST((CASE WHEN n_words < 50 THEN 1 ELSE 0 END)
+       + (CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END)
+       + (CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END)
+       + (CASE WHEN 100 * n_dup_lines > 75 * n_lines THEN 8 ELSE 0 END)
+       + (CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 16 ELSE 0 END)
+       + (CASE WHEN 2 * n_capitals > word_chars THEN 32 ELSE 0 END)
+       + (CASE WHEN 10 * n_lone_marks > 3 * n_words THEN 64 ELSE 0 END) AS BIGINT) AS failed_bits
+  FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       failed_bits & 3 <> 0 AS base_failed, failed_bits & 127 = 0 AS kept, failed_bits
+FROM ledger
+"""
+
+
+@query("op9_quality_ledger", _QUALITY_SQL)
+def ruled_documents(spark: SparkSession, folder: str) -> DataFrame:
+    rows = quality_ledger.ledger(table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        *quality_ledger.MEASURES[:5],
+        (~quality_ledger.passes(quality_ledger.POLICIES["base"])).alias("base_failed"),
+        quality_ledger.passes(quality_ledger.POLICIES[quality_ledger.CURRENT]).alias("kept"),
+        "failed_bits",
+    )
+
+
+@query("op10_soft_mixing")
+def mixed_documents(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = (table(spark, folder, t) for t in ("documents", "labels"))
+    rows, model, _ = mixing.mixed(documents, labels)
+    best = F.array_max("posteriors")
+    names = F.array(*[F.lit(d) for d in model.domains])
+    return rows.select(
+        "doc_id",
+        "n_tokens",
+        F.element_at(names, F.array_position("posteriors", best).cast("int")).alias("domain"),
+        best.alias("posterior"),
+        "rate",
+        mixing.copies().alias("copies"),
+    )
