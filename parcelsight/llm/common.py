@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: What separates words: blanks and the ASCII controls from tab to carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -28,9 +26,61 @@ def byte_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def hash_words(words: list[bytes]) -> np.ndarray:
-    """One unsigned 64-bit hash per word."""
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+#: A word's hash is a polynomial over random values of its bytes, modulo 2^64.
+_DRAWN = np.random.default_rng(7).integers(0, 1 << 63, 257, dtype=np.uint64) * np.uint64(2)
+_BYTE = _DRAWN[:256] + np.uint64(1)
+_BASE = int(_DRAWN[256]) | 1
+_IS_BLANK = np.zeros(256, bool)
+_IS_BLANK[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes that are hashed at a time.
+_SPAN = 1 << 20
+
+
+@lru_cache(maxsize=2)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base, and of its inverse."""
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        steps = np.full(size, base, np.uint64)
+        steps[0] = 1
+        out.append(np.cumprod(steps))
+    return out[0], out[1]
+
+
+def hashed_words(raws: list[bytes], first: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of some texts in a row, and how many each text has.
+
+    The same words as ``byte_words`` finds, from bytes that are in lower case already; of each
+    word the ``first`` bytes only, if a number is given. The bytes are worked on as arrays, in
+    spans that end between words.
+    """
+    whole = b" ".join(raws) + b" "
+    limits = np.cumsum([len(r) + 1 for r in raws], dtype=np.int64)
+    hashes, places, at = [], [], 0
+    while at < len(whole):
+        end = min(at + _SPAN, len(whole))
+        while end < len(whole) and not _IS_BLANK[whole[end - 1]]:
+            end += 1
+        span = np.frombuffer(whole, np.uint8, end - at, at)
+        power, inverse = _powers(max(_SPAN, 1 << (end - at - 1).bit_length()))
+        blank = _IS_BLANK[span]
+        before = np.concatenate(([True], blank[:-1]))
+        starts, ends = np.flatnonzero(~blank & before), np.flatnonzero(blank & ~before)
+        sums = np.concatenate(([np.uint64(0)], np.cumsum(_BYTE[span] * power[: len(span)])))
+        ends = ends if first is None else np.minimum(ends, starts + first)
+        found = (sums[ends] - sums[starts]) * inverse[starts]
+        hashes.append(mix(found + (ends - starts).astype(np.uint64)))
+        places.append(starts + at)
+        at = end
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(len(raws), np.int64)
+    edges = np.searchsorted(np.concatenate(places), limits)
+    return np.concatenate(hashes), np.diff(edges, prepend=0)
+
+
+def lower_bytes(texts: list[str | None]) -> list[bytes]:
+    """Texts as bytes with A-Z in lower case; a missing one is empty."""
+    return [t.encode("utf-8", "surrogatepass").lower() if t else b"" for t in texts]
 
 
 def mix(values: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -60,15 +110,6 @@ def grouped(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBa
         start = stop
 
 
-def map_arrow(
-    df: DataFrame,
-    work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-    schema: str | T.StructType,
-) -> DataFrame:
-    """``mapInArrow`` with a schema as text or type."""
-    return df.mapInArrow(work, schema)
-
-
 def flat_list(parts: list[list]) -> list:
     return [*chain.from_iterable(parts)]
 
@@ -83,8 +124,3 @@ def runs(sorted_values: np.ndarray) -> np.ndarray:
 def table(spark, folder: str, name: str) -> DataFrame:
     """A given table of a data folder."""
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-
-
-def sql_pattern(pattern: str) -> str:
-    """A pattern as it stands between quotes in Spark SQL text."""
-    return re.sub(r"(['\\])", r"\\\1", pattern)

@@ -18,7 +18,7 @@ import tempfile
 import urllib.parse
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -28,22 +28,21 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelsight.llm.common import byte_words, grouped, hash_words, mix, runs
+from parcelsight.llm.common import grouped, hashed_words, lower_bytes, mix, runs
 from parcelsight.sources.scratch import scratch_path
 
-#: Hashes of what stands before a text's first word and after its last one. No word has them,
-#: but for one in 10^19.
+#: Bytes of a word's hash, and hashes of what stands before a text's first word and after its
+#: last one; that a word has one of them is as unlikely as one in 10^16.
+WIDTH = 7
 BEFORE, END = np.uint64(1), np.uint64(2)
 #: Tokens that a task counts before it sends what it has.
 HELD_TOKENS = 3_000_000
 #: Numbers of an n-gram: own count, occurrences as a context, and how many n-grams with it as
 #: context were seen once, twice, more often; words also have the plain count of occurrences.
 NUMBERS = ("count", "total", "once", "twice", "more", "plain")
+#: Numbers of a word that may be larger than 32 bits hold.
+_WIDE = ("count", "total", "plain")
 _PARTIAL = "level int, shard int, size long, words binary, numbers binary"
-_SHARD = (
-    "level int, grams long, ones long, twos long, threes long, fours long, rest long,"
-    " sum long, plain long, plain_grams long"
-)
 
 
 def key_of(words: np.ndarray) -> np.ndarray:
@@ -77,6 +76,7 @@ def _pack(words: np.ndarray, keys: np.ndarray, numbers: np.ndarray, level: int,
         steps = np.diff(mine[:, 0], prepend=np.uint64(0))
         mine = np.concatenate((steps[:, None], mine[:, 1:]), axis=1)
         planes = np.ascontiguousarray(mine.T).view(np.uint8).reshape(level, b - a, 8)
+        planes = planes[:, :, :WIDTH]
         out["level"].append(level)
         out["shard"].append(at)
         out["size"].append(b - a)
@@ -89,8 +89,9 @@ def _pack(words: np.ndarray, keys: np.ndarray, numbers: np.ndarray, level: int,
 
 
 def _unpack(level: int, size: int, words: bytes, numbers: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(words, np.uint8).reshape(level, 8, size)
-    mine = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint64)[:, :, 0].T.copy()
+    whole = np.zeros((level, size, 8), np.uint8)
+    whole[:, :, :WIDTH] = np.frombuffer(words, np.uint8).reshape(level, WIDTH, size).transpose(0, 2, 1)
+    mine = whole.view(np.uint64)[:, :, 0].T.copy()
     mine[:, 0] = np.cumsum(mine[:, 0], dtype=np.uint64)
     bytes_ = np.frombuffer(numbers, np.uint8).reshape(-1, 8, size)
     return mine, np.ascontiguousarray(bytes_.transpose(0, 2, 1)).view(np.int64)[:, :, 0].T
@@ -147,7 +148,20 @@ class Model:
     words: int
 
     def column(self, level: int, shard: int, name: str) -> np.ndarray:
-        return _mapped(self.folder, f"{level}-{shard}-{name}", "uint64" if name == "key" else "uint32")
+        wide = name in ("key", "oftener") or level == 1 and name in _WIDE
+        kind = "uint8" if name == "small" else "uint64" if wide else "uint32"
+        return _mapped(self.folder, f"{level}-{shard}-{name}", kind)
+
+    def numbers(self, level: int, shard: int, name: str, at: np.ndarray) -> np.ndarray:
+        """Stored numbers at some places of a shard."""
+        if level < self.order or level == 1:
+            return self.column(level, shard, name)[at].astype(np.int64)
+        out = self.column(level, shard, "small")[at].astype(np.int64)
+        more = np.flatnonzero(out == 255)
+        if len(more):
+            place = np.searchsorted(self.column(level, shard, "often"), at[more])
+            out[more] = self.column(level, shard, "oftener")[place]
+        return out
 
     def look_up(self, level: int, keys: np.ndarray, names: tuple[str, ...]) -> dict[str, np.ndarray]:
         """Numbers of n-grams by hash, 0 for those not seen. ``keys`` are sorted and different."""
@@ -163,7 +177,7 @@ class Model:
             at = np.minimum(np.searchsorted(stored, keys[a:b]), len(stored) - 1)
             known = stored[at] == keys[a:b]
             for name in names:
-                out[name][a:b] = np.where(known, self.column(level, shard, name)[at], 0)
+                out[name][a:b] = np.where(known, self.numbers(level, shard, name, at), 0)
         return out
 
 
@@ -179,11 +193,10 @@ def _windows(words: np.ndarray, starts: np.ndarray, order: int) -> np.ndarray:
 
 def _token_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens in a row, the end of each text included, and where texts start."""
-    parts = [byte_words(t) for t in texts]
-    flat = hash_words([w for p in parts for w in p])
-    ends = np.cumsum([len(p) for p in parts], dtype=np.int64)
-    words = np.insert(flat, ends, END) if len(parts) else flat
-    return words, np.concatenate(([0], ends + np.arange(1, len(parts) + 1)))
+    hashes, counts = hashed_words(lower_bytes(texts))
+    ends = np.cumsum(counts)
+    words = np.insert(hashes & np.uint64((1 << 8 * WIDTH) - 1), ends, END)
+    return words, np.concatenate(([0], ends + np.arange(1, len(texts) + 1)))
 
 
 def held_out(doc_id: str = "doc_id", modulus: int = 7, remainder: int = 2) -> Column:
@@ -229,14 +242,22 @@ def _counted(texts: DataFrame, order: int, bits: int) -> DataFrame:
     return texts.mapInArrow(work, _PARTIAL)
 
 
-def _level(partials: DataFrame, level: int, order: int, bits: int, folder: str) -> DataFrame:
-    """Add up and store a level's shards; rows of _PARTIAL for the next lower level, and one row
-    of _SHARD numbers in ``words`` (shard -1) for each shard."""
+_FACTS = ("grams", "ones", "twos", "threes", "fours", "rest", "sum", "plain", "plain grams")
+
+
+def _added_up(partials: DataFrame, level: int, order: int, bits: int, folder: str) -> DataFrame:
+    """Add up and store a level's shards.
+
+    Gives rows of _PARTIAL for the next lower level, and for each shard one row (shard -1) with
+    the numbers _FACTS in ``words``. Rows of lower levels are added up as they are.
+    """
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
-        shard = int(frame["shard"].iloc[0])
+        here, shard = int(frame["level"].iloc[0]), int(frame["shard"].iloc[0])
+        if shard < 0:
+            return frame
         parts = [
-            _unpack(level, int(n), w, c)
+            _unpack(here, int(n), w, c)
             for n, w, c in zip(frame["size"], frame["words"], frame["numbers"], strict=True)
         ]
         wide = max(c.shape[1] for _, c in parts)
@@ -246,9 +267,19 @@ def _level(partials: DataFrame, level: int, order: int, bits: int, folder: str)
         )
         del parts
         words, keys, numbers = _added(words, numbers)
+        if here < level:
+            return _pack(words, keys, numbers, here, bits).to_pandas()
         _store(folder, f"{level}-{shard}-key", keys)
-        for name, column in zip(NUMBERS, numbers.T, strict=False):
-            _store(folder, f"{level}-{shard}-{name}", np.minimum(column, 0xFFFFFFFF).astype(np.uint32))
+        if level == order and level > 1:
+            # Most n-grams are rare: one byte for each, and more for the others.
+            count = numbers[:, 0]
+            _store(folder, f"{level}-{shard}-small", np.minimum(count, 255).astype(np.uint8))
+            often = np.flatnonzero(count >= 255)
+            _store(folder, f"{level}-{shard}-often", often.astype(np.uint32))
+            _store(folder, f"{level}-{shard}-oftener", count[often].astype(np.uint64))
+        else:
+            for name, column in zip(NUMBERS, numbers.T, strict=True):
+                _store(folder, f"{level}-{shard}-{name}", column.astype(np.uint64 if level == 1 and name in _WIDE else np.uint32))
         count = numbers[:, 0]
         plain = numbers[:, 5] if wide > 5 else np.zeros(1, np.int64)
         facts = [
@@ -259,12 +290,10 @@ def _level(partials: DataFrame, level: int, order: int, bits: int, folder: str)
             int(plain.sum()),
             int((plain > 0).sum()),
         ]
-        out = [
-            pa.record_batch(
-                [[level], [-1], [0], [np.array(facts, np.int64).tobytes()], [b""]],
-                ["level", "shard", "size", "words", "numbers"],
-            )
-        ]
+        types = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+        fact = ([level], [-1], [0], [np.array(facts, np.int64).tobytes()], [b""])
+        names = ["level", "shard", "size", "words", "numbers"]
+        out = [pa.record_batch([pa.array(v, t) for v, t in zip(fact, types, strict=True)], names)]
         if level > 1:
             own = count > 0
             words, count = words[own], count[own]
@@ -277,11 +306,9 @@ def _level(partials: DataFrame, level: int, order: int, bits: int, folder: str)
             suffix = np.zeros((len(words), len(NUMBERS)), np.int64)
             suffix[:, 0] = np.where(words[:, 1] == BEFORE, count, 1) if level > 2 else 1
             out.append(_pack(*_added(words[:, 1:], suffix), level - 1, bits))
-        return pa.Table.from_batches(
-            [b.cast(pa.schema([("level", pa.int32()), ("shard", pa.int32()), ("size", pa.int64()), ("words", pa.binary()), ("numbers", pa.binary())])) for b in out]
-        ).to_pandas()
+        return pa.Table.from_batches(out).to_pandas()
 
-    return partials.where(F.col("level") == level).groupBy("shard").applyInPandas(work, _PARTIAL)
+    return partials.groupBy("level", "shard").applyInPandas(work, _PARTIAL)
 
 
 def _discounts(ones: int, twos: int, threes: int, fours: int) -> tuple[float, float, float]:
@@ -299,24 +326,19 @@ def train(documents: DataFrame, order: int = 2, text: str = "text") -> Model:
     A missing or empty text has one token, its end. Without any document the model knows no
     word, and gives all its probability to unknown ones. Equal rows count as often as they come.
     Shards are as many as the session's shuffle partitions, as a power of two; the driver gets
-    nine numbers for each shard and level.
+    nine numbers for each shard and level. Nothing is written in between: a lost task's shard is
+    counted and stored again, under the same names and with the same content.
     """
     spark = documents.sparkSession
     bits = math.ceil(math.log2(max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     folder = scratch_path(spark, "ngrams")
-    # Every level is written, so that its files are stored once and its numbers read at leisure.
-    partials = _written(_counted(documents.select(F.col(text).alias("text")), order, bits), folder, order + 1)
-    found: dict[int, np.ndarray] = {}
+    rows = _counted(documents.select(F.col(text).alias("text")), order, bits)
     for level in range(order, 0, -1):
-        done = _written(_level(partials, level, order, bits, folder), folder, level)
-        numbers = [
-            np.frombuffer(r.words, np.int64)
-            for r in done.where("shard = -1").select("words").collect()
-        ]
-        found[level] = np.sum(numbers, axis=0) if numbers else np.zeros(9, np.int64)
-        _store_missing(folder, level, order, bits)
-        if level > 1:
-            partials = partials.where(F.col("level") < level).unionByName(done.where("shard >= 0"))
+        rows = _added_up(rows, level, order, bits, folder)
+    found = np.zeros((order + 1, len(_FACTS)), np.int64)
+    for row in rows.where("shard = -1").select("level", "words").collect():
+        found[row.level] += np.frombuffer(row.words, np.int64)
+    _store_missing(folder, order, bits)
     one = found[1]
     return Model(
         folder,
@@ -329,63 +351,64 @@ def train(documents: DataFrame, order: int = 2, text: str = "text") -> Model:
     )
 
 
-def _written(rows: DataFrame, folder: str, level: int) -> DataFrame:
-    path = f"{folder}/partial-{level}"
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+def _names(level: int, order: int) -> tuple[str, ...]:
+    return ("key", "small", "often", "oftener") if level == order > 1 else ("key", *NUMBERS)
 
 
-def _store_missing(folder: str, level: int, order: int, bits: int) -> None:
+def _store_missing(folder: str, order: int, bits: int) -> None:
     """Empty files for shards that got no n-gram, so that readers need not ask."""
     system, path = _opened(folder)
-    names = ("key", "count") if level == order and order > 1 else ("key", *NUMBERS)
+    system.create_dir(path, recursive=True)
     there = {f.base_name for f in system.get_file_info(pafs.FileSelector(path))}
-    for shard in range(1 << bits):
-        for name in names:
-            if f"{level}-{shard}-{name}" not in there:
-                _store(folder, f"{level}-{shard}-{name}", np.zeros(0, np.uint64))
+    for level in range(1, order + 1):
+        for shard in range(1 << bits):
+            for name in _names(level, order):
+                if f"{level}-{shard}-{name}" not in there:
+                    _store(folder, f"{level}-{shard}-{name}", np.zeros(0, np.uint64))
 
 
 def _discount_of(count: np.ndarray, discounts: tuple[float, float, float]) -> np.ndarray:
     return np.choose(np.minimum(count, 3), (0.0, *discounts))
 
 
-@dataclass
-class _Scores:
-    known: np.ndarray
-    base: np.ndarray
-    score: np.ndarray
-    _: int = field(default=0)
-
-
-def token_scores(model: Model, words: np.ndarray, starts: np.ndarray) -> _Scores:
+def token_scores(
+    model: Model, words: np.ndarray, starts: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per token: whether it is known, its plain and its model log10 probability."""
-    different, inverse = np.unique(mix(words, 1), return_inverse=True)
-    one = model.look_up(1, different, ("count", "plain"))
-    plain, count = one["plain"][inverse], one["count"][inverse]
+    # A place before each text stands for the context of its first token.
+    before = np.insert(words, starts[:-1], BEFORE)
+    first = starts[:-1] + np.arange(len(starts) - 1)
+    own = np.ones(len(before), bool)
+    own[first] = False
+    edges = starts + np.arange(len(starts))
+    grams = _windows(before, edges, model.order)
     room = model.words + 1
-    base = np.log10((plain + 1) / (model.tokens + room))
-    total, *kinds = model.base
-    discounts = model.discounts[0]
-    if total:
-        left = sum(d * n for d, n in zip(discounts, kinds, strict=True)) / total
-        chance = (count - _discount_of(count, discounts)) / total + left / room
-    else:
-        chance = np.full(len(words), 1 / room)
-    grams = _windows(words, starts, model.order)
-    for level in range(2, model.order + 1):
-        mine = grams[:, model.order - level :]
-        keys, inverse = np.unique(key_of(mine), return_inverse=True)
-        count = model.look_up(level, keys, ("count",))["count"][inverse]
-        keys, inverse = np.unique(key_of(mine[:, :-1]), return_inverse=True)
-        context = model.look_up(level - 1, keys, ("total", "once", "twice", "more"))
-        total, *kinds = (context[n][inverse] for n in ("total", "once", "twice", "more"))
+    plain = None
+    for level in range(1, model.order + 1):
+        keys, inverse = np.unique(key_of(grams[:, model.order - level :]), return_inverse=True)
+        names = ("count", "plain") if level == 1 else ("count",)
+        if level < model.order:
+            names += ("total", "once", "twice", "more")
+        found = model.look_up(level, keys, names)
         discounts = model.discounts[level - 1]
-        left = sum(d * n for d, n in zip(discounts, kinds, strict=True))
-        seen = np.maximum(total, 1)
-        mixed = (count - _discount_of(count, discounts) + left * chance) / seen
-        chance = np.where(total > 0, mixed, chance)
-    return _Scores(plain > 0, base, np.log10(chance))
+        count = found["count"][inverse]
+        rest = count - _discount_of(count, discounts)
+        if level == 1:
+            plain = found["plain"][inverse][own]
+            total, *kinds = model.base
+            left = sum(d * n for d, n in zip(discounts, kinds, strict=True))
+            chance = (rest + left / room) / total if total else np.full(len(before), 1 / room)
+        else:
+            mixed = (rest + left * chance) / np.maximum(total, 1)
+            chance = np.where(total > 0, mixed, chance)
+        if level < model.order:
+            # The context of a token is the n-gram that ends before it.
+            total = np.roll(found["total"][inverse], 1)
+            above = model.discounts[level]
+            kinds = (np.roll(found[n][inverse], 1) for n in ("once", "twice", "more"))
+            left = sum(d * n for d, n in zip(above, kinds, strict=True))
+    base = np.log10((plain + 1) / (model.tokens + room))
+    return plain > 0, base, np.log10(chance[own])
 
 
 def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -400,10 +423,10 @@ def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for batch in batches:
             for rows in grouped(batch, "text"):
                 words, starts = _token_hashes(rows.column("text").to_pylist())
-                found = token_scores(model, words, starts)
+                known, base, chance = token_scores(model, words, starts)
                 sums = [
                     np.add.reduceat(v, starts[:-1])
-                    for v in (found.known.astype(np.int64), found.base, found.score)
+                    for v in (known.astype(np.int64), base, chance)
                 ]
                 yield pa.record_batch(
                     {

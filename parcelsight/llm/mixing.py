@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelsight.llm.common import byte_words, grouped, hash_words
+from parcelsight.llm.common import grouped, hashed_words, lower_bytes
 from parcelsight.sources.scratch import staged
 
 BUCKETS = 1 << 15
@@ -42,8 +42,7 @@ class DomainModel:
     def posteriors(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Number of words of each text, and the chances of its domains."""
         counts, chances = [], []
-        for text in texts:
-            found = _buckets(text)
+        for found in _buckets(texts):
             counts.append(len(found))
             # The mean over words, scaled like a text of 50: long texts stay soft.
             total = self.words[:, found].sum(axis=1) * (50 / max(50, len(found))) + self.prior
@@ -53,8 +52,10 @@ class DomainModel:
         return np.array(counts, np.int64), np.array(chances, float).reshape(shape)
 
 
-def _buckets(text: str | None) -> np.ndarray:
-    return (hash_words(byte_words(text)) % np.uint64(BUCKETS)).astype(np.int64)
+def _buckets(texts: list[str | None]) -> list[np.ndarray]:
+    hashes, counts = hashed_words(lower_bytes(texts))
+    places = (hashes % np.uint64(BUCKETS)).astype(np.int64)
+    return np.split(places, np.cumsum(counts)[:-1]) if len(texts) else []
 
 
 def train(labelled: DataFrame, limit: int = SAMPLE) -> DomainModel:
@@ -74,10 +75,10 @@ def train(labelled: DataFrame, limit: int = SAMPLE) -> DomainModel:
     domains = tuple(sorted(set(names))) or ("",)
     counts = np.zeros((len(domains), BUCKETS))
     prior = np.zeros(len(domains))
-    for name, text in zip(names, held.column("text").to_pylist(), strict=True):
+    for name, found in zip(names, _buckets(held.column("text").to_pylist()), strict=True):
         at = domains.index(name)
         prior[at] += 1
-        counts[at] += np.bincount(_buckets(text), minlength=BUCKETS)
+        np.add.at(counts[at], found, 1)
     prior = np.log((prior + 1) / (prior.sum() + len(domains)))
     shares = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
     return DomainModel(domains, prior, np.log(shares + SMOOTHING * (shares.mean(axis=0) + 1e-9)))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelsight.llm.common import byte_words, grouped, hash_words, mix
+from parcelsight.llm.common import grouped, hashed_words, lower_bytes, mix
 from parcelsight.sources.scratch import staged
 
 #: Samples, and samples of a band. Two sets of similarity 0.8 share no band once in 10 million.
@@ -37,9 +37,14 @@ _SKETCHED = (
 )
 
 
-def shingles(text: str | None, width: int) -> np.ndarray:
+def word_lists(texts: list[str | None]) -> list[np.ndarray]:
+    """Hashes of each text's words; a missing text has none."""
+    hashes, counts = hashed_words(lower_bytes(texts))
+    return np.split(hashes, np.cumsum(counts)[:-1]) if len(texts) else []
+
+
+def shingles(words: np.ndarray, width: int) -> np.ndarray:
     """Sorted hashes of the distinct runs of ``width`` words; fewer words are one run, none no run."""
-    words = hash_words(byte_words(text))
     if not len(words):
         return words
     width = min(width, len(words))
@@ -93,10 +98,8 @@ def sketched(documents: DataFrame, width: int, text: str = "text") -> DataFrame:
         for batch in batches:
             for rows in grouped(batch, "text"):
                 sizes, nodes, keys, maps = [], [], [], []
-                pairs = zip(
-                    rows.column("doc_id").to_pylist(), rows.column("text").to_pylist(), strict=True
-                )
-                for doc, value in pairs:
+                words = word_lists(rows.column("text").to_pylist())
+                for doc, value in zip(rows.column("doc_id").to_pylist(), words, strict=True):
                     found = shingles(value, width)
                     sizes.append(len(found))
                     if doc is None or not len(found):
@@ -128,7 +131,7 @@ def full_sets(documents: DataFrame, width: int, text: str = "text") -> DataFrame
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in grouped(batch, "text"):
-                found = [shingles(t, width) for t in rows.column("text").to_pylist()]
+                found = [shingles(w, width) for w in word_lists(rows.column("text").to_pylist())]
                 found = [f for f in found if len(f)]
                 yield pa.record_batch(
                     {

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelsight.llm.common import grouped, hash_words, mix
+from parcelsight.llm.common import grouped, hashed_words, mix
 
 #: Hash space of words; after it come the features of a text's shape.
 BUCKETS = 1 << 18
@@ -72,17 +72,20 @@ def features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     A word and its first letters count once however often they come, in lower case and without
     punctuation; a missing text is empty.
     """
-    index, value, sizes = [], [], []
-    for text in texts:
-        raw = (text or "").encode("utf-8", "surrogatepass")
-        split = raw.lower().translate(None, _MARKS).split()
-        words = hash_words(split)
-        stems = hash_words([b"^" + w for w in {w[:STEM] for w in split}])
-        found = np.concatenate((words, stems)) % np.uint64(BUCKETS)
+    raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    bare = [r.lower().translate(None, _MARKS) for r in raws]
+    hashes, counts = hashed_words(bare)
+    stems, _ = hashed_words(bare, first=STEM)
+    stems = mix(stems, 1)
+    index, value, sizes, at = [], [], [], 0
+    for raw, count in zip(raws, counts.tolist(), strict=True):
+        words = hashes[at : at + count]
+        found = np.concatenate((words, stems[at : at + count])) % np.uint64(BUCKETS)
         found = np.unique(found).astype(np.int64)
         index += [found, BUCKETS + np.arange(SHAPES)]
         value += [np.ones(len(found)), np.array(shape(raw, words, len(found)))]
         sizes.append(len(found) + SHAPES)
+        at += count
     starts = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
     return (
         np.concatenate(index) if index else np.zeros(0, np.int64),

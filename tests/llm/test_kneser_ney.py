@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from helpers import clashing, empty_documents, odd_documents, odd_rows, prose
+from parcelsight.llm import common
 from parcelsight.llm import kneser_ney as kn
 
 END, BEFORE = "</s>", "<s>"
@@ -100,18 +101,19 @@ def test_chances_add_up_to_one(spark):
     documents = spark.createDataFrame(corpus(), "doc_id long, text string")
     model = kn.train(documents, 2)
     words = sorted({w.encode() for _, t in corpus() for w in t.split()})
-    hashes = np.append(kn.hash_words([*words, b"never seen"]), kn.END)
-    for context in (words[0], words[7], b"unknown context"):
-        first = kn.hash_words([context])[0]
+    hashes, _ = kn._token_hashes([w.decode() for w in [*words, b"never-seen"]])
+    hashes = np.append(hashes[::2], kn.END)
+    for context in (words[0], words[7], b"unknown-context"):
+        first = kn._token_hashes([context.decode()])[0][0]
         row = np.array([[first, h] for h in hashes]).ravel()
         starts = np.arange(0, len(row) + 1, 2)
-        found = kn.token_scores(model, row, starts).score[1::2]
+        found = kn.token_scores(model, row, starts)[2][1::2]
         assert (10.0**found).sum() == pytest.approx(1, abs=1e-9)
 
 
 def test_partial_counts_are_packed_without_loss():
     drawn = np.random.default_rng(1)
-    words = drawn.integers(0, 1 << 63, (500, 3), dtype=np.uint64)
+    words = drawn.integers(0, 1 << 56, (500, 3), dtype=np.uint64)
     numbers = drawn.integers(0, 1000, (500, 6))
     some, keys, sums = kn._added(words, numbers)
     batch = kn._pack(some, keys, sums, 3, 4)
@@ -120,6 +122,20 @@ def test_partial_counts_are_packed_without_loss():
     assert got == sorted((*w, *n) for w, n in zip(words.tolist(), numbers.tolist()))
 
 
+def test_hashed_words_are_the_words(monkeypatch):
+    texts = [t for _, t, *_ in odd_rows()] + ["x" * 100 + " y", "a\x1cb\x85c A", ""]
+    raws = common.lower_bytes(texts)
+    plain = [w for t in texts for w in common.byte_words(t)]
+    for span in (common._SPAN, 16):
+        monkeypatch.setattr(common, "_SPAN", span)
+        hashes, counts = common.hashed_words(raws)
+        assert counts.tolist() == [len(common.byte_words(t)) for t in texts]
+        by_word = {}
+        assert all(by_word.setdefault(w, h) == h for w, h in zip(plain, hashes.tolist()))
+        assert len(set(by_word.values())) == len(by_word)
+    assert common.hashed_words([])[0].tolist() == []
+
+
 def test_odd_rows(spark):
     out = kn.score_documents(clashing(odd_documents(spark))).collect()
     assert len(out) == len(odd_rows())
