@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from parcelsight.functions.columns import col
 
-# A word is a run of letters and digits; apostrophes are kept inside a word.
-WORD_PATTERN = r"[\p{L}\p{N}]+(?:['’][\p{L}\p{N}]+)*"
+# A word is a run of letters with their marks, digits and underscores; apostrophes are kept
+# inside a word.
+WORD_PATTERN = r"[\p{L}\p{M}\p{N}_]+(?:['’][\p{L}\p{M}\p{N}_]+)*"
 
 
 def words_of(text: str | Column) -> Column:

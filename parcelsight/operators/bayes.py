@@ -2,27 +2,58 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Stand-in for a zero deviation, share or density: fixed value.
 FLOOR = 0.001
-# Level shares of one predictor kept as literals; more are looked up by a join.
+# Level shares of one predictor kept as literals; more are looked up by a join, with the same
+# result.
 LITERAL_LEVELS = 1_000
 
 
 @dataclass
 class NaiveBayesModel:
+    """Numbers per class; level shares of a predictor as numbers, or as a table to join."""
+
     labels: list[str]
     prior: dict[str, float]
     normal: dict[tuple[str, str], tuple[float, float]]
     shares: dict[str, dict[tuple[str, str], float]]
     joined: dict[str, DataFrame] = field(default_factory=dict)
 
+    def save(self, spark: SparkSession, path: str) -> str:
+        """Store the model, replacing an earlier one."""
+        numbers = {
+            "labels": self.labels,
+            "prior": self.prior,
+            "normal": [[c, k, mean, sd] for (c, k), (mean, sd) in self.normal.items()],
+            "shares": {c: [[v, k, p] for (v, k), p in s.items()] for c, s in self.shares.items()},
+            "joined": list(self.joined),
+        }
+        text = spark.createDataFrame([(json.dumps(numbers),)], "model string")
+        for i, table in enumerate(self.joined.values()):
+            table.write.mode("overwrite").parquet(f"{path}/joined_{i}")
+        text.coalesce(1).write.mode("overwrite").text(f"{path}/numbers")
+        return path
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> NaiveBayesModel:
+        """Counterpart of :meth:`save`."""
+        numbers = json.loads(spark.read.text(f"{path}/numbers").first()[0])
+        return NaiveBayesModel(
+            numbers["labels"],
+            numbers["prior"],
+            {(c, k): (mean, sd) for c, k, mean, sd in numbers["normal"]},
+            {c: {(v, k): p for v, k, p in s} for c, s in numbers["shares"].items()},
+            {c: spark.read.parquet(f"{path}/joined_{i}") for i, c in enumerate(numbers["joined"])},
+        )
+
 
 def _level_counts(train: DataFrame, label: str, column: str) -> DataFrame:
     known = train.filter(F.col(column).isNotNull() & F.col(label).isNotNull())
@@ -41,11 +72,8 @@ def fit(
             *[F.avg(c).alias(f"mean_{c}") for c in numeric],
             *[F.stddev_samp(c).alias(f"sd_{c}") for c in numeric],
         )
-        .limit(LITERAL_LEVELS + 1)
         .collect()
     )
-    if len(moments) > LITERAL_LEVELS:
-        raise ValueError(f"{label} has more than {LITERAL_LEVELS} values: not a class")
     rows = {r[label]: r for r in moments}
     labels = sorted(rows)
     total = sum(r["n"] for r in rows.values())
@@ -70,11 +98,12 @@ def _share_table(counts: DataFrame, label: str, labels: Sequence[str]) -> DataFr
     """Wide table of log shares per level, for predictors with very many levels."""
     sums = counts.groupBy(label).agg(F.sum("n").alias("class_n"))
     shares = counts.join(sums, label).withColumn("share", F.col("n") / F.col("class_n"))
-    wide = shares.groupBy("level").pivot(label, list(labels)).agg(F.first("share"))
+    by_label = F.map_from_entries(F.collect_list(F.struct(label, "share")))
+    wide = shares.groupBy("level").agg(by_label.alias("_by"))
     return wide.select(
         "level",
         *[
-            F.log(F.coalesce(F.col(f"`{k}`"), F.lit(FLOOR))).alias(f"_share_{i}")
+            F.log(F.coalesce(F.try_element_at("_by", F.lit(k)), F.lit(FLOOR))).alias(f"_share_{i}")
             for i, k in enumerate(labels)
         ],
     )
@@ -123,9 +152,7 @@ def predict(
             score = score + F.coalesce(F.col(f"_{c}_{i}"), F.lit(0.0))
         scores.append(score.alias(f"score_{k}"))
     scored = scored.select(*rows.columns, *scores)
-    names = [F.col(f"`score_{k}`") for k in model.labels]
-    best = F.greatest(*names) if len(names) > 1 else names[0]
-    choice = F.lit(None).cast("string")
-    for k, s in reversed(list(zip(model.labels, names))):
-        choice = F.when(s == best, F.lit(k)).otherwise(choice)
-    return scored.withColumn(prediction, choice)
+    names = F.array(*[F.col(f"`score_{k}`") for k in model.labels])
+    place = F.array_position(names, F.array_max(names)).cast("int")
+    labels = F.array(*[F.lit(k) for k in model.labels])
+    return scored.withColumn(prediction, F.try_element_at(labels, place))

@@ -11,7 +11,14 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    Imputer,
+    IndexToString,
+    SQLTransformer,
+    StringIndexer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,52 +27,57 @@ from parcelsight.functions.fourier import FourierFeatures
 
 NUMERIC = ("PC1", "PC2")
 CATEGORICAL = ("order_segment", "traffic_level")
-# Levels a label or a predictor may have to be spelled out one by one.
-MAX_LEVELS = 1_000
+# Bins of a continuous predictor; a category with more levels than this gets as many.
+MAX_BINS = 32
 
 
-def _levels(train: DataFrame, column: str) -> list[str]:
-    """Distinct known values in lexical order; an error if there are too many for classes."""
-    found = train.select(column).na.drop().distinct().limit(MAX_LEVELS + 1).collect()
-    if len(found) > MAX_LEVELS:
-        raise ValueError(f"{column} has more than {MAX_LEVELS} levels: not a class")
-    return sorted(r[0] for r in found)
+def _indexer(rows: DataFrame, column: str, code: str) -> StringIndexerModel:
+    """Codes of the distinct known values in lexical order, however many there are."""
+    return StringIndexer(
+        inputCol=column, outputCol=code, stringOrderType="alphabetAsc", handleInvalid="skip"
+    ).fit(rows.filter(F.col(column).isNotNull()))
 
 
 def _quoted(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _code_stage(label: str, classes: Sequence[str]) -> SQLTransformer:
-    """Class codes in lexical order; rows without a known class stay, with a NULL code."""
-    cases = " ".join(f"WHEN {_quoted(v)} THEN {i}D" for i, v in enumerate(classes))
-    return SQLTransformer(
-        statement=f"SELECT *, CASE `{label}` {cases} END AS label_code FROM __THIS__"
-    )
+def _coded(train: DataFrame, label: str) -> tuple[DataFrame, list[str]]:
+    """Training rows with ``label_code``, and the classes in the order of their codes.
 
+    The code is for training only: rows to score need no label.
+    """
+    model = _indexer(train, label, "label_code")
+    return model.transform(train.filter(F.col(label).isNotNull())), list(model.labels)
 
-def _name_stage(classes: Sequence[str]) -> IndexToString:
-    return IndexToString(inputCol="prediction_code", outputCol="prediction", labels=list(classes))
+
+def _name_stage(classes: Sequence[str], output: str = "prediction") -> IndexToString:
+    return IndexToString(inputCol="prediction_code", outputCol=output, labels=list(classes))
 
 
 def _tree_pipeline(
     estimator, train: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str]
 ) -> PipelineModel:
-    train = train.filter(F.col(label).isNotNull())
-    classes = _levels(train, label)
-    codes = [f"{c}_code" for c in categorical]
-    stages = [
-        _code_stage(label, classes),
+    """Missing numbers (NaN too) become the median, a missing category is a level of its own.
+
+    Thresholds of continuous predictors are searched among MAX_BINS bins of their quantiles.
+    """
+    train, classes = _coded(train, label)
+    codes, known = [f"{c}_code" for c in categorical], [f"{c}_known" for c in numeric]
+    features = [
         # Category codes carry their nominal nature, so trees split on sets of levels.
         StringIndexer(
             inputCols=list(categorical), outputCols=codes, stringOrderType="alphabetAsc",
             handleInvalid="keep",
         ),
-        VectorAssembler(inputCols=[*numeric, *codes], outputCol="features"),
-        estimator,
-        _name_stage(classes),
+        Imputer(inputCols=list(numeric), outputCols=known, strategy="median"),
+        VectorAssembler(inputCols=[*known, *codes], outputCol="features"),
     ]
-    return Pipeline(stages=stages).fit(train)
+    prepared = Pipeline(stages=features).fit(train)
+    levels = max((len(x) + 1 for x in prepared.stages[0].labelsArray), default=0)
+    estimator = estimator.copy({estimator.maxBins: max(MAX_BINS, levels)})
+    model = estimator.fit(prepared.transform(train))
+    return PipelineModel([*prepared.stages, model, _name_stage(classes)])
 
 
 def fit_tree(
@@ -103,16 +115,23 @@ def fit_forest(
 
 def _design(
     train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]
-) -> list[str]:
-    """SQL terms of the scaled numeric predictors and one indicator per category level."""
+) -> tuple[str, list[str]]:
+    """SQL condition that no predictor is missing, and SQL terms of the scaled numeric
+    predictors and one indicator per category level, 0 where they are missing."""
     moments = train.agg(
-        *[F.avg(c).alias(f"m_{c}") for c in numeric],
-        *[F.stddev_samp(c).alias(f"s_{c}") for c in numeric],
+        *[F.avg(F.when(~F.isnan(c), F.col(c))).alias(f"m_{c}") for c in numeric],
+        *[F.stddev_samp(F.when(~F.isnan(c), F.col(c))).alias(f"s_{c}") for c in numeric],
     ).first()
-    terms = [f"((`{c}` - {moments[f'm_{c}']!r}D) / {(moments[f's_{c}'] or 1.0)!r}D)" for c in numeric]
+    known = [f"`{c}` IS NOT NULL AND NOT isnan(`{c}`)" for c in numeric]
+    known += [f"`{c}` IS NOT NULL" for c in categorical]
+    terms = [
+        f"coalesce((nanvl(`{c}`, NULL) - {moments[f'm_{c}'] or 0.0!r}D)"
+        f" / {(moments[f's_{c}'] or 1.0)!r}D, 0D)"
+        for c in numeric
+    ]
     for c in categorical:
-        terms += [f"if(`{c}` = {_quoted(v)}, 1D, 0D)" for v in _levels(train, c)]
-    return terms
+        terms += [f"if(`{c}` = {_quoted(v)}, 1D, 0D)" for v in _indexer(train, c, "_code").labels]
+    return " AND ".join(known), terms
 
 
 def fit_svm(
@@ -123,42 +142,43 @@ def fit_svm(
     cost: float = 1.0,
     gamma: float | None = None,
     features: int = 64,
-    max_iter: int = 15,
+    max_iter: int = 100,
     seed: int = 123,
 ) -> PipelineModel:
     """Radial-kernel SVM with class probabilities.
 
     The kernel is approximated by random Fourier features, so training is linear in the
-    rows; probabilities come from a logistic curve over the margin.
+    rows; probabilities come from a logistic curve over the margin. Rows with a missing
+    predictor (or NaN) are left out of the fit, and get no prediction.
     """
-    train = train.filter(F.col(label).isNotNull())
-    terms = _design(train, numeric, categorical)
+    train, classes = _coded(train, label)
+    known, terms = _design(train, numeric, categorical)
+    train = train.filter(known)
     inputs = [f"_x{i}" for i in range(len(terms))]
     design = ", ".join(f"{t} AS {x}" for t, x in zip(terms, inputs))
-    rows, classes = train.count(), _levels(train, label)
     stages = [
-        _code_stage(label, classes),
-        SQLTransformer(statement=f"SELECT *, {design} FROM __THIS__"),
+        SQLTransformer(statement=f"SELECT *, {design}, {known} AS _known FROM __THIS__"),
         FourierFeatures.drawn(inputs, "features", features, gamma or 1.0 / len(terms), seed),
         LinearSVC(
             labelCol="label_code", predictionCol="prediction_code", rawPredictionCol="margin",
-            regParam=1.0 / (cost * max(rows, 1)), maxIter=max_iter, standardization=False,
+            regParam=1.0 / (cost * max(train.count(), 1)), maxIter=max_iter, standardization=False,
         ),
         LogisticRegression(
             featuresCol="margin", labelCol="label_code", predictionCol="_p",
             rawPredictionCol="_raw", probabilityCol="probability", maxIter=max_iter,
         ),
-        _name_stage(classes),
+        _name_stage(classes, "_named"),
+        SQLTransformer(statement="SELECT *, if(_known, _named, NULL) AS prediction FROM __THIS__"),
     ]
     return Pipeline(stages=stages).fit(train)
 
 
 def predictions(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Rows with the predicted class and, per class code, its probability."""
+    """Rows with the predicted class and, per class code, its probability; both are missing
+    where the model makes no prediction."""
     scored = model.transform(rows)
-    return scored.select(
-        *rows.columns, "prediction", vector_to_array("probability").alias("probabilities")
-    )
+    probabilities = F.when(F.col("prediction").isNotNull(), vector_to_array("probability"))
+    return scored.select(*rows.columns, "prediction", probabilities.alias("probabilities"))
 
 
 def probability_histogram(scored: DataFrame, code: int = 1, bins: int = 20) -> DataFrame:
@@ -166,7 +186,8 @@ def probability_histogram(scored: DataFrame, code: int = 1, bins: int = 20) -> D
     p = F.element_at("probabilities", code + 1)
     bucket = F.least(F.floor(p * bins), F.lit(bins - 1)).cast("int")
     return (
-        scored.groupBy(bucket.alias("bin"))
+        scored.where("prediction IS NOT NULL")
+        .groupBy(bucket.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("bin_start", F.col("bin") / F.lit(float(bins)))
     )

@@ -12,15 +12,24 @@ from pyspark.sql import functions as F
 
 from parcelsight.operators.prep import fit_moments, scaled
 from parcelsight.operators.quality import require_rows
+from parcelsight.sources.scratch import staged
 
 AGENT_FEATURES = ("avg_delivery_time", "delay_rate", "avg_rating")
 
 
+def _known(columns: Sequence[str]) -> Column:
+    """Rows that have all columns; NaN is missing, too."""
+    return reduce(
+        lambda a, b: a & b,
+        [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in columns],
+    )
+
+
 def _scaled_frame(
     df: DataFrame, columns: Sequence[str], shift: float = 0.0
 ) -> tuple[DataFrame, list[Column]]:
     """Feature vectors of the complete rows, and the scaled columns they are made of."""
-    complete = df.na.drop("any", subset=list(columns))
+    complete = df.where(_known(columns))
     values = [
         F.coalesce(v, F.lit(0.0)) + F.lit(shift) for v in scaled(fit_moments(complete, columns))
     ]
@@ -54,7 +63,7 @@ def kmeans(
     Clusters are numbered by the centre of the first column, then the next ones, so the
     numbers do not depend on the seed.
     """
-    complete = df.na.drop("any", subset=list(columns))
+    complete = df.where(_known(columns))
     require_rows(complete, k, "clustering input")
     frame, values = _scaled_frame(df, columns)
     frame = frame.select("_features").persist()
@@ -66,8 +75,37 @@ def kmeans(
         centers = sorted(tuple(float(x) for x in c) for c in best.clusterCenters())
     finally:
         frame.unpersist()
-    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-    return df.withColumn(name, F.when(known, _nearest(values, centers)))
+    return df.withColumn(name, F.when(_known(columns), _nearest(values, centers)))
+
+
+def lloyd(
+    df: DataFrame,
+    columns: Sequence[str] = AGENT_FEATURES,
+    k: int = 3,
+    steps: int = 100,
+    name: str = "cluster",
+) -> DataFrame:
+    """k-means on scaled columns from a stated start; incomplete rows keep NULL.
+
+    Centre i of k starts at (2 i - 1) / k - 1 in every scaled column. A step is one sum over the
+    rows; a centre without rows stays where it is, equally near ones go to the lower number, and
+    the steps end when no centre moves. Clusters are numbered by the final centres' order, first
+    column first. The rows are read once for each step: give a stored frame.
+    """
+    complete = df.where(_known(columns))
+    values = [F.coalesce(v, F.lit(0.0)) for v in scaled(fit_moments(complete, columns))]
+    names = [f"_z{i}" for i in range(len(values))]
+    points = staged(complete.select(*[v.alias(n) for v, n in zip(values, names)]), "points")
+    centers = [((2 * i + 1) / k - 1,) * len(values) for i in range(k)]
+    for _ in range(steps):
+        nearest = _nearest([F.col(n) for n in names], centers)
+        means = points.groupBy(nearest.alias("_c")).agg(*[F.avg(n).alias(n) for n in names])
+        found = {r["_c"]: tuple(r[n] for n in names) for r in means.collect()}
+        moved = [found.get(i + 1, c) for i, c in enumerate(centers)]
+        if moved == centers:
+            break
+        centers = moved
+    return df.withColumn(name, F.when(_known(columns), _nearest(values, sorted(centers))))
 
 
 def bisecting(
@@ -94,6 +132,5 @@ def bisecting(
     labelled = model.transform(frame).select(
         *df.columns, (F.col("_p") + 1).cast("int").alias(name)
     )
-    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-    rest = df.filter(~known).withColumn(name, F.lit(None).cast("int"))
+    rest = df.filter(~_known(columns)).withColumn(name, F.lit(None).cast("int"))
     return labelled.unionByName(rest)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -16,9 +15,8 @@ COPIES_PER_TASK = 100_000
 # Rows an order statistic may bring to the driver, and the sketch's rank error 1/n.
 SMALL = 50_000
 SKETCH = 10_000
-# Groups whose statistics are fitted together in one job.
-GROUPS_PER_JOB = 64
-MAX_GROUPS = 1_000
+# Buckets that a group's range is cut into to find a rank.
+BUCKETS = 4_096
 
 
 def _spread_copies(rows: DataFrame, copies: str, number: str) -> DataFrame:
@@ -189,7 +187,7 @@ def exact_median(df: DataFrame, column: str, small: int = SMALL) -> float | None
 
     The search passes over the values several times, so only they are staged, once.
     """
-    values = staged(df.select(column).na.drop(), "values")
+    values = staged(df.select(column).where(F.col(column).isNotNull() & ~F.isnan(column)), "values")
     n = values.count()
     if n == 0:
         return None
@@ -198,24 +196,58 @@ def exact_median(df: DataFrame, column: str, small: int = SMALL) -> float | None
     return sum(middle) / len(middle)
 
 
+def _cumulated(rows: DataFrame, order: str) -> DataFrame:
+    """Rows (_g, order, _n) that hold their group's rank, with ``_before``: values under them."""
+    upto = Window.partitionBy("_g").orderBy(order)
+    return (
+        rows.withColumn("_upto", F.sum("_n").over(upto))
+        .withColumn("_before", F.col("_upto") - F.col("_n"))
+        .where((F.col("_before") < F.col("_rank")) & (F.col("_rank") <= F.col("_upto")))
+    )
+
+
 def rank_thresholds(
-    df: DataFrame, by: str, column: str, share: float, small: int = SMALL
-) -> dict[object, float]:
-    """Per group the smallest value with at least ``share`` of the group at or under it.
+    df: DataFrame, by: str, column: str, share: float, buckets: int = BUCKETS, rounds: int = 2
+) -> DataFrame:
+    """Per group (NULL is one) the smallest value with at least ``share`` of the group's values
+    at or under it: columns ``by`` and ``threshold``.
 
-    Meant for groups that are classes: their sizes and thresholds are held by the driver.
+    Values are counted by group and bucket of the group's range; the bucket that holds the rank
+    is cut into buckets again, and only the distinct values that are left are put in order. A
+    window sees ``buckets`` rows of a group at a time, and any number of groups will do.
     """
-    values = staged(df.select(by, column).na.drop(subset=[column]), "values")
-    counts = values.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    sizes = [(r[by], r["n"]) for r in counts.limit(MAX_GROUPS + 1).collect()]
-    if len(sizes) > MAX_GROUPS:
-        raise ValueError(f"{by} has more than {MAX_GROUPS} groups: not a class")
-    found: dict[object, float] = {}
-    for i in range(0, len(sizes), GROUPS_PER_JOB):
-        block = sizes[i : i + GROUPS_PER_JOB]
-        targets = [
-            (F.col(by).eqNullSafe(F.lit(g)), max(0, math.ceil(share * n) - 1), n) for g, n in block
-        ]
-        cuts = order_statistics(values, column, targets, small)
-        found.update({g: v for (g, _), v in zip(block, cuts)})
-    return found
+    value = F.col(column).cast("double")
+    values = staged(
+        df.select(F.col(by).alias("_g"), value.alias("_v")).where(
+            F.col("_v").isNotNull() & ~F.isnan("_v")
+        ),
+        "values",
+    )
+    state = values.groupBy("_g").agg(
+        F.ceil(F.lit(share) * F.count(F.lit(1))).alias("_rank"),
+        F.min("_v").alias("_low"),
+        F.max("_v").alias("_high"),
+    )
+    state = staged(state.withColumn("_rank", F.greatest("_rank", F.lit(1))), "ranks")
+
+    def inside() -> DataFrame:
+        own = state.withColumnRenamed("_g", "_own")
+        met = values.join(own, values["_g"].eqNullSafe(own["_own"])).drop("_own")
+        return met.where(F.col("_v").between(F.col("_low"), F.col("_high")))
+
+    for _ in range(rounds):
+        width = (F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low"))
+        bucket = F.when(F.col("_high") > F.col("_low"), F.floor(width * buckets)).otherwise(0)
+        counts = (
+            inside()
+            .groupBy("_g", "_rank", F.least(bucket, F.lit(buckets - 1)).alias("_bucket"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+        )
+        state = staged(
+            _cumulated(counts, "_bucket").select(
+                "_g", (F.col("_rank") - F.col("_before")).alias("_rank"), "_low", "_high"
+            ),
+            "ranks",
+        )
+    last = inside().groupBy("_g", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    return _cumulated(last, "_v").select(F.col("_g").alias(by), F.col("_v").alias("threshold"))

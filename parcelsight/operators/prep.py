@@ -11,11 +11,12 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelsight.functions.columns import cut_right, floor_at_zero, recode, uniform
 from parcelsight.operators.numbering import SMALL, exact_median, rank_thresholds
+from parcelsight.sources.scratch import staged
 
 FEATURES = ("distance_km", "order_value", "agent_experience_years", "traffic_density_index")
 # Segment bounds and names, label names: fixed values.
@@ -27,12 +28,24 @@ COMPLAINT_NAMES = {0: "No_Complaint", 1: "Complaint"}
 def impute_median(
     df: DataFrame, column: str, small: int = SMALL, approximate: int | None = None
 ) -> DataFrame:
-    """Fill missing values with the column's median, exact unless an accuracy is given."""
+    """Fill missing values (NaN too) with the column's median, exact unless an accuracy is given."""
+    return fill(df, column, median_of(df, column, small, approximate))
+
+
+def median_of(
+    df: DataFrame, column: str, small: int = SMALL, approximate: int | None = None
+) -> float | None:
+    """Median of the known values."""
     if approximate:
-        median = df.agg(F.percentile_approx(column, 0.5, approximate).alias("m")).first()["m"]
-    else:
-        median = exact_median(df, column, small)
-    return df.withColumn(column, F.coalesce(F.col(column), F.lit(median).cast("double")))
+        known = F.when(~F.isnan(column), F.col(column))
+        return df.agg(F.percentile_approx(known, 0.5, approximate).alias("m")).first()["m"]
+    return exact_median(df, column, small)
+
+
+def fill(df: DataFrame, column: str, value: float | None) -> DataFrame:
+    """Put a value where the column is missing or NaN."""
+    known = F.when(~F.isnan(column), F.col(column))
+    return df.withColumn(column, F.coalesce(known, F.lit(value).cast("double")))
 
 
 def repair_times(df: DataFrame, column: str = "delivery_time_min") -> DataFrame:
@@ -131,10 +144,60 @@ def segment_orders(df: DataFrame, column: str = "order_value") -> DataFrame:
     return df.withColumn("order_segment", cut_right(column, SEGMENT_BREAKS, SEGMENTS))
 
 
+@dataclass(frozen=True)
+class Preparation:
+    """What preparing deliveries has learned: the median order value, and the moments that the
+    components come from. Rows prepared with one of them are on one scale, whenever they come."""
+
+    median: float | None
+    moments: Moments
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Impute, repair, add components and segments."""
+        clean = repair_times(fill(df, "order_value", self.median))
+        return segment_orders(
+            principal_components(clean, self.moments.columns, moments=self.moments)
+        )
+
+    def save(self, spark: SparkSession, path: str) -> str:
+        """Store the fitted numbers, replacing earlier ones."""
+        m = self.moments
+        row = (
+            self.median, list(m.columns), m.mean.tolist(), m.sd.tolist(),
+            m.correlation.ravel().tolist(),
+        )
+        spark.createDataFrame([row], _STORED).coalesce(1).write.mode("overwrite").parquet(path)
+        return path
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Preparation:
+        """Counterpart of :meth:`save`."""
+        r = spark.read.schema(_STORED).parquet(path).first()
+        k = len(r["columns"])
+        return Preparation(
+            r["median"],
+            Moments(
+                tuple(r["columns"]), np.array(r["mean"]), np.array(r["sd"]),
+                np.array(r["correlation"]).reshape(k, k),
+            ),
+        )
+
+
+_STORED = (
+    "median double, columns array<string>, mean array<double>, sd array<double>,"
+    " correlation array<double>"
+)
+
+
+def fit_preparation(df: DataFrame) -> Preparation:
+    """Learn from training rows. They are read several times: give a stored frame."""
+    median = median_of(df, "order_value")
+    return Preparation(median, fit_moments(fill(df, "order_value", median)))
+
+
 def prepare(df: DataFrame) -> DataFrame:
-    """Impute, repair, add components and segments."""
-    clean = repair_times(impute_median(df, "order_value"))
-    return segment_orders(principal_components(clean))
+    """Impute, repair, add components and segments, all fitted on the rows themselves."""
+    return fit_preparation(df).apply(df)
 
 
 def model_frame(df: DataFrame, key: Sequence[str] = (), target: str = "customer_complaint"):
@@ -155,18 +218,16 @@ def stratified_split(
     key: Sequence[str],
     share: float = 0.8,
     seed: int = 123,
-    small: int = SMALL,
 ) -> DataFrame:
     """Mark rows for training: the given share of every class, rounded up.
 
-    Each row draws a number from its key, and a class takes those at or under its own
-    exact threshold: no per-class sort, and the same rows on every run.
+    Each row draws a number from its key, and a class (a missing label is one) takes those at
+    or under its own exact threshold: no per-class sort, and the same rows on every run. The
+    thresholds, one for each class, are joined to the rows.
     """
-    draw = uniform(key, f"split{seed}")
-    drawn = df.withColumn("_u", draw)
-    thresholds = rank_thresholds(drawn, label, "_u", share, small)
-    training = F.lit(False)
-    for value, threshold in thresholds.items():
-        test = F.col(label).eqNullSafe(F.lit(value)) & (F.col("_u") <= F.lit(threshold))
-        training = training | test
-    return drawn.withColumn("is_train", training).drop("_u")
+    drawn = df.withColumn("_u", uniform(key, f"split{seed}"))
+    thresholds = staged(rank_thresholds(drawn, label, "_u", share), "thresholds")
+    thresholds = thresholds.withColumnRenamed(label, "_class")
+    joined = drawn.join(thresholds, drawn[label].eqNullSafe(thresholds["_class"]), "left")
+    training = F.coalesce(F.col("_u") <= F.col("threshold"), F.lit(False))
+    return joined.select(*df.columns, training.alias("is_train"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,9 +11,6 @@ from pyspark.sql import functions as F
 from parcelsight.functions.columns import at_least
 from parcelsight.sources.scratch import staged
 
-# Attributes up to which all attribute subsets of a pattern are counted (2^k each);
-# wider frames are mined by FP-growth.
-SUBSET_COLUMNS = 8
 SEPARATOR = "\u0001"
 
 
@@ -49,37 +48,56 @@ def pattern_counts(labels: DataFrame) -> DataFrame:
     return labels.groupBy(*labels.columns).agg(F.count(F.lit(1)).alias("freq"))
 
 
-def _subset_itemsets(labels: DataFrame) -> DataFrame:
-    """Every non-empty item subset of the patterns with its frequency."""
-    subsets = pattern_counts(labels)
-    for column in labels.columns:
-        # Each attribute doubles the rows: once left out, once with its item if it has one.
-        options = F.array_distinct(F.array(F.lit(None).cast("string"), _item(column)))
-        subsets = subsets.withColumn(column, F.explode(options))
-    items = F.array_sort(F.array_compact(F.array(*map(F.col, labels.columns))))
+def _subset_itemsets(patterns: DataFrame, least: int) -> DataFrame:
+    """Every non-empty item set held by ``least`` rows or more, with its frequency.
+
+    Attributes are taken up one by one. A pattern is copied once without the attribute's item
+    and once with it, and copies whose items so far are infrequent go at once: no frequent set
+    holds an infrequent one. Patterns that have become equal are merged.
+    """
+    columns = [c for c in patterns.columns if c != "freq"]
+    chosen = patterns.withColumn("_items", F.array().cast("array<string>"))
+    for at, column in enumerate(columns):
+        rest = columns[at + 1 :]
+        item = _item(column)
+        options = F.when(
+            item.isNotNull(), F.array("_items", F.array_append("_items", item))
+        ).otherwise(F.array("_items"))
+        copied = chosen.select(*rest, F.explode(options).alias("_items"), "freq")
+        merged = copied.groupBy(*rest, "_items").agg(F.sum("freq").alias("freq"))
+        frequent = (
+            merged.groupBy("_items")
+            .agg(F.sum("freq").alias("_held"))
+            .where((F.col("_held") >= least) | (F.size("_items") == 0))
+        )
+        # Staged, so that the plan does not double with every attribute.
+        chosen = staged(merged.join(frequent.select("_items"), "_items", "left_semi"), "patterns")
     return (
-        subsets.select(items.alias("items"), "freq")
-        .filter(F.size("items") > 0)
-        .groupBy("items")
+        chosen.filter(F.size("_items") > 0)
+        .groupBy(F.array_sort("_items").alias("items"))
         .agg(F.sum("freq").alias("freq"))
     )
 
 
 def frequent_itemsets(
-    labels: DataFrame, min_support: float = 0.05, method: str = "auto"
+    labels: DataFrame, min_support: float = 0.05, method: str = "subsets"
 ) -> DataFrame:
-    """Item sets held by at least a share of the rows: (items sorted, freq, total)."""
-    if method == "auto":
-        method = "subsets" if len(labels.columns) <= SUBSET_COLUMNS else "fpgrowth"
+    """Item sets held by at least a share of the rows: (items sorted, freq, total).
+
+    "subsets" grows them from counted patterns, "fpgrowth" from the rows; the sets are the same.
+    """
     if method == "subsets":
+        patterns = staged(pattern_counts(labels), "patterns")
         # The total is summed over the counted patterns: no second pass over the rows.
-        total = pattern_counts(labels).agg(F.sum("freq").alias("n")).scalar()
-        sets = _subset_itemsets(labels)
-    else:
-        total = labels.agg(F.count(F.lit(1)).alias("n")).scalar()
+        total = patterns.agg(F.sum("freq")).first()[0] or 0
+        sets = _subset_itemsets(patterns, math.ceil(min_support * total - 1e-9))
+    elif method == "fpgrowth":
+        total = labels.count()
         model = FPGrowth(itemsCol="items", minSupport=min_support).fit(transactions(labels))
         sets = model.freqItemsets.select(F.array_sort("items").alias("items"), "freq")
-    counted = sets.withColumn("total", total)
+    else:
+        raise ValueError(f"no such method: {method}")
+    counted = sets.withColumn("total", F.lit(total).cast("bigint"))
     return counted.filter(F.col("freq") >= F.ceil(F.lit(min_support) * F.col("total") - 1e-9))
 
 
@@ -122,7 +140,7 @@ def mine_rules(
     labels: DataFrame,
     min_support: float = 0.05,
     min_confidence: float = 0.6,
-    method: str = "auto",
+    method: str = "subsets",
 ) -> DataFrame:
     """Rule table of a frame of label columns."""
     return association_rules(frequent_itemsets(labels, min_support, method), min_confidence)

@@ -3,7 +3,9 @@
 Word lists may be given as Python sequences or as DataFrames. A list proven small becomes
 a literal set that is probed inside the scan, without a join; a bigger one is joined after
 the tokens have been counted, so a frequent word is one row per map task or per review
-when it reaches the shuffle.
+when it reaches the shuffle. Results are the same either way: ``method`` ("literal" or
+"join") forces one of them. What a review is, its id says; ``unique_ids`` promises that no
+two rows share one, which saves the sums over ids.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from collections import defaultdict
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelsight.functions.columns import case_when, if_else, ratio
@@ -21,7 +23,7 @@ from parcelsight.sources.scratch import staged
 
 # Longest word list turned into a literal set.
 LITERAL_WORDS = 2_000
-# Frequent words whose weights are broadcast, and their greatest length.
+# Frequent words whose weights are broadcast; longer ones than this go by their digest.
 HOT_WORDS = 200_000
 HOT_LENGTH = 64
 
@@ -29,8 +31,14 @@ WordList = Sequence[str] | DataFrame
 Lexicon = Sequence[tuple[str, str]] | DataFrame
 
 
-def _small_list(words: WordList) -> list[str] | None:
+def _small_list(words: WordList, method: str = "auto") -> list[str] | None:
     """The words themselves if there are few, None if they must be joined."""
+    if method == "join":
+        return None
+    if method == "literal":
+        if not isinstance(words, DataFrame):
+            return list(words)
+        return [r["word"] for r in words.select("word").filter("word IS NOT NULL").collect()]
     if not isinstance(words, DataFrame):
         return list(words) if len(words) <= LITERAL_WORDS else None
     rows = words.select("word").filter("word IS NOT NULL").limit(LITERAL_WORDS + 1).collect()
@@ -51,10 +59,11 @@ def _kept_words(text: str | Column, stop: Sequence[str]) -> Column:
 
 
 def tokens(
-    reviews: DataFrame, text: str = "review_text", stop: WordList = (), keep: Sequence[str] = ()
-) -> DataFrame:
+    reviews: DataFrame, text: str = "review_text", stop: WordList = (),
+    keep: Sequence[str] = (), method: str = "auto",
+) -> DataFrame:
     """One row per word of every review with a text, stop words removed."""
-    small = _small_list(stop)
+    small = _small_list(stop, method)
     rows = reviews.filter(F.col(text).isNotNull())
     words = rows.select(*keep, F.explode(_kept_words(text, small or ())).alias("word"))
     if small is None:
@@ -63,10 +72,11 @@ def tokens(
 
 
 def word_counts(
-    reviews: DataFrame, text: str = "review_text", stop: WordList = STOP_WORDS
-) -> DataFrame:
+    reviews: DataFrame, text: str = "review_text", stop: WordList = STOP_WORDS,
+    method: str = "auto",
+) -> DataFrame:
     """Occurrences of each word over all reviews."""
-    small = _small_list(stop)
+    small = _small_list(stop, method)
     counts = (
         tokens(reviews, text, small or ()).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     )
@@ -85,22 +95,24 @@ def term_counts(
     review_id: str = "review_id",
     text: str = "review_text",
     stop: WordList = STOP_WORDS,
-    unique_ids: bool = True,
+    unique_ids: bool = False,
+    method: str = "auto",
 ) -> DataFrame:
     """Occurrences of each word in each review, with the review's number of words.
 
-    As long as ``review_id`` is the key of the reviews, the total is counted in the row the
-    words come from and rides along; nothing is summed or joined back over the reviews.
+    If ``review_id`` is promised to be the key of the reviews, the total is counted in the row
+    the words come from and rides along; else it is summed per id and joined back. Rows with a
+    missing id are one review.
     """
-    counts = _counted(reviews, review_id, text, stop, unique_ids)
+    counts = _counted(reviews, review_id, text, stop, unique_ids, method)
     return counts.select(review_id, "word", "n", "total")
 
 
 def _counted(
-    reviews: DataFrame, review_id: str, text: str, stop: WordList, unique_ids: bool
+    reviews: DataFrame, review_id: str, text: str, stop: WordList, unique_ids: bool, method: str
 ) -> DataFrame:
     """Term counts and totals; ``_lead`` marks one row per review where that is known."""
-    small = _small_list(stop)
+    small = _small_list(stop, method)
     rows = reviews.filter(F.col(text).isNotNull()).select(
         review_id, _kept_words(text, small or ()).alias("_words")
     )
@@ -121,14 +133,20 @@ def _counted(
         counts = counts.join(_word_frame(reviews, stop), "word", "left_anti")
     if small is None or not unique_ids:
         # Words have gone, or a review has several rows: sum up what is there.
-        per_review = Window.partitionBy(review_id)
-        counts = counts.withColumn("total", F.sum("n").over(per_review)).drop("_lead")
+        counts = counts.drop("total", "_lead")
+        totals = counts.groupBy(F.col(review_id).alias("_id")).agg(F.sum("n").alias("total"))
+        counts = counts.join(totals, F.col(review_id).eqNullSafe(F.col("_id"))).drop("_id")
     return counts
 
 
-def tf_idf(counts: DataFrame, review_id: str = "review_id") -> DataFrame:
-    """Add tf = n / total, idf = ln(reviews / reviews with the word) and their product."""
-    return _scored(staged(counts, "term-counts"), review_id)
+def tf_idf(
+    counts: DataFrame, review_id: str = "review_id", hot_words: int | None = None
+) -> DataFrame:
+    """Add tf = n / total, idf = ln(reviews / reviews with the word) and their product.
+
+    ``hot_words`` bounds the words whose weights are broadcast; the result is the same.
+    """
+    return _scored(staged(counts, "term-counts"), review_id, hot_words)
 
 
 def review_tf_idf(
@@ -136,14 +154,16 @@ def review_tf_idf(
     review_id: str = "review_id",
     text: str = "review_text",
     stop: WordList = STOP_WORDS,
-    unique_ids: bool = True,
+    unique_ids: bool = False,
+    method: str = "auto",
+    hot_words: int | None = None,
 ) -> DataFrame:
-    """The same from the texts; the reviews are counted by their lead rows, unshuffled."""
-    counts = _counted(reviews, review_id, text, stop, unique_ids)
-    return _scored(staged(counts, "term-counts"), review_id)
+    """The same from the texts; of unique ids, the reviews are counted by their lead rows."""
+    counts = _counted(reviews, review_id, text, stop, unique_ids, method)
+    return _scored(staged(counts, "term-counts"), review_id, hot_words)
 
 
-def _scored(counts: DataFrame, review_id: str) -> DataFrame:
+def _scored(counts: DataFrame, review_id: str, hot_words: int | None) -> DataFrame:
     """Scores of staged term counts.
 
     The counts are read several times, which is why they are staged, and so is the
@@ -156,7 +176,7 @@ def _scored(counts: DataFrame, review_id: str) -> DataFrame:
     frequency = counts.groupBy("word").agg(F.count(F.lit(1)).alias("_df"))
     idf = F.log(reviews.cast("double") / F.col("_df")).alias("idf")
     vocabulary = staged(frequency.select("word", "_df", idf), "vocabulary")
-    return _with_idf(counts, vocabulary).select(
+    return _with_idf(counts, vocabulary, hot_words or HOT_WORDS).select(
         review_id,
         "word",
         "n",
@@ -167,19 +187,27 @@ def _scored(counts: DataFrame, review_id: str) -> DataFrame:
     )
 
 
-def _with_idf(counts: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def _short(word: str) -> Column:
+    """A word, or for a long one a digest behind a character that no word holds."""
+    return F.when(F.length(word) <= HOT_LENGTH, F.col(word)).otherwise(
+        F.concat(F.lit(" "), F.sha2(word, 256))
+    )
+
+
+def _with_idf(counts: DataFrame, vocabulary: DataFrame, hot_words: int) -> DataFrame:
     """Term counts with the weight of their word.
 
-    A big vocabulary is split. Fewer than HOT_WORDS words can each hold more than
-    1 / HOT_WORDS of all rows: these are broadcast, which settles most rows in place. Only
+    A big vocabulary is split. Fewer than ``hot_words`` words can each hold more than
+    1 / ``hot_words`` of all rows: these are broadcast, which settles most rows in place. Only
     rows of rare words are shuffled, and no rare word can fill a partition.
     """
     rows = counts.count()
-    hot_above = rows // HOT_WORDS if vocabulary.count() > HOT_WORDS else 0
-    is_hot = (F.col("_df") > hot_above) & (F.length("word") <= HOT_LENGTH)
-    hot = vocabulary.filter(is_hot).select("word", "idf")
+    hot_above = rows // hot_words if vocabulary.count() > hot_words else 0
+    is_hot = F.col("_df") > hot_above
+    hot = vocabulary.filter(is_hot).select(_short("word").alias("_short"), "idf")
     rare = vocabulary.filter(~is_hot).select("word", F.col("idf").alias("_idf"))
-    marked = counts.join(F.broadcast(hot), "word", "left")
+    marked = counts.withColumn("_short", _short("word"))
+    marked = marked.join(F.broadcast(hot), "_short", "left").drop("_short")
     settled = marked.filter(F.col("idf").isNotNull())
     rest = marked.filter(F.col("idf").isNull()).drop("idf").join(rare, "word")
     return settled.unionByName(rest.withColumnRenamed("_idf", "idf"))
@@ -195,13 +223,17 @@ def best_terms(scored: DataFrame, k: int = 100, review_id: str = "review_id") ->
     return scored.orderBy(F.desc("tf_idf"), review_id, "word").limit(k)
 
 
-def _word_weights(lexicon: Lexicon) -> dict[str, int] | None:
+def _word_weights(lexicon: Lexicon, method: str = "auto") -> dict[str, int] | None:
     """Net weight per word, +1 for each positive entry and -1 for each other one."""
-    if isinstance(lexicon, DataFrame):
+    if method == "join":
+        return None
+    if isinstance(lexicon, DataFrame) and method == "literal":
+        entries = lexicon.select("word", "sentiment").collect()
+    elif isinstance(lexicon, DataFrame):
         entries = lexicon.select("word", "sentiment").limit(LITERAL_WORDS + 1).collect()
     else:
         entries = list(lexicon)
-    if len(entries) > LITERAL_WORDS:
+    if len(entries) > LITERAL_WORDS and method != "literal":
         return None
     weights: dict[str, int] = defaultdict(int)
     for word, sentiment in entries:
@@ -226,13 +258,16 @@ def sentiment_scores(
     text: str = "review_text",
     stop: WordList = STOP_WORDS,
     lexicon: Lexicon = tuple(LEXICON),
+    unique_ids: bool = False,
+    method: str = "auto",
 ) -> DataFrame:
-    """Add the sum of word weights to every review; 0 without any known word.
+    """Add the sum of word weights over all rows of a review's id; 0 without any known word.
 
-    With small lists the score is a sum over the row's own words: the texts are neither
-    exploded nor shuffled. With big ones the counted words are joined and scored.
+    With small lists a row's sum goes over its own words: the texts are neither exploded nor
+    shuffled. With big ones the counted words are joined and scored. Rows with a missing id
+    are one review.
     """
-    weights, small = _word_weights(lexicon), _small_list(stop)
+    weights, small = _word_weights(lexicon, method), _small_list(stop, method)
     if weights is not None and small is not None:
         stopped = set(small)
         by_weight: dict[int, list[str]] = defaultdict(list)
@@ -245,17 +280,22 @@ def sentiment_scores(
             return case_when(cases, F.lit(0)) if cases else F.lit(0)
 
         score = F.aggregate(words_of(text), F.lit(0), lambda acc, w: acc + weight_of(w))
-        return reviews.withColumn(
-            "sentiment_score", F.coalesce(score, F.lit(0)).cast("bigint")
+        score = F.coalesce(score, F.lit(0)).cast("bigint")
+        if unique_ids:
+            return reviews.withColumn("sentiment_score", score)
+        scores = reviews.groupBy(F.col(review_id).alias("_id")).agg(
+            F.sum(score).alias("sentiment_score")
         )
-    counts = term_counts(reviews, review_id, text, stop).drop("total")
-    value = if_else(F.col("sentiment") == "positive", F.lit(1), F.lit(-1))
-    scores = (
-        counts.join(_lexicon_frame(reviews, lexicon), "word")
-        .groupBy(review_id)
-        .agg(F.sum(F.col("n") * value).alias("sentiment_score"))
-    )
-    return reviews.join(scores, review_id, "left").fillna(0, ["sentiment_score"])
+    else:
+        counts = term_counts(reviews, review_id, text, stop, unique_ids, method).drop("total")
+        value = if_else(F.col("sentiment") == "positive", F.lit(1), F.lit(-1))
+        scores = (
+            counts.join(_lexicon_frame(reviews, lexicon), "word")
+            .groupBy(F.col(review_id).alias("_id"))
+            .agg(F.sum(F.col("n") * value).alias("sentiment_score"))
+        )
+    joined = reviews.join(scores, F.col(review_id).eqNullSafe(F.col("_id")), "left").drop("_id")
+    return joined.fillna(0, ["sentiment_score"])
 
 
 def sentiment_totals(
@@ -263,13 +303,14 @@ def sentiment_totals(
     text: str = "review_text",
     stop: WordList = STOP_WORDS,
     lexicon: Lexicon = tuple(LEXICON),
+    method: str = "auto",
 ) -> DataFrame:
     """Word occurrences per sentiment class; a word in two classes counts in both.
 
     Only the classes' total is stated by the known results; that occurrences and not
     reviews are counted is an assumption.
     """
-    weights, small = _word_weights(lexicon), _small_list(stop)
+    weights, small = _word_weights(lexicon, method), _small_list(stop, method)
     if weights is not None and small is not None:
         # Only known words leave the row they stand in.
         known = [w for w in weights if w not in set(small)]
@@ -277,7 +318,7 @@ def sentiment_totals(
         words = reviews.select(F.explode(hits).alias("word"))
         counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     else:
-        counts = word_counts(reviews, text, stop)
+        counts = word_counts(reviews, text, stop, method)
     return (
         counts.join(_lexicon_frame(reviews, lexicon), "word")
         .groupBy("sentiment")

@@ -60,9 +60,10 @@ def agent_dimension(*frames: DataFrame) -> DataFrame:
 def delivery_facts(
     raw: DataFrame, dim_city: DataFrame, order_by: list[str], keep: list[str]
 ) -> DataFrame:
-    """Deliveries with an id, a date key, a city key and the natural agent key."""
+    """Deliveries with an id, a date key, a city key and the natural agent key; one without a
+    city stays, with a missing key."""
     numbered = dense_ids(raw, order_by, "delivery_id")
-    return numbered.join(dim_city, "city").select(
+    return numbered.join(dim_city, "city", "left").select(
         "delivery_id",
         date_id(F.col("order_date")).alias("time_id"),
         "city_id",
@@ -74,10 +75,10 @@ def delivery_facts(
 def review_facts(
     cleaned: DataFrame, dim_city: DataFrame, dim_agent: DataFrame, keep: list[str]
 ) -> DataFrame:
-    """Reviews with date, city and surrogate agent keys; an unknown agent stays NULL."""
+    """Reviews with date, city and surrogate agent keys; an unknown city or agent stays NULL."""
     agents = dim_agent.select("agent_key", "agent_name")
     return (
-        cleaned.join(dim_city, "city")
+        cleaned.join(dim_city, "city", "left")
         .join(agents, "agent_name", "left")
         .select(
             "review_id",

@@ -8,7 +8,7 @@ from parcelsight.functions import columns as C
 from parcelsight.operators import enrich, etl, numbering, olap, quality, warehouse
 from parcelsight.plans.registry import query, rounded
 from parcelsight.plans.star import LINE_KEY, DeliveryStar, sql_uniform
-from parcelsight.sources.readers import read_delimited, read_table, spread
+from parcelsight.sources.readers import read_current, read_delimited, read_stage
 from parcelsight.sources.scratch import scratch_path, staged
 from parcelsight.sources.writers import replace_table, write_delimited, write_stage
 
@@ -55,7 +55,7 @@ def csv_round_trip(star: DeliveryStar):
 def stage_round_trip(star: DeliveryStar):
     facts = star.deliveries("delivery_id", "time_id", "order_value", "weather")
     path = write_stage(facts, scratch_path(star.spark, "stage"), ("weather",))
-    return read_table(star.spark, path).select(*facts.columns)
+    return read_stage(star.spark, path).select(*facts.columns)
 
 
 _CLEANED = f"""WITH numbered AS (
@@ -92,7 +92,7 @@ def cleaned_reviews(star: DeliveryStar):
         l_quantity, l_extendedprice FROM lineitem""",
 )
 def numbered_deliveries(star: DeliveryStar):
-    lines = spread(star.table("lineitem")).select(*LINE_KEY, "l_quantity", "l_extendedprice")
+    lines = star.table("lineitem").select(*LINE_KEY, "l_quantity", "l_extendedprice")
     return numbering.dense_ids(lines, list(LINE_KEY))
 
 
@@ -127,7 +127,7 @@ def warehouse_time(star: DeliveryStar):
         SELECT DISTINCT agent_name FROM raw_review)""",
 )
 def warehouse_agents(star: DeliveryStar):
-    raw = star.raw_deliveries.select("agent_name")
+    raw = star.delivered_agents
     reviews = star.raw_reviews.select(F.col("Agent Name").alias("agent_name"))
     return warehouse.agent_dimension(raw, reviews)
 
@@ -151,9 +151,10 @@ _CITY_KEYS = """city_keys AS (SELECT CAST(row_number() OVER (ORDER BY city) AS I
     FROM fact_delivery f JOIN dim_city c USING (city_id) JOIN city_keys k ON c.city = k.city""",
 )
 def warehouse_deliveries(star: DeliveryStar):
-    raw = etl.traffic_levels(etl.delay_flags(star.raw_deliveries))
+    stored = staged(star.raw_deliveries, "raw-deliveries")
+    raw = etl.traffic_levels(etl.delay_flags(stored))
     cities = warehouse.city_dimension(
-        star.raw_deliveries.select("city"),
+        stored.select("city"),
         star.raw_reviews.select(F.col("Location").alias("city")),
     )
     keep = [
@@ -179,12 +180,12 @@ def warehouse_deliveries(star: DeliveryStar):
 )
 def warehouse_reviews(star: DeliveryStar):
     cleaned = etl.clean_reviews(star.raw_reviews, ["Row Key"], "2001-08-01", unique=True)
-    raw = star.raw_deliveries
     cities = warehouse.city_dimension(
-        raw.select("city"), star.raw_reviews.select(F.col("Location").alias("city"))
+        star.delivered_cities.select("city"),
+        star.raw_reviews.select(F.col("Location").alias("city")),
     )
     agents = warehouse.agent_dimension(
-        raw.select("agent_name"), star.raw_reviews.select(F.col("Agent Name").alias("agent_name"))
+        star.delivered_agents, star.raw_reviews.select(F.col("Agent Name").alias("agent_name"))
     )
     keep = [
         "rating", "order_accuracy", "product_availability", "discount_applied", "price_range",
@@ -214,7 +215,11 @@ def delay_flags(star: DeliveryStar):
     UNION ALL SELECT 'dim_city', count(*), NULL FROM dim_city
     UNION ALL SELECT 'dim_time', count(*), NULL FROM dim_time
     UNION ALL SELECT 'fact_delivery', count(*), round(avg(delivery_time_min), 9) FROM fact_delivery
-    UNION ALL SELECT 'fact_review', count(*), round(avg(rating), 9) FROM fact_review""",
+    UNION ALL SELECT 'fact_review', count(*), round(avg(rating), 9) FROM fact_review
+    UNION ALL SELECT 'lines without order, customer or supplier', count(*), NULL FROM lineitem
+        LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
+        LEFT JOIN supplier ON l_suppkey = s_suppkey
+        WHERE o_orderkey IS NULL OR c_custkey IS NULL OR s_suppkey IS NULL""",
 )
 def warehouse_summary(star: DeliveryStar):
     summary = quality.warehouse_summary(
@@ -224,6 +229,7 @@ def warehouse_summary(star: DeliveryStar):
             "dim_time": (star.dim_time, None),
             "fact_delivery": (star.deliveries("delivery_time_min"), "delivery_time_min"),
             "fact_review": (star.plain_reviews, "rating"),
+            "lines without order, customer or supplier": (star.lone_lines, None),
         }
     )
     return rounded(summary, 9, "average")
@@ -305,13 +311,13 @@ def enriched_reviews(star: DeliveryStar):
     FROM ({_ENRICHED_REVIEWS}) GROUP BY source""",
 )
 def replaced_review_table(star: DeliveryStar):
-    """Store the reviews, replace the table by its enriched self, and read it by name."""
+    """Store the reviews, replace the table by its enriched self, and read the current version."""
     root = scratch_path(star.spark, "warehouse")
     stored, _ = replace_table(
         star.plain_reviews.select("review_id", "source", "review_text"), root, "stored_review"
     )
-    fresh, _ = replace_table(enrich.enrich_reviews(stored, ["review_id"]), root, "stored_review")
-    return fresh.groupBy("source").agg(
+    replace_table(enrich.enrich_reviews(stored, ["review_id"]), root, "stored_review")
+    return read_current(star.spark, root, "stored_review").groupBy("source").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("review_text")).alias("characters")
     )
 

@@ -159,7 +159,7 @@ _PCA = f"WITH RECURSIVE {_CLEAN}, {_pca_sql()}"
         {SEGMENT} AS order_segment FROM scored""",
 )
 def principal_components(star: DeliveryStar):
-    prepared = prep.prepare(_with_time(star))
+    prepared = prep.prepare(staged(_with_time(star), "features"))
     return rounded(prepared, 6, "PC1", "PC2").select("delivery_id", "PC1", "PC2", "order_segment")
 
 
@@ -205,7 +205,8 @@ def _marked(star: DeliveryStar):
         {SEGMENT} AS order_segment, traffic_level FROM scored""",
 )
 def model_frame(star: DeliveryStar):
-    prepared = prep.prepare(_with_time(star, "customer_complaint", "traffic_level"))
+    features = _with_time(star, "customer_complaint", "traffic_level")
+    prepared = prep.prepare(staged(features, "features"))
     return rounded(prep.model_frame(prepared, ["delivery_id"]), 6, "PC1", "PC2")
 
 
@@ -354,7 +355,8 @@ def executive_summary(star: DeliveryStar):
 
 def _model_rows(star: DeliveryStar):
     """Prepared, labelled and split deliveries, staged once for all models."""
-    prepared = prep.prepare(_with_time(star, "customer_complaint", "traffic_level"))
+    features = _with_time(star, "customer_complaint", "traffic_level")
+    prepared = prep.prepare(staged(features, "features"))
     framed = staged(prep.model_frame(prepared, ["delivery_id"]), "model-frame")
     marked = prep.stratified_split(framed, "label", ["delivery_id"])
     return marked.filter("is_train"), marked.filter("NOT is_train")
@@ -399,6 +401,164 @@ def stored_model_comparison(star: DeliveryStar):
     return stored.join(again.withColumnRenamed("accuracy", "accuracy_again"), "model")
 
 
+_MODELS = ("Decision Tree", "Naive Bayes", "Random Forest", "SVM")
+
+
+@query(
+    "stored_model_agreement",
+    "SNK-03 ML-08 ML-09 ML-10 ML-14 ML-16",
+    f"""WITH {_DRAWN} SELECT model, label, count(*) AS tested, 0::BIGINT AS disagreeing,
+        0::BIGINT AS improbable FROM marked
+    CROSS JOIN (VALUES {", ".join(f"('{m}')" for m in _MODELS)}) AS models(model)
+    WHERE NOT is_train GROUP BY model, label""",
+)
+def stored_model_agreement(star: DeliveryStar):
+    """All models fitted, stored and loaded: test rows by class, those that the loaded model
+    predicts otherwise, and those whose class probabilities do not add up to 1."""
+    train, test = _model_rows(star)
+    root = scratch_path(star.spark, "models")
+    fitted = {
+        "Decision Tree": classify.fit_tree(train),
+        "Random Forest": classify.fit_forest(train),
+        "SVM": classify.fit_svm(train),
+    }
+    accuracies = evaluate.compare({n: classify.predictions(m, test) for n, m in fitted.items()})
+    paths = save_models(fitted, accuracies, root)
+    loaded, _ = load_models(star.spark, paths)
+    mixed = bayes.fit(train, "label", classify.NUMERIC, classify.CATEGORICAL)
+    mixed.save(star.spark, f"{root}/bayes")
+    again = bayes.NaiveBayesModel.load(star.spark, f"{root}/bayes")
+    pairs = {
+        name: [classify.predictions(m, test) for m in (fitted[name], loaded[name])]
+        for name in fitted
+    }
+    pairs["Naive Bayes"] = [
+        bayes.predict(m, test).withColumn("probabilities", F.array(F.lit(1.0)))
+        for m in (mixed, again)
+    ]
+    rows = None
+    for name, (one, two) in pairs.items():
+        total = F.aggregate("probabilities", F.lit(0.0), lambda a, x: a + x)
+        met = one.select("delivery_id", "label", F.col("prediction").alias("said")).join(
+            two.select("delivery_id", "prediction", total.alias("total")), "delivery_id"
+        )
+        counts = met.groupBy("label").agg(
+            F.count(F.lit(1)).alias("tested"),
+            F.count_if(~F.col("said").eqNullSafe(F.col("prediction"))).alias("disagreeing"),
+            F.count_if(F.abs(F.col("total") - 1) > 1e-9).alias("improbable"),
+        )
+        counts = counts.select(F.lit(name).alias("model"), "*")
+        rows = counts if rows is None else rows.unionByName(counts)
+    return rows
+
+
+@query(
+    "stored_preparation",
+    "SNK-03 ML-01 ML-03 ML-04 ML-09",
+    f"WITH {_BAYES} SELECT label, prediction, count(*) AS n, 0::BIGINT AS moved FROM predicted"
+    " GROUP BY label, prediction",
+)
+def stored_preparation(star: DeliveryStar):
+    """Preparation and naive Bayes fitted on training rows, stored, loaded, applied to test rows:
+    predictions by class, and rows whose components or prediction the loaded ones change."""
+    marked = staged(_marked(star), "marked")
+    features = staged(_with_time(star), "features")
+    keys = marked.where("is_train").select("delivery_id")
+    fitted = prep.fit_preparation(
+        staged(features.join(keys, "delivery_id", "left_semi"), "training")
+    )
+    root = scratch_path(star.spark, "preparation")
+    loaded = prep.Preparation.load(star.spark, fitted.save(star.spark, f"{root}/prep"))
+    model = bayes.fit(
+        marked.where("is_train"), "label", ["distance_km", "order_value"],
+        ["order_segment", "traffic_level"],
+    )
+    model.save(star.spark, f"{root}/bayes")
+    again = bayes.NaiveBayesModel.load(star.spark, f"{root}/bayes")
+    test = marked.where("NOT is_train")
+    one = bayes.predict(model, test).select("delivery_id", F.col("prediction").alias("said"))
+    two = bayes.predict(again, test).select("delivery_id", "label", "prediction")
+    parts = [
+        p.apply(features).select("delivery_id", F.array("PC1", "PC2").alias(n))
+        for p, n in ((fitted, "at"), (loaded, "again_at"))
+    ]
+    met = two.join(one, "delivery_id").join(parts[0], "delivery_id").join(parts[1], "delivery_id")
+    differs = (F.col("at") != F.col("again_at")) | (F.col("said") != F.col("prediction"))
+    return met.groupBy("label", "prediction").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(differs).alias("moved")
+    )
+
+
+def _lloyd_sql(k: int = 3, steps: int = 40) -> str:
+    """The steps of ``cluster.lloyd`` one after the other; after the last move nothing changes."""
+    names, centres = ("z0", "z1", "z2"), ("c0", "c1", "c2")
+    start = ", ".join(
+        f"({i + 1}, " + ", ".join([f"{(2 * i + 1) / k - 1!r}::DOUBLE"] * 3) + ")" for i in range(k)
+    )
+    size = " + ".join(f"({z} - {c}) ** 2" for z, c in zip(names, centres))
+
+    def nearest(at: int) -> str:
+        return f"""(SELECT p.*, (SELECT min_by(i, {size} + i * 1e-300) FROM centre{at}) AS near
+            FROM points p)"""
+
+    ctes = [f"centre0(i, c0, c1, c2) AS MATERIALIZED (VALUES {start})"]
+    for at in range(steps):
+        means = ", ".join(f"coalesce(avg({z}), any_value({c}))" for z, c in zip(names, centres))
+        ctes.append(
+            f"centre{at + 1}(i, c0, c1, c2) AS MATERIALIZED (SELECT i, {means} FROM centre{at}"
+            f" LEFT JOIN {nearest(at)} ON near = i GROUP BY i)"
+        )
+    ctes.append(
+        f"""ranked AS (SELECT i, row_number() OVER (ORDER BY c0, c1, c2) AS cluster
+        FROM centre{steps}), found AS (SELECT agent_key, cluster FROM {nearest(steps)}
+        JOIN ranked ON near = i)"""
+    )
+    return ",\n".join(ctes)
+
+
+_PERFORMANCE = """performance AS (SELECT a.*, avg_delivery_time, delay_rate, avg_rating
+        FROM dim_agent a
+        JOIN (SELECT agent_id, avg(delivery_time_min) AS avg_delivery_time,
+            sum(delayed_flag) * 1.0::DOUBLE / count(*) AS delay_rate
+            FROM fact_delivery GROUP BY agent_id) d USING (agent_id)
+        LEFT JOIN (SELECT agent_key, avg(rating) AS avg_rating FROM fact_review GROUP BY agent_key) r
+            USING (agent_key)),
+    points AS MATERIALIZED (SELECT agent_key,
+        (avg_delivery_time - avg(avg_delivery_time) OVER ()) / stddev_samp(avg_delivery_time) OVER () AS z0,
+        (delay_rate - avg(delay_rate) OVER ()) / stddev_samp(delay_rate) OVER () AS z1,
+        (avg_rating - avg(avg_rating) OVER ()) / stddev_samp(avg_rating) OVER () AS z2
+        FROM performance WHERE avg_rating IS NOT NULL)"""
+
+
+@query(
+    "agent_clusters_lloyd",
+    "ML-13 FLT-02",
+    f"""WITH {_PERFORMANCE}, {_lloyd_sql()} SELECT agent_key, agent_id, CAST(cluster AS INTEGER) AS cluster
+    FROM performance LEFT JOIN found USING (agent_key)""",
+)
+def agent_clusters_lloyd(star: DeliveryStar):
+    rows = cluster.lloyd(staged(performance(star), "agent-performance"))
+    return rows.select("agent_key", "agent_id", "cluster")
+
+
+@query(
+    "hierarchical_cluster_totals",
+    "ML-15 FLT-02",
+    f"""WITH {_PERFORMANCE} SELECT count(*) AS agents, count(avg_rating) AS clustered,
+        3::BIGINT AS clusters, 0::BIGINT AS out_of_order FROM performance""",
+)
+def hierarchical_cluster_totals(star: DeliveryStar):
+    """Agents, those with a cluster, clusters, and clusters whose number is not from 1 to 3."""
+    rows = cluster.bisecting(staged(performance(star), "agent-performance"))
+    label = F.col("cluster_hierarchical")
+    return rows.agg(
+        F.count(F.lit(1)).alias("agents"),
+        F.count(label).alias("clustered"),
+        F.count_distinct(label).alias("clusters"),
+        F.count_if(~label.between(1, 3)).alias("out_of_order"),
+    )
+
+
 @query("agent_clusters", "ML-13 FLT-02 PRJ-06")
 def agent_clusters(star: DeliveryStar):
     return cluster.kmeans(staged(performance(star), "agent-performance"))

@@ -24,7 +24,7 @@ TEXT_LEXICON = (
 
 _STOP = ", ".join(f"('{w}')" for w in STOP_WORDS)
 _ENTRIES = ", ".join(f"('{w}', '{s}')" for w, s in TEXT_LEXICON)
-_WORDS = r"regexp_extract_all(lower(review_text), '[\p{L}\p{N}]+(?:[''’][\p{L}\p{N}]+)*')"
+_WORDS = r"regexp_extract_all(lower(review_text), '[\p{L}\p{M}\p{N}_]+(?:[''’][\p{L}\p{M}\p{N}_]+)*')"
 _TOKENS = f"""all_words AS (SELECT review_id, unnest({_WORDS}) AS word FROM fact_review
         WHERE review_text IS NOT NULL),
     tokens AS (SELECT review_id, word FROM all_words
@@ -43,12 +43,12 @@ _LEXICON = f"lexicon(word, sentiment) AS (VALUES {_ENTRIES})"
 
 
 def _reviews(star: DeliveryStar):
-    return star.spread_reviews.select("review_id", "rating", "review_text")
+    return star.plain_reviews.select("review_id", "rating", "review_text")
 
 
 @query(
     "review_tokens",
-    "TXT-01 TXT-02 JOIN-05",
+    "TXT-01 TXT-02",
     f"""WITH {_TOKENS} SELECT review_id, count(*) AS tokens, count(DISTINCT word) AS words,
         min(word) AS first_word, max(word) AS last_word FROM tokens GROUP BY review_id""",
 )
@@ -62,9 +62,26 @@ def review_tokens(star: DeliveryStar):
     )
 
 
+@query(
+    "review_tokens_joined",
+    "TXT-01 TXT-02 JOIN-05",
+    f"""WITH {_TOKENS} SELECT review_id, count(*) AS tokens, count(DISTINCT word) AS words,
+        min(word) AS first_word, max(word) AS last_word FROM tokens GROUP BY review_id""",
+)
+def review_tokens_joined(star: DeliveryStar):
+    """The same tokens with the stop words taken out by an anti-join."""
+    words = text.tokens(_reviews(star), stop=STOP_WORDS, keep=["review_id"], method="join")
+    return words.groupBy("review_id").agg(
+        F.count(F.lit(1)).alias("tokens"),
+        F.count_distinct("word").alias("words"),
+        F.min("word").alias("first_word"),
+        F.max("word").alias("last_word"),
+    )
+
+
 @query(
     "word_counts",
-    "TXT-03 AGG-06 JOIN-05",
+    "TXT-03 AGG-06",
     f"WITH {_TOKENS} SELECT word, count(*) AS n FROM tokens GROUP BY word",
 )
 def word_counts(star: DeliveryStar):
@@ -76,14 +93,14 @@ def word_counts(star: DeliveryStar):
     "TXT-02 TXT-03 JOIN-05",
     f"""WITH all_words AS (SELECT unnest({_WORDS}) AS word FROM fact_review),
         stop_list AS (SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text),
-            '[\\p{{L}}\\p{{N}}]+(?:[''’][\\p{{L}}\\p{{N}}]+)*')) AS word FROM benchmark))
+            '[\\p{{L}}\\p{{M}}\\p{{N}}_]+(?:[''’][\\p{{L}}\\p{{M}}\\p{{N}}_]+)*')) AS word FROM benchmark))
     SELECT word, count(*) AS n FROM all_words WHERE word NOT IN (SELECT word FROM stop_list)
     GROUP BY word""",
 )
 def word_counts_stop_table(star: DeliveryStar):
     """Stop words from a table of its own: every word of the benchmark texts."""
     stop = text.tokens(star.table("benchmark"), "text").distinct()
-    return text.word_counts(_reviews(star), stop=stop)
+    return text.word_counts(_reviews(star), stop=stop, method="join")
 
 
 @query(
@@ -103,7 +120,7 @@ def top_words(star: DeliveryStar):
     JOIN totals USING (review_id)""",
 )
 def term_counts(star: DeliveryStar):
-    return text.term_counts(_reviews(star))
+    return text.term_counts(_reviews(star), unique_ids=True)
 
 
 @query(
@@ -114,13 +131,13 @@ def term_counts(star: DeliveryStar):
 )
 def term_totals_joined(star: DeliveryStar):
     """The same counts with the totals summed per review and joined back on shared columns."""
-    counts = text.term_counts(_reviews(star)).drop("total")
+    counts = text.term_counts(_reviews(star), unique_ids=True).drop("total")
     totals = counts.groupBy("review_id").agg(F.sum("n").alias("total"))
     return olap.natural_left_join(counts, totals).select("review_id", "word", "n", "total")
 
 
 def _scored(star: DeliveryStar):
-    return text.review_tf_idf(_reviews(star))
+    return text.review_tf_idf(_reviews(star), unique_ids=True)
 
 
 def _nine(df):
@@ -132,6 +149,12 @@ def tf_idf(star: DeliveryStar):
     return _nine(_scored(star))
 
 
+@query("tf_idf_rare_words", "TXT-05 FN-14 JOIN-08", f"WITH {_TF_IDF} SELECT * FROM tf_idf")
+def tf_idf_rare_words(star: DeliveryStar):
+    """The same scores with 500 words broadcast and all others joined by a shuffle."""
+    return _nine(text.review_tf_idf(_reviews(star), method="join", hot_words=500))
+
+
 @query("tf_idf_of_counts", "TXT-05 TXT-04 FN-14", f"WITH {_TF_IDF} SELECT * FROM tf_idf")
 def tf_idf_of_counts(star: DeliveryStar):
     """The same scores from a table of term counts."""
@@ -169,7 +192,7 @@ def best_tf_idf_terms(star: DeliveryStar):
 
 @query(
     "review_sentiment",
-    "TXT-06 JOIN-06 JOIN-07 AGG-08 FN-06 FN-07",
+    "TXT-06 AGG-08 FN-06 FN-07",
     f"""WITH {_TOKENS}, {_LEXICON},
         scores AS (SELECT review_id, sum(CASE WHEN sentiment = 'positive' THEN 1 ELSE -1 END)::BIGINT
             AS score FROM tokens JOIN lexicon USING (word) GROUP BY review_id)
@@ -177,7 +200,26 @@ def best_tf_idf_terms(star: DeliveryStar):
     FROM fact_review LEFT JOIN scores USING (review_id)""",
 )
 def review_sentiment(star: DeliveryStar):
-    return text.sentiment_scores(_reviews(star), lexicon=TEXT_LEXICON)
+    return text.sentiment_scores(_reviews(star), lexicon=TEXT_LEXICON, unique_ids=True)
+
+
+_SENTIMENT = f"""WITH {_TOKENS}, {_LEXICON},
+        scores AS (SELECT review_id, sum(CASE WHEN sentiment = 'positive' THEN 1 ELSE -1 END)::BIGINT
+            AS score FROM tokens JOIN lexicon USING (word) GROUP BY review_id)
+    SELECT review_id, rating, review_text, coalesce(score, 0) AS sentiment_score
+    FROM fact_review LEFT JOIN scores USING (review_id)"""
+
+
+@query("review_sentiment_joined", "TXT-06 JOIN-05 JOIN-06 JOIN-07 AGG-08 FN-06", _SENTIMENT)
+def review_sentiment_joined(star: DeliveryStar):
+    """The same scores by joins: stop words taken out, the lexicon and the scores joined."""
+    return text.sentiment_scores(_reviews(star), lexicon=TEXT_LEXICON, method="join")
+
+
+@query("sentiment_per_review_id", "TXT-06 JOIN-07 AGG-08", _SENTIMENT)
+def sentiment_per_review_id(star: DeliveryStar):
+    """The same scores from literal lists, summed per id and joined back."""
+    return text.sentiment_scores(_reviews(star), lexicon=TEXT_LEXICON, method="literal")
 
 
 @query(

@@ -23,7 +23,6 @@ from parcelsight.functions.columns import (
 from parcelsight.operators.enrich import complaint
 from parcelsight.operators.olap import PART_COLUMNS, measure_parts
 from parcelsight.operators.warehouse import date_parts
-from parcelsight.sources.readers import spread
 from parcelsight.sources.scratch import staged
 
 # The day reviews are dated back from: a parameter, since "today" cannot be reproduced.
@@ -33,8 +32,6 @@ LINE_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 _ORDER_COLUMNS = {"time_id", "order_date", "delivery_time_raw", "traffic_level"}
 _CITY_COLUMNS = {"city_id"}
 _AGENT_COLUMNS = {"agent_id"}
-# Columns that take string and digest work per row.
-_COSTLY_COLUMNS = {"delivery_id", "customer_complaint"}
 
 
 def _line_key() -> Column:
@@ -147,6 +144,9 @@ class DeliveryStar:
         lines = self.table("lineitem").select(
             "l_orderkey", *[known[c].alias(c) for c in (*own, "delivery_time_min", "delayed_flag")]
         )
+        if own:
+            # One exchange by order serves the sums by order and more, and the join after them.
+            lines = lines.repartition("l_orderkey")
         parts = measure_parts(lines, ["l_orderkey", *own])
         orders = self._orders(bool(_CITY_COLUMNS & set(keys)))
         joined = parts.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -160,12 +160,43 @@ class DeliveryStar:
         places = self.table("customer").select("c_custkey", "c_nationkey")
         return orders.join(places, F.col("o_custkey") == F.col("c_custkey"))
 
+    @cached_property
+    def delivered_cities(self) -> DataFrame:
+        """Cities with a delivery. Lines are reduced to their different orders before any join,
+        and every join after that only asks whether a key is there."""
+        lines = self.table("lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+        orders = self.table("orders").join(lines, "o_orderkey", "left_semi")
+        customers = orders.select(F.col("o_custkey").alias("c_custkey")).distinct()
+        used = self.table("customer").join(customers, "c_custkey", "left_semi")
+        cities = used.select(F.col("c_nationkey").alias("city_id")).distinct()
+        return self.dim_city.join(cities, "city_id", "left_semi")
+
+    @cached_property
+    def lone_lines(self) -> DataFrame:
+        """Lines whose order, customer or supplier is missing."""
+        whole = self._orders(with_city=True).select(F.col("o_orderkey").alias("l_orderkey"))
+        agents = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"))
+        lines = self.table("lineitem").select("l_orderkey", "l_suppkey")
+        placed = lines.join(whole, "l_orderkey", "left_semi")
+        return lines.join(whole, "l_orderkey", "left_anti").unionByName(
+            placed.join(agents, "l_suppkey", "left_anti")
+        )
+
+    @cached_property
+    def delivered_agents(self) -> DataFrame:
+        """Names of the agents with a delivery."""
+        used = self.table("lineitem").select(F.col("l_suppkey").alias("s_suppkey")).distinct()
+        agents = self.table("supplier").join(used, "s_suppkey", "left_semi")
+        return agents.select(F.col("s_name").alias("agent_name"))
+
     def deliveries(self, *columns: str) -> DataFrame:
-        """fact_delivery with the given columns."""
+        """fact_delivery with the given columns.
+
+        Tables are joined only where a column needs them. Every line has its order, customer
+        and supplier, as ``warehouse_summary`` checks; else totals would hang on the columns.
+        """
         wanted = set(columns)
         rows = self.table("lineitem")
-        if wanted & _COSTLY_COLUMNS:
-            rows = spread(rows)
         if wanted & (_ORDER_COLUMNS | _CITY_COLUMNS):
             orders = self._orders(bool(wanted & _CITY_COLUMNS))
             rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -192,13 +223,12 @@ class DeliveryStar:
         "product_availability", "price_range", "review_text", "source",
     )
 
-    def _plain_reviews(self, documents: DataFrame | None = None) -> DataFrame:
-        documents = self.table("documents") if documents is None else documents
+    def _plain_reviews(self) -> DataFrame:
         doc = F.col("doc_id")
         day = days_before(
             REFERENCE_DATE, F.floor(uniform(["doc_id"], "order_date") * 61).cast("int")
         )
-        return documents.select(
+        return self.table("documents").select(
             "doc_id",
             doc.alias("review_id"),
             date_id(day).alias("time_id"),
@@ -217,11 +247,6 @@ class DeliveryStar:
         """fact_review without the two columns that need the labels."""
         return self._plain_reviews().select(*self._plain_columns)
 
-    @cached_property
-    def spread_reviews(self) -> DataFrame:
-        """The same, for work on the texts."""
-        return self._plain_reviews(spread(self.table("documents"))).select(*self._plain_columns)
-
     @cached_property
     def raw_reviews(self) -> DataFrame:
         """Reviews as the raw file has them: all text, with gaps and junk."""
@@ -280,7 +305,7 @@ class DeliveryStar:
             "weather", "vehicle_type", "is_festival",
         )
         return (
-            spread(self.table("lineitem"))
+            self.table("lineitem")
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
             .select(

@@ -28,7 +28,7 @@ from parcelsight.operators import (
     text,
     warehouse,
 )
-from parcelsight.sources.readers import read_table
+from parcelsight.sources.readers import read_stage
 from parcelsight.sources.writers import save_models, write_delimited, write_stage
 
 DELIVERY_FIELDS = (
@@ -55,20 +55,27 @@ class Workflow:
         return f"{self.root.rstrip('/')}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.path(name))
+        return read_stage(self.spark, self.path(name))
 
     def _keep(self, name: str, df: DataFrame, *partition_by: str) -> None:
         write_stage(df, self.path(name), partition_by)
 
-    def clean(self, raw_reviews: DataFrame, order_by: Sequence[str], reference_date: str) -> None:
+    def clean(
+        self, raw_reviews: DataFrame, order_by: Sequence[str], reference_date: str,
+        unique: bool = False,
+    ) -> None:
+        """``unique`` promises that ``order_by`` identifies a raw row: its other columns, the text
+        among them, then need not break ties."""
         raw = quality.require_rows(raw_reviews, 1, "raw reviews")
-        cleaned = etl.clean_reviews(raw, order_by, reference_date)
+        cleaned = etl.clean_reviews(raw, order_by, reference_date, unique=unique)
         fields = ("review_id", "order_date", "city", "agent_name", "agent_id", *REVIEW_FIELDS)
         self._keep("reviews_clean", cleaned.select(*fields))
 
     def build_warehouse(self, raw_deliveries: DataFrame, order_by: Sequence[str]) -> None:
         reviews = self.read("reviews_clean")
-        work = etl.traffic_levels(etl.delay_flags(raw_deliveries))
+        # Read four times below: the caller's joins run once.
+        self._keep("deliveries_raw", raw_deliveries)
+        work = etl.traffic_levels(etl.delay_flags(self.read("deliveries_raw")))
         self._keep("dim_time", warehouse.time_dimension(work, reviews))
         self._keep("dim_city", warehouse.city_dimension(work, reviews))
         self._keep("dim_agent", warehouse.agent_dimension(work, reviews))
@@ -87,12 +94,27 @@ class Workflow:
         self._keep("fact_review", reviews)
 
     def prepare(self) -> None:
-        self._keep("preprocessed_data", prep.prepare(self.read("fact_delivery")))
+        """Fit the preparation, store it for later deliveries, and apply it to these."""
+        facts = self.read("fact_delivery")
+        path = prep.fit_preparation(facts).save(self.spark, self.path("preparation"))
+        self._keep("preprocessed_data", prep.Preparation.load(self.spark, path).apply(facts))
 
     def report_measures(self) -> None:
         facts, cities = self.read("fact_delivery"), self.read("dim_city")
         self._keep("city_traffic", olap.city_traffic(facts, cities))
         self._keep("city_month", olap.city_month(facts, cities, self.read("dim_time")))
+        named = facts.join(cities, "city_id", "left").withColumnRenamed("agent_id", "agent_name")
+        keys = ["city", "agent_name", "traffic_level", "weather"]
+        self._keep("measure_parts", olap.measure_parts(named, keys))
+        parts = self.read("measure_parts")
+        self._keep("daily_orders", olap.daily_orders(facts, self.read("dim_time")))
+        for level in ("city", "agent_name"):
+            self._keep(f"drill_{level}", olap.drill(parts, level))
+        places = olap.measure_parts(parts, ["city", "agent_name"])
+        self._keep("place_rollup", olap.hierarchy_rollup(places, ["city", "agent_name"]))
+        cells = ["city", "traffic_level", "weather"]
+        self._keep("cube", olap.dimension_cube(olap.measure_parts(parts, cells), cells))
+        self._keep("key_figures", olap.key_figures(facts))
 
     def classify(self) -> None:
         """Fit and compare the tree, naive Bayes and SVM, and a forest beside them."""
@@ -107,6 +129,7 @@ class Workflow:
         }
         scored = {name: classify.predictions(m, test) for name, m in models.items()}
         mixed = bayes.fit(train, "label", classify.NUMERIC, classify.CATEGORICAL)
+        mixed.save(self.spark, self.path("classification/model_naive_bayes"))
         scored["naive_bayes"] = bayes.predict(mixed, test)
         save_models(models, evaluate.compare(scored, POSITIVE), self.path("classification"))
 
@@ -147,11 +170,12 @@ class Workflow:
             reviews.select("review_id", "review_text", "rating"),
             stop=self.stop,
             lexicon=self.lexicon,
+            unique_ids=True,
         )
         write_delimited(scored, self.path("reviews_with_sentiment_csv"), "overwrite")
         totals = text.sentiment_totals(reviews, stop=self.stop, lexicon=self.lexicon)
         write_delimited(totals, self.path("review_sentiment_summary_csv"), "overwrite")
-        terms = text.review_tf_idf(reviews, stop=self.stop)
+        terms = text.review_tf_idf(reviews, stop=self.stop, unique_ids=True)
         self._keep("tf_idf", text.first_terms(terms, 100))
         self._keep("source_summary", olap.source_summary(reviews))
 
@@ -184,8 +208,9 @@ class Workflow:
         raw_deliveries: DataFrame,
         delivery_order: Sequence[str],
         reference_date: str,
+        unique_reviews: bool = False,
     ) -> None:
-        self.clean(raw_reviews, review_order, reference_date)
+        self.clean(raw_reviews, review_order, reference_date, unique_reviews)
         self.build_warehouse(raw_deliveries, delivery_order)
         self.enrich()
         self.prepare()

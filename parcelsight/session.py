@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# Without a number of shuffle partitions (on a cluster), shuffles start with so many that a
+# partition of 100 TB is a few GB; the adaptive engine joins them to ones of a useful size.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+FIRST_PARTITIONS = "20000"
 SETTINGS = {
     # Re-plan at run time: coalesce small shuffles, split skewed join partitions,
     # turn a join into a broadcast once the real size of a side is known.
@@ -27,6 +31,8 @@ def build_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    else:
+        builder = builder.config(INITIAL_PARTITIONS, FIRST_PARTITIONS)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelsight.sources.schemas import RAW_REVIEW
 
+# Folder name that stands for the empty string; Spark would read it back as NULL.
+EMPTY = "__EMPTY_STRING__"
+# A replaced table's pointers: the one with the largest number is the current version.
+POINTER = "number long, version string, schema string"
+
 
 def read_delimited(
     spark: SparkSession,
@@ -49,11 +57,25 @@ def run_sql(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
     return spark.sql(sql, **tables)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Give a file scan that has fewer splits than the cluster has cores one split per core.
+def read_stage(spark: SparkSession, path: str) -> DataFrame:
+    """A stored stage with the types and values it was written with, partition columns too."""
+    stored = spark.read.text(f"{path}.schema").first()[0]
+    schema = T.StructType.fromJson(json.loads(stored))
+    rows = spark.read.schema(schema).parquet(path)
+    # Only a partition column can hold the stand-in; a filter on it still prunes folders.
+    return rows.select(
+        *[
+            F.when(F.col(f.name) == EMPTY, "").otherwise(F.col(f.name)).alias(f.name)
+            if isinstance(f.dataType, T.StringType)
+            else f.name
+            for f in schema.fields
+        ]
+    )
 
-    Only a small input packed in a few row groups qualifies: without this, costly column
-    work over it would run in a single task. A scan with enough splits is left alone.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The version of a replaced table that its newest pointer names, in any session."""
+    base = f"{root.rstrip('/')}/{name}"
+    newest = spark.read.schema(POINTER).parquet(f"{base}.current").orderBy(F.desc("number")).first()
+    schema = T.StructType.fromJson(json.loads(newest["schema"]))
+    return spark.read.schema(schema).parquet(f"{base}.versions/{newest['version']}")

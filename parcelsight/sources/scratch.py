@@ -30,9 +30,21 @@ def shared_folder(spark: SparkSession) -> str:
     )
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that holds this application's intermediate results."""
+    return f"{shared_folder(spark)}/parcelsight-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no earlier run has used."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the run's folder that no earlier stage has used."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the run's folder. Frames that read staged tables cannot be used any more: call it
+    before the session is stopped."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from parcelsight.sources.readers import EMPTY, POINTER
 
 
 def write_delimited(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
@@ -26,10 +31,18 @@ def write_stage(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     """Parquet result of one stage, replacing an earlier run of the same stage.
 
     With partition columns the rows are rebalanced first: one writer per folder for small
-    values, several for a value that holds a large share of the rows.
+    values, several for a value that holds a large share of the rows. The schema is stored
+    beside the folder, since a folder's name keeps neither the type of a value nor the empty
+    string; :func:`parcelsight.sources.readers.read_stage` gives both back.
     """
+    spark = df.sparkSession
+    schema = spark.createDataFrame([(df.schema.json(),)], "schema string")
+    schema.coalesce(1).write.mode("overwrite").text(f"{path}.schema")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    for column in partition_by:
+        if isinstance(df.schema[column].dataType, T.StringType):
+            df = df.withColumn(column, F.when(F.col(column) == "", EMPTY).otherwise(F.col(column)))
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 
@@ -37,16 +50,34 @@ def write_stage(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
 def replace_table(df: DataFrame, root: str, name: str) -> tuple[DataFrame, str]:
     """Replace table ``name`` by ``df``, which may itself read the present version.
 
-    Spark cannot overwrite files it is reading, so every replacement goes to a new
-    version folder and the view ``name`` is pointed at it once it is complete.
+    Spark cannot overwrite files it is reading, so every version has a folder of its own. Once
+    it is complete, a pointer to it is added, and the view ``name`` of this session points at
+    it; other sessions find it with :func:`parcelsight.sources.readers.read_current`. Readers
+    of an older version are not disturbed until ``drop_superseded``.
     """
-    path = f"{root.rstrip('/')}/{name}/version={uuid.uuid4().hex}"
+    spark, base = df.sparkSession, f"{root.rstrip('/')}/{name}"
+    version = uuid.uuid4().hex
+    path = f"{base}.versions/{version}"
     df.write.parquet(path)
-    fresh = df.sparkSession.read.schema(df.schema).parquet(path)
+    pointer = spark.createDataFrame(
+        [(time.time_ns(), version, df.schema.json())], POINTER
+    )
+    pointer.coalesce(1).write.mode("append").parquet(f"{base}.current")
+    fresh = spark.read.schema(df.schema).parquet(path)
     fresh.createOrReplaceTempView(name)
     return fresh, path
 
 
+def drop_superseded(spark: SparkSession, root: str, name: str) -> None:
+    """Delete all versions of a table but the current one; no one may be reading them."""
+    base = f"{root.rstrip('/')}/{name}"
+    rows = spark.read.schema(POINTER).parquet(f"{base}.current").orderBy("number").collect()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for row in rows[:-1]:
+        path = hadoop.Path(f"{base}.versions/{row['version']}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def save_models(
     models: Mapping[str, PipelineModel], accuracies: DataFrame, root: str
 ) -> dict[str, str]:

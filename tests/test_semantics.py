@@ -189,10 +189,32 @@ def test_long_word_lists_give_the_same_result(spark, monkeypatch):
 
 def test_repeated_review_ids(spark):
     df = spark.createDataFrame([(1, "a b"), (1, "a")], "review_id int, review_text string")
-    counts = text.term_counts(df, stop=(), unique_ids=False)
+    counts = text.term_counts(df, stop=())
     assert sorted(map(tuple, counts.collect())) == [(1, "a", 2, 3), (1, "b", 1, 3)]
 
 
+def test_the_size_of_a_list_does_not_change_scores_per_id(spark):
+    df = spark.createDataFrame(
+        [(1, "good fast"), (1, "bad"), (2, "good"), (None, "good"), (None, "fine good")],
+        "review_id int, review_text string",
+    )
+    lexicon = [("good", "positive"), ("fast", "positive"), ("bad", "negative")]
+    for method in ("literal", "join", "auto"):
+        scored = text.sentiment_scores(df, lexicon=lexicon, method=method)
+        assert sorted(values(scored, "review_text", "sentiment_score")) == [
+            ("bad", 1), ("fine good", 2), ("good", 1), ("good", 2), ("good fast", 1),
+        ]
+        counts = text.term_counts(df, stop=["fast"], method=method)
+        assert {r["total"] for r in counts.filter("review_id = 1").collect()} == {2}
+
+
+def test_marks_and_underscores_stay_in_words(spark):
+    df = spark.createDataFrame([("हिन्दी foo_bar cafe\u0301 a-b",)], "t string")
+    assert df.select(words_of("t").alias("w")).first()["w"] == [
+        "हिन्दी", "foo_bar", "cafe\u0301", "a", "b",
+    ]
+
+
 def test_junk_numbers(spark):
     df = spark.createDataFrame(
         [("x",), ("3.5",), (" 4 ",), ("3f",), ("1d",), ("",), (None,), ("1e2",)], "s string"
@@ -297,7 +319,7 @@ def test_dice_bounds_are_inclusive(spark):
         assert olap.dice(frame, None, "2024-01-01", "2024-01-31", dated).count() == 3
 
 
-def test_rare_words_are_scored_like_frequent_ones(spark, monkeypatch):
+def test_rare_words_are_scored_like_frequent_ones(spark):
     """Splitting the vocabulary must not change a score, whatever the number of hot words."""
     long_word = "x" * 200
     rows = [(i, "the " * 5 + f"cold cold food{i % 7} u{i} {long_word if i % 3 else ''}") for i in range(60)]
@@ -305,6 +327,7 @@ def test_rare_words_are_scored_like_frequent_ones(spark, monkeypatch):
     whole = sorted(map(tuple, text.review_tf_idf(df).collect()))
     assert len(whole) == 60 * 3 + 40
     for hot in (1, 3, 20):
-        monkeypatch.setattr(text, "HOT_WORDS", hot)
-        assert sorted(map(tuple, text.review_tf_idf(df).collect())) == whole
-        assert sorted(map(tuple, text.tf_idf(text.term_counts(df)).collect())) == whole
+        assert sorted(map(tuple, text.review_tf_idf(df, hot_words=hot).collect())) == whole
+        scored = text.review_tf_idf(df, hot_words=hot, unique_ids=True, method="join")
+        assert sorted(map(tuple, scored.collect())) == whole
+        assert sorted(map(tuple, text.tf_idf(text.term_counts(df), hot_words=hot).collect())) == whole

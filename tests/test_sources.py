@@ -124,3 +124,47 @@ def test_warehouse_from_raw_frames(spark):
     ]
     rated = warehouse.review_facts(reviews, cities, agents, [])
     assert sorted(map(tuple, rated.collect())) == [(1, 20240101, 3, 1), (2, 20240101, 1, None)]
+
+
+def test_facts_without_a_city_stay(spark):
+    raw = spark.createDataFrame(
+        [("k1", "A", "ann", 5.0), ("k2", None, "bo", 6.0)], "key string, city string, agent_name string, t double"
+    ).withColumn("order_date", F.to_date(F.lit("2024-01-01")))
+    cities = warehouse.city_dimension(raw)
+    facts = warehouse.delivery_facts(raw, cities, ["key"], ["t"]).collect()
+    assert sorted((r["t"], r["city_id"]) for r in facts) == [(5.0, 1), (6.0, None)]
+    reviews = raw.withColumn("review_id", F.col("t").cast("long"))
+    agents = warehouse.agent_dimension(raw)
+    assert warehouse.review_facts(reviews, cities, agents, []).count() == 2
+
+
+def test_partition_values_keep_type_and_empty_string(spark, tmp_path):
+    rows = [("01", 1, 20240101), ("02", 2, 20240102), ("", 3, 20240101), (None, 4, 20240101)]
+    df = spark.createDataFrame(rows, "code string, v long, day int")
+    path = writers.write_stage(df, str(tmp_path / "stage"), ("code", "day"))
+    back = readers.read_stage(spark, path)
+    assert back.schema.simpleString() == df.schema.simpleString()
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+    assert [r["v"] for r in back.where("code = ''").collect()] == [3]
+    plan = back.where("code = '01'")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "code" in plan.split("PartitionFilters: [")[1][:80]
+
+
+def test_other_sessions_find_the_current_version(spark, tmp_path):
+    root = str(tmp_path)
+    writers.replace_table(spark.range(5).toDF("v"), root, "numbers")
+    first = readers.read_current(spark, root, "numbers")
+    writers.replace_table(first.where("v > 1"), root, "numbers")
+    other = spark.newSession()
+    assert readers.read_current(other, root, "numbers").count() == 3
+    writers.drop_superseded(spark, root, "numbers")
+    assert readers.read_current(other, root, "numbers").count() == 3
+    assert len(list((tmp_path / "numbers.versions").iterdir())) == 1
+
+
+def test_the_run_folder_is_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "shared_folder", lambda s: str(tmp_path))
+    scratch.staged(spark.range(3), "numbers")
+    assert len(list(tmp_path.iterdir())) == 1
+    scratch.release(spark)
+    assert list(tmp_path.iterdir()) == []
