@@ -93,8 +93,8 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 _QUALITY_SQL = r"""
 WITH split AS (
   SELECT doc_id, coalesce(text, '') AS t,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS ws,
-         list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
   FROM documents
 ), numbered AS (
   SELECT row_number() OVER () AS r, * FROM split
@@ -115,7 +115,7 @@ WITH split AS (
          CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
          CAST(len(ls) AS BIGINT) AS n_lines,
          CAST(length(regexp_replace(t, '\P{Lu}', '', 'g')) AS BIGINT) AS n_capitals,
-         CAST(len(list_filter(ws, w -> w IN ('|', '-', '*', '#'))) AS BIGINT) AS n_lone_marks
+         CAST(len(list_filter(ws, lambda w: w IN ('|', '-', '*', '#'))) AS BIGINT) AS n_lone_marks
   FROM numbered LEFT JOIN covered USING (r)
 ), ledger AS (
   SELECT *, CAST((CASE WHEN n_words < 50 THEN 1 ELSE 0 END)
