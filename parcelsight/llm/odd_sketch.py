@@ -26,12 +26,15 @@ SAMPLES, ROWS = 200, 5
 BITS = 1024
 #: Least estimated similarity below the wanted one of pairs that are confirmed (five deviations).
 MARGIN = 0.15
+#: Samples and bits of the finer sketches that nodes get which are compared with all others in
+#: their buckets, and the margin below the wanted similarity (five deviations again).
+FINE_SAMPLES, FINE_BITS, FINE_MARGIN = 1000, 8192, 0.06
 #: Documents of a bucket that are compared with each other at a time.
 BLOCK = 1024
 
 _DRAWN = np.random.default_rng(20240229)
-_FACTORS = _DRAWN.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_SHIFTS = _DRAWN.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
+_FACTORS = _DRAWN.integers(0, 1 << 31, FINE_SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_SHIFTS = _DRAWN.integers(0, 1 << 32, FINE_SAMPLES, dtype=np.uint32)
 _SKETCHED = (
     "doc_id long, n_shingles long, node binary, bands array<long>, sketch binary"
 )
@@ -54,12 +57,12 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
     return np.unique(runs)
 
 
-def samples(found: np.ndarray) -> np.ndarray:
+def samples(found: np.ndarray, count: int = SAMPLES) -> np.ndarray:
     """MinHash samples of a set that is not empty."""
     short = (found >> np.uint64(32)).astype(np.uint32)
-    least = np.full(SAMPLES, 0xFFFFFFFF, np.uint32)
+    least = np.full(count, 0xFFFFFFFF, np.uint32)
     for at in range(0, len(short), 512):
-        seen = _FACTORS[:, None] * short[None, at : at + 512] + _SHIFTS[:, None]
+        seen = _FACTORS[:count, None] * short[None, at : at + 512] + _SHIFTS[:count, None]
         np.minimum(least, seen.min(axis=1), out=least)
     return least
 
@@ -73,17 +76,17 @@ def bands(least: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def sketch(least: np.ndarray) -> np.ndarray:
+def sketch(least: np.ndarray, size: int = BITS) -> np.ndarray:
     """Parity bitmap of the samples: each flips one bit."""
-    numbered = (np.arange(SAMPLES, dtype=np.uint64) << np.uint64(32)) | least
-    bits = np.bincount((mix(numbered, 7) % np.uint64(BITS)).astype(np.int64), minlength=BITS)
+    numbered = (np.arange(len(least), dtype=np.uint64) << np.uint64(32)) | least
+    bits = np.bincount((mix(numbered, 7) % np.uint64(size)).astype(np.int64), minlength=size)
     return np.packbits((bits & 1).astype(np.uint8))
 
 
-def estimate(differing: np.ndarray) -> np.ndarray:
+def estimate(differing: np.ndarray, size: int = BITS, count: int = SAMPLES) -> np.ndarray:
     """Similarity estimated from the number of bits in which two sketches differ."""
-    share = np.minimum(2 * differing / BITS, 0.999999)
-    return 1 + BITS / 4 * np.log1p(-share) / SAMPLES
+    share = np.minimum(2 * differing / size, 0.999999)
+    return 1 + size / 4 * np.log1p(-share) / count
 
 
 def _node(found: np.ndarray) -> bytes:
@@ -143,6 +146,25 @@ def full_sets(documents: DataFrame, width: int, text: str = "text") -> DataFrame
     return documents.select(F.col(text).alias("text")).mapInArrow(work, "node binary, full binary")
 
 
+def fine_sketches(documents: DataFrame, width: int, text: str = "text") -> DataFrame:
+    """Node and fine sketch of every document that has words."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in grouped(batch, "text"):
+                found = [shingles(w, width) for w in word_lists(rows.column("text").to_pylist())]
+                found = [f for f in found if len(f)]
+                maps = [sketch(samples(f, FINE_SAMPLES), FINE_BITS).tobytes() for f in found]
+                yield pa.record_batch(
+                    {
+                        "node": pa.array([_node(f) for f in found], pa.binary()),
+                        "sketch": pa.array(maps, pa.binary()),
+                    }
+                )
+
+    return documents.select(F.col(text).alias("text")).mapInArrow(work, "node binary, sketch binary")
+
+
 def _close_sketches(pairs: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b, sa, sb) whose sketches come near enough, with ``estimated``."""
 
@@ -227,19 +249,23 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _shared_buckets(nodes: DataFrame) -> DataFrame:
-    """(key, node, size) of every band that two nodes or more share."""
+    """(key, node, size, met) of every band that two nodes or more share; ``met`` counts the other
+    nodes in all buckets of a node: the text that others were copied from meets the most."""
     rows = nodes.select("node", F.col("n_shingles").alias("size"), F.explode("bands").alias("key"))
     repeated = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return staged(rows.join(repeated.select("key"), "key", "left_semi"), "buckets")
+    shared = staged(rows.join(repeated, "key"), "buckets")
+    met = shared.groupBy("node").agg(F.sum(F.col("_n") - 1).alias("met"))
+    return staged(shared.join(met, "node").select("key", "node", "size", "met"), "buckets")
 
 
 def _with_leaders(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Close pairs (a, b, estimated) of a bucket's leader and another node of it.
 
-    The leader is the node with the least hash; it leads nearly all buckets of its group, so
-    there are a few pairs for each node, not one for each bucket.
+    The leader is the node that meets the most others in all its buckets. Copies are nearer to
+    what they were copied from than to each other, so it is the text that connects them; and it
+    leads nearly all buckets of its group, so there are a few pairs for each node.
     """
-    ranked = F.struct(F.xxhash64("node").alias("rank"), "node", "size")
+    ranked = F.struct((-F.col("met")).alias("rank"), "node", "size")
     leaders = buckets.groupBy("key").agg(F.min(ranked).alias("leader"))
     pairs = (
         buckets.join(leaders, "key")
@@ -254,13 +280,8 @@ def _with_leaders(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFra
     return _close_sketches(pairs.join(one, "a").join(two, "b"), percent / 100 - MARGIN)
 
 
-def _across(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Close pairs (a, b) of a bucket's nodes that are not connected yet.
-
-    Buckets are cut into blocks of about BLOCK nodes; pairs of blocks are compared as arrays,
-    and only close pairs become rows.
-    """
-    least = percent / 100 - MARGIN
+def _mixed_buckets(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows of buckets whose nodes are not all connected, with ``root`` and number of blocks."""
     rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = (
         rooted.groupBy("key")
@@ -268,47 +289,72 @@ def _across(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int
         .where("_x <> _y AND _n > 2")
         .select("key", F.expr(f"CAST(1 + _n div {BLOCK} AS INT)").alias("blocks"))
     )
-    rows = (
-        rooted.join(mixed, "key")
-        .join(nodes.select("node", "sketch"), "node")
+    return rooted.join(mixed, "key").select("key", "node", "root", "size", "blocks")
+
+
+def _across(rows: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
+    """Close pairs (a, b) of nodes in mixed buckets that are not connected yet.
+
+    Buckets are cut into blocks of about BLOCK nodes; blocks are compared with themselves and
+    with each other as arrays of fine sketches. Only close pairs become rows, each in the first
+    of the bands that it shares.
+    """
+    least = percent / 100 - FINE_MARGIN
+    blocks = (
+        rows.join(fine, "node")
         .withColumn("block", F.expr("CAST(pmod(xxhash64(node, 1), blocks) AS INT)"))
+        .groupBy("key", "block", "blocks")
+        .agg(F.collect_list(F.struct("node", "root", "size", "bands", "sketch")).alias("held"))
     )
-    blocks = rows.groupBy("key", "block", "blocks").agg(
-        F.collect_list(F.struct("node", "root", "size", "sketch")).alias("held")
+    alone = blocks.where("blocks = 1").select("key", "held", F.lit(None).cast(blocks.schema["held"].dataType).alias("facing"))
+    many = blocks.where("blocks > 1")
+    left = many.select(
+        "key", F.explode(F.expr("sequence(block, blocks - 1)")).alias("other"), "held"
     )
-    left = blocks.select("key", F.expr("explode(sequence(block, blocks - 1))").alias("other"), "block", "held")
-    right = blocks.select("key", F.col("block").alias("other"), F.col("held").alias("facing"))
+    right = many.select("key", F.col("block").alias("other"), F.col("held").alias("facing"))
+
+    def taken(block) -> tuple:
+        held = block.values
+        maps = np.frombuffer(b"".join(held.field("sketch").to_pylist()), np.uint64)
+        names = {r: i for i, r in enumerate(dict.fromkeys(held.field("root").to_pylist()))}
+        return (
+            held.field("node").to_pylist(),
+            held.field("root").to_pylist(),
+            names,
+            held.field("size").to_numpy(),
+            maps.reshape(-1, FINE_BITS // 64),
+            held.field("bands").flatten().to_numpy().reshape(len(held), -1),
+        )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                one, two = (batch.column(c)[row].values for c in ("held", "facing"))
-                maps = [
-                    np.frombuffer(b"".join(x.field("sketch").to_pylist()), np.uint64).reshape(
-                        -1, BITS // 64
-                    )
-                    for x in (one, two)
-                ]
-                sizes = [x.field("size").to_numpy() for x in (one, two)]
-                root = [np.array(x.field("root").to_pylist(), object) for x in (one, two)]
-                names = [x.field("node").to_pylist() for x in (one, two)]
+                one = taken(batch.column("held")[row])
+                key, facing = batch.column("key")[row].as_py(), batch.column("facing")[row]
+                two = taken(facing) if facing.is_valid else one
+                # Roots as numbers: equal ones on both sides, and -1 for one of this side only.
+                there = np.array([two[2][r] for r in two[1]])
                 found: tuple[list, list] = ([], [])
-                for i, name in enumerate(names[0]):
-                    able = 100 * np.minimum(sizes[1], sizes[0][i]) >= percent * np.maximum(
-                        sizes[1], sizes[0][i]
-                    )
-                    able &= root[1] != root[0][i]
+                for i, name in enumerate(one[0]):
+                    small, large = np.minimum(two[3], one[3][i]), np.maximum(two[3], one[3][i])
+                    able = 100 * small >= percent * large
+                    able &= there != two[2].get(one[1][i], -1)
+                    if two is one:
+                        able[: i + 1] = False
                     at = np.flatnonzero(able)
-                    apart = np.bitwise_count(maps[1][at] ^ maps[0][i]).sum(axis=1, dtype=np.int64)
-                    for j in at[estimate(apart) >= least].tolist():
-                        x, y = sorted((name, names[1][j]))
+                    apart = np.bitwise_count(two[4][at] ^ one[4][i]).sum(axis=1, dtype=np.int64)
+                    at = at[estimate(apart, FINE_BITS, FINE_SAMPLES) >= least]
+                    shared = two[5][at] == one[5][i]
+                    at = at[one[5][i][shared.argmax(axis=1)] == key] if len(at) else at
+                    for j in at.tolist():
+                        x, y = sorted((name, two[0][j]))
                         found[0].append(x)
                         found[1].append(y)
                 yield pa.record_batch(
                     {"a": pa.array(found[0], pa.binary()), "b": pa.array(found[1], pa.binary())}
                 )
 
-    met = left.join(right, ["key", "other"]).select("held", "facing")
+    met = left.join(right, ["key", "other"]).select("key", "held", "facing").unionByName(alone)
     return met.mapInArrow(work, "a binary, b binary").distinct()
 
 
@@ -342,23 +388,32 @@ def near_duplicates(
     close = staged(_with_leaders(buckets, nodes, percent), "close")
     best = close.groupBy("b").agg(F.max_by("a", F.struct("estimated", "a")).alias("a")).select("a", "b")
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = nodes.join(ends, "node", "left_semi").select("doc_id").distinct()
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """Documents that nodes stand for."""
+        ids = nodes.join(wanted.distinct(), "node", "left_semi").select("doc_id").distinct()
         picked = documents.select(F.col("doc_id").cast("long"), F.col(text).alias("text"))
-        return staged(full_sets(picked.join(wanted, "doc_id", "left_semi"), width).dropDuplicates(["node"]), "sets")
+        return picked.join(ids, "doc_id", "left_semi")
 
-    links = staged(_confirmed(best, sets_of(best), percent), "confirmed")
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+        sets = staged(full_sets(texts_of(ends), width).dropDuplicates(["node"]), "sets")
+        return staged(_confirmed(pairs, sets, percent), "confirmed")
+
+    links = confirmed(best)
     roots = components(links)
-    rest = staged(
-        _apart(close.join(best, ["a", "b"], "left_anti"), roots)
-        .union(_across(buckets, nodes, roots, percent))
-        .distinct(),
-        "across",
-    )
-    if not rest.isEmpty():
-        more = staged(_confirmed(rest, sets_of(rest), percent), "confirmed")
-        roots = components(links.union(more))
+    # Leaders' other pairs, then all other pairs: each time those only that are still apart.
+    second = staged(_apart(close.join(best, ["a", "b"], "left_anti"), roots), "apart")
+    if not second.isEmpty():
+        links = links.union(confirmed(second))
+        roots = components(links)
+    mixed = staged(_mixed_buckets(buckets, roots), "mixed")
+    if not mixed.isEmpty():
+        fine = fine_sketches(texts_of(mixed.select("node")), width).dropDuplicates(["node"])
+        fine = fine.join(nodes.select("node", "bands"), "node")
+        third = staged(_across(mixed, fine, percent), "across")
+        if not third.isEmpty():
+            links = links.union(confirmed(third))
+            roots = components(links)
     known = rows.select("doc_id", "n_shingles", "node").join(roots, "node", "left")
     known = known.withColumn("root", F.coalesce("root", "node"))
     heads = known.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("_least"))
