@@ -62,6 +62,15 @@ def _added(words: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return words[order[first]], keys[order[first]], sums
 
 
+def _counts(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different rows of words in the order of their hashes, the hashes, and how often they come."""
+    keys = key_of(words)
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = runs(keys)
+    return words[order[first]], keys[first], np.diff(np.append(first, len(keys)))[:, None]
+
+
 def _pack(words: np.ndarray, keys: np.ndarray, numbers: np.ndarray, level: int, bits: int):
     """One row of _PARTIAL for each shard: columns one after the other, which compress well."""
     shard = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), int)
@@ -213,14 +222,13 @@ def _counted(texts: DataFrame, order: int, bits: int) -> DataFrame:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush():
-            words = np.concatenate([w for w, _ in held])
-            grams = np.concatenate([_windows(w, s, order) for w, s in held])
-            once = np.zeros((len(words), 2), np.int64)
-            once[:, 0] = 1
-            some, keys, sums = _added(grams, once[:, :1])
             if order > 1:
-                yield _pack(some, keys, sums, order, bits)
-            some, keys, sums = _added(words[:, None], once[:, :1])
+                grams = np.concatenate([_windows(w, s, order) for w, s in held])
+                some = _counts(grams)
+                del grams
+                yield _pack(*some, order, bits)
+                del some
+            some, keys, sums = _counts(np.concatenate([w for w, _ in held])[:, None])
             numbers = np.zeros((len(some), len(NUMBERS)), np.int64)
             numbers[:, 5] = sums[:, 0]
             if order == 1:
