@@ -68,7 +68,9 @@ def rated_documents(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = ordinal.train(documents, table(spark, folder, "labels"))
     rows = ordinal.rate(documents.select("doc_id", "text"), model)
-    return rows.select("doc_id", "expected_grade", "tail_probability", "selected")
+    return rows.select(
+        "doc_id", "expected_grade", "tail_probability", F.col("selected").alias("kept")
+    )
 
 
 @query("op6_secrets")
