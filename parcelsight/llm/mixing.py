@@ -70,18 +70,37 @@ def train(labelled: DataFrame, limit: int = SAMPLE) -> DomainModel:
     rows = labelled.where("domain IS NOT NULL").select(
         F.col("domain").cast("string").alias("domain"), "text"
     )
-    held = rows.orderBy(F.xxhash64("text"), "text", "domain").limit(limit).toArrow()
-    names = held.column("domain").to_pylist()
-    domains = tuple(sorted(set(names))) or ("",)
-    counts = np.zeros((len(domains), BUCKETS))
-    prior = np.zeros(len(domains))
-    for name, found in zip(names, _buckets(held.column("text").to_pylist()), strict=True):
-        at = domains.index(name)
-        prior[at] += 1
-        np.add.at(counts[at], found, 1)
-    prior = np.log((prior + 1) / (prior.sum() + len(domains)))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, np.ndarray] = {}
+        seen: dict[str, int] = {}
+        for batch in batches:
+            names, texts = (batch.column(c).to_pylist() for c in ("domain", "text"))
+            for name, found in zip(names, _buckets(texts), strict=True):
+                seen[name] = seen.get(name, 0) + 1
+                held = counts.setdefault(name, np.zeros(BUCKETS, np.float32))
+                np.add.at(held, found, 1)
+        raw = [counts[k].tobytes() for k in counts]
+        yield pa.record_batch(
+            [
+                pa.array([*counts], pa.string()),
+                pa.array([seen[k] for k in counts], pa.int64()),
+                pa.array(raw, pa.binary()),
+            ],
+            ["domain", "seen", "counts"],
+        )
+
+    sample = rows.orderBy(F.xxhash64("text"), "text", "domain").limit(limit).coalesce(1)
+    # One row for each domain, from one task with a bounded sample.
+    found = sorted(sample.mapInArrow(work, "domain string, seen long, counts binary").collect())
+    if not found:
+        return DomainModel(("",), np.zeros(1), np.zeros((1, BUCKETS)))
+    counts = np.stack([np.frombuffer(r.counts, np.float32) for r in found]).astype(float)
+    prior = np.array([float(r.seen) for r in found])
+    prior = np.log((prior + 1) / (prior.sum() + len(found)))
     shares = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
-    return DomainModel(domains, prior, np.log(shares + SMOOTHING * (shares.mean(axis=0) + 1e-9)))
+    words = np.log(shares + SMOOTHING * (shares.mean(axis=0) + 1e-9))
+    return DomainModel(tuple(r.domain for r in found), prior, words)
 
 
 def with_posteriors(documents: DataFrame, model: DomainModel, text: str = "text") -> DataFrame:

@@ -182,11 +182,11 @@ def grade(quality: str = "quality", toxic: str = "toxic") -> Column:
 
 def labelled_sample(
     documents: DataFrame, labels: DataFrame, limit: int = SAMPLE, text: str = "text"
-) -> tuple[list[str | None], np.ndarray]:
-    """Texts and grades of at most ``limit`` labelled documents, those with the least hash.
+) -> DataFrame:
+    """``_text`` and ``_grade`` of at most ``limit`` labelled documents, those with the least hash.
 
     A document with several labels takes the lowest grade. Labels without doc_id or grade are
-    left out; of rows that share a doc_id, all are taken.
+    left out; of rows that share a doc_id, all are taken, up to the limit.
     """
     graded = (
         labels.withColumn("_grade", grade())
@@ -198,14 +198,33 @@ def labelled_sample(
     )
     picked = documents.select(F.col("doc_id"), F.col(text).alias("_text"))
     rows = picked.join(F.broadcast(graded), "doc_id").select("doc_id", "_text", "_grade")
-    held = rows.orderBy(F.xxhash64("doc_id"), "_text").limit(limit).toArrow()
-    return held.column("_text").to_pylist(), held.column("_grade").to_numpy().astype(np.int64)
+    return rows.orderBy(F.xxhash64("doc_id"), "_text").limit(limit).select("_text", "_grade")
 
 
 def train(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE, text: str = "text") -> OrdinalModel:
-    """The model of a bounded sample of labelled documents."""
-    texts, grades = labelled_sample(documents, labels, limit, text)
-    return fit(texts, grades)
+    """The model of a bounded sample of labelled documents, fitted in one task."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches([*batches], schema=schema)
+        model = fit(rows.column(0).to_pylist(), rows.column(1).to_numpy().astype(np.int64))
+        used = np.flatnonzero(model.weights)
+        columns = [[used], [model.weights[used]], [model.thresholds]]
+        types = (pa.int64(), pa.float64(), pa.float64())
+        yield pa.record_batch(
+            [pa.array(c, pa.list_(t)) for c, t in zip(columns, types, strict=True)],
+            ["used", "weights", "thresholds"],
+        )
+
+    schema = pa.schema([("_text", pa.string()), ("_grade", pa.int32())])
+    sample = labelled_sample(documents, labels, limit, text).coalesce(1)
+    found = sample.mapInArrow(
+        work, "used array<long>, weights array<double>, thresholds array<double>"
+    ).collect()
+    if not found:
+        return fit([], np.zeros(0, np.int64))
+    weights = np.zeros(BUCKETS + SHAPES)
+    weights[found[0]["used"]] = found[0]["weights"]
+    return OrdinalModel(weights, np.array(found[0]["thresholds"]))
 
 
 def rate(documents: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame:
