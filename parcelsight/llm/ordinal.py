@@ -28,6 +28,8 @@ STEM = 5
 LEAST_CHI, LEAST_ROWS = 16.0, 3
 #: Labelled rows that a fit uses at most; those with the least hash of their doc_id are taken.
 SAMPLE = 8_000
+#: Rows whose features a fit computes at a time.
+PART = 250
 #: Grades: 0 toxic, 1 of low quality, 2 good.
 GRADES = 3
 #: Texts are selected whose chance of the highest grade is at least this.
@@ -109,10 +111,9 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - total[:, None], -50, 50)))
 
 
-def _telling(index: np.ndarray, grades: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Which features get a weight: the shape, and words that come with some grades more often."""
-    size = BUCKETS + SHAPES
-    seen = np.stack([np.bincount(index[grades == k], minlength=size) for k in range(len(rows))])
+def _telling(seen: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Which features get a weight: the shape, and words that come with some grades more often.
+    ``seen`` counts the rows with each feature by grade, ``rows`` all rows by grade."""
     total = seen.sum(axis=0)
     expected = rows[:, None] / rows.sum() * total
     chi = np.divide((seen - expected) ** 2, expected, where=expected > 0, out=np.zeros(seen.shape))
@@ -130,14 +131,20 @@ def fit(
     Rows count such that all grades weigh the same. Without rows every chance is that of the
     prior: weights 0 and thresholds at 0, 1, ... apart.
     """
-    index, value, starts = features(texts)
     base = np.arange(levels - 1, dtype=float) - (levels - 2) / 2
     weights = np.zeros(BUCKETS + SHAPES)
     if not len(texts):
         return OrdinalModel(weights, base)
-    row = np.repeat(np.arange(len(texts)), np.diff(starts))
-    telling = _telling(index, grades[row], np.bincount(grades, minlength=levels))[index]
-    index, value, row = index[telling], value[telling], row[telling]
+    seen, parts = np.zeros((levels, BUCKETS + SHAPES)), []
+    for at in range(0, len(texts), PART):
+        index, value, starts = features(texts[at : at + PART])
+        row = np.repeat(np.arange(at, at + len(starts) - 1, dtype=np.int32), np.diff(starts))
+        for k in range(levels):
+            seen[k] += np.bincount(index[grades[row] == k], minlength=BUCKETS + SHAPES)
+        parts.append((index.astype(np.int32), value.astype(np.float32), row))
+    telling = _telling(seen, np.bincount(grades, minlength=levels))
+    parts = [[c[telling[p[0]]] for c in p] for p in parts]
+    index, value, row = (np.concatenate(c) for c in zip(*parts, strict=True))
     used, slot = np.unique(index, return_inverse=True)
     counts = np.bincount(grades, minlength=levels)
     share = (1 / np.maximum(counts, 1))[grades] / np.count_nonzero(counts)
