@@ -36,7 +36,7 @@ def write_stage(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     string; :func:`parcelsight.sources.readers.read_stage` gives both back.
     """
     spark = df.sparkSession
-    schema = spark.createDataFrame([(df.schema.json(),)], "schema string")
+    schema = spark.range(1).select(F.lit(df.schema.json()).alias("schema"))
     schema.coalesce(1).write.mode("overwrite").text(f"{path}.schema")
     if partition_by:
         df = df.hint("rebalance", *partition_by)
