@@ -35,6 +35,9 @@ from parcelsight.sources.scratch import scratch_path
 #: last one; that a word has one of them is as unlikely as one in 10^16.
 WIDTH = 7
 BEFORE, END = np.uint64(1), np.uint64(2)
+#: Words of the longest n-grams of the query: two words of context, and a level between them and
+#: the words alone.
+ORDER = 3
 #: Tokens that a task counts before it sends what it has.
 HELD_TOKENS = 3_000_000
 #: Numbers of an n-gram: own count, occurrences as a context, and how many n-grams with it as
@@ -157,19 +160,18 @@ class Model:
     words: int
 
     def column(self, level: int, shard: int, name: str) -> np.ndarray:
-        wide = name in ("key", "oftener") or level == 1 and name in _WIDE
-        kind = "uint8" if name == "small" else "uint64" if wide else "uint32"
+        wide = name == "key" or name.endswith("oftener") or level == 1 and name in _WIDE
+        small = level > 1 and name in NUMBERS
+        kind = "uint8" if small else "uint64" if wide else "uint32"
         return _mapped(self.folder, f"{level}-{shard}-{name}", kind)
 
     def numbers(self, level: int, shard: int, name: str, at: np.ndarray) -> np.ndarray:
         """Stored numbers at some places of a shard."""
-        if level < self.order or level == 1:
-            return self.column(level, shard, name)[at].astype(np.int64)
-        out = self.column(level, shard, "small")[at].astype(np.int64)
-        more = np.flatnonzero(out == 255)
+        out = self.column(level, shard, name)[at].astype(np.int64)
+        more = np.flatnonzero(out == 255) if level > 1 else ()
         if len(more):
-            place = np.searchsorted(self.column(level, shard, "often"), at[more])
-            out[more] = self.column(level, shard, "oftener")[place]
+            place = np.searchsorted(self.column(level, shard, f"{name}-often"), at[more])
+            out[more] = self.column(level, shard, f"{name}-oftener")[place]
         return out
 
     def look_up(self, level: int, keys: np.ndarray, names: tuple[str, ...]) -> dict[str, np.ndarray]:
@@ -250,6 +252,11 @@ def _counted(texts: DataFrame, order: int, bits: int) -> DataFrame:
     return texts.mapInArrow(work, _PARTIAL)
 
 
+def _numbers(level: int, order: int) -> tuple[str, ...]:
+    """The numbers that a level's n-grams are stored with: those of the longest are no context."""
+    return NUMBERS if level == 1 else NUMBERS[:1] if level == order else NUMBERS[:5]
+
+
 _FACTS = ("grams", "ones", "twos", "threes", "fours", "rest", "sum", "plain", "plain grams")
 
 
@@ -278,16 +285,15 @@ def _added_up(partials: DataFrame, level: int, order: int, bits: int, folder: st
         if here < level:
             return _pack(words, keys, numbers, here, bits).to_pandas()
         _store(folder, f"{level}-{shard}-key", keys)
-        if level == order and level > 1:
+        for name, column in zip(_numbers(level, order), numbers.T, strict=False):
+            if level == 1:
+                _store(folder, f"{level}-{shard}-{name}", column.astype(np.uint64 if name in _WIDE else np.uint32))
+                continue
             # Most n-grams are rare: one byte for each, and more for the others.
-            count = numbers[:, 0]
-            _store(folder, f"{level}-{shard}-small", np.minimum(count, 255).astype(np.uint8))
-            often = np.flatnonzero(count >= 255)
-            _store(folder, f"{level}-{shard}-often", often.astype(np.uint32))
-            _store(folder, f"{level}-{shard}-oftener", count[often].astype(np.uint64))
-        else:
-            for name, column in zip(NUMBERS, numbers.T, strict=True):
-                _store(folder, f"{level}-{shard}-{name}", column.astype(np.uint64 if level == 1 and name in _WIDE else np.uint32))
+            _store(folder, f"{level}-{shard}-{name}", np.minimum(column, 255).astype(np.uint8))
+            often = np.flatnonzero(column >= 255)
+            _store(folder, f"{level}-{shard}-{name}-often", often.astype(np.uint32))
+            _store(folder, f"{level}-{shard}-{name}-oftener", column[often].astype(np.uint64))
         count = numbers[:, 0]
         plain = numbers[:, 5] if wide > 5 else np.zeros(1, np.int64)
         facts = [
@@ -360,7 +366,10 @@ def train(documents: DataFrame, order: int = 2, text: str = "text") -> Model:
 
 
 def _names(level: int, order: int) -> tuple[str, ...]:
-    return ("key", "small", "often", "oftener") if level == order > 1 else ("key", *NUMBERS)
+    stored = _numbers(level, order)
+    if level == 1:
+        return ("key", *stored)
+    return ("key", *(f"{n}{part}" for n in stored for part in ("", "-often", "-oftener")))
 
 
 def _store_missing(folder: str, order: int, bits: int) -> None:
@@ -458,6 +467,6 @@ def score(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
     )
 
 
-def score_documents(documents: DataFrame, order: int = 2, text: str = "text") -> DataFrame:
+def score_documents(documents: DataFrame, order: int = ORDER, text: str = "text") -> DataFrame:
     """Scores of all documents by a model of those that are not held out."""
     return score(documents, train(documents.where(~held_out()), order, text), text)

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from helpers import clashing, empty_documents, odd_documents, odd_rows, prose
-from parcelsight.llm import common
+from parcelsight.llm import common, queries
 from parcelsight.llm import kneser_ney as kn
 
 END, BEFORE = "</s>", "<s>"
@@ -158,3 +158,16 @@ def test_model_files_are_sorted_and_mapped(spark):
             keys = model.column(level, shard, "key")
             assert (np.diff(keys.astype(object)) > 0).all()
             assert len(keys) == 0 or isinstance(keys, np.memmap)
+
+
+def test_documents_are_scored_with_two_words_of_context(spark, tmp_path):
+    """The query's own order; n-grams that come 255 times and more at every level included."""
+    rows = [*corpus(), *[(i, "often comes back here " * 10) for i in range(100, 140)]]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    left = {i for i, _ in rows if crc32(str(i).encode()) % 7 == 2}
+    model = Brute([t for i, t in rows if i not in left], 3)
+    assert max(model.counts[3].values()) >= 255
+    assert max(held[0] for held in model.contexts[3].values()) >= 255
+    out = {r.doc_id: r.score for r in queries.QUERIES["op1_kneser_ney"](spark, str(tmp_path)).collect()}
+    assert out == pytest.approx({i: model.score(t) for i, t in rows}, rel=1e-9)
