@@ -25,13 +25,10 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, similarity 0.8).
 
-    Documents without doc_id all stay; rows equal in doc_id and text stay once.
+    Documents without doc_id all stay; rows equal in doc_id and text stay once. A repeated doc_id
+    with another text is judged for itself.
     """
-    judged = odd_sketch.near_duplicates(docs)
-    gone = judged.where("NOT kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    named = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(left.where("doc_id IS NULL"))
+    return odd_sketch.without_near_duplicates(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

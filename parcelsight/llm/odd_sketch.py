@@ -36,7 +36,7 @@ _DRAWN = np.random.default_rng(20240229)
 _FACTORS = _DRAWN.integers(0, 1 << 31, FINE_SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _SHIFTS = _DRAWN.integers(0, 1 << 32, FINE_SAMPLES, dtype=np.uint32)
 _SKETCHED = (
-    "doc_id long, n_shingles long, node binary, bands array<long>, sketch binary"
+    "doc_id long, row binary, n_shingles long, node binary, bands array<long>, sketch binary"
 )
 
 
@@ -93,9 +93,12 @@ def _node(found: np.ndarray) -> bytes:
     return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
 
-def sketched(documents: DataFrame, width: int, text: str = "text") -> DataFrame:
-    """Per document: size of its set, its node (a digest of the set), bands and sketch; the last
-    three are missing for an empty set and for a document without doc_id."""
+def sketched(
+    documents: DataFrame, width: int, text: str = "text", row: Column | None = None
+) -> DataFrame:
+    """Per document: ``row`` (missing if not given), size of its set, its node (a digest of the
+    set), bands and sketch; the last three are missing for an empty set and for a document without
+    doc_id."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,6 +120,7 @@ def sketched(documents: DataFrame, width: int, text: str = "text") -> DataFrame:
                 yield pa.record_batch(
                     {
                         "doc_id": rows.column("doc_id"),
+                        "row": rows.column("row"),
                         "n_shingles": pa.array(sizes, pa.int64()),
                         "node": pa.array(nodes, pa.binary()),
                         "bands": pa.array(keys, pa.list_(pa.int64())),
@@ -124,7 +128,10 @@ def sketched(documents: DataFrame, width: int, text: str = "text") -> DataFrame:
                     }
                 )
 
-    picked = documents.select(F.col("doc_id").cast("long"), F.col(text).alias("text"))
+    row = F.lit(None) if row is None else row
+    picked = documents.select(
+        F.col("doc_id").cast("long"), row.cast("binary").alias("row"), F.col(text).alias("text")
+    )
     return picked.mapInArrow(work, _SKETCHED)
 
 
@@ -368,19 +375,12 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def near_duplicates(
-    documents: DataFrame, width: int = 5, percent: int = 80, text: str = "text"
+def _linked(
+    documents: DataFrame, width: int, percent: int, text: str, row: Column | None = None
 ) -> DataFrame:
-    """Per document: doc_id, ``n_shingles``, ``component_id`` and ``kept``.
-
-    Documents are linked if at least ``percent`` of the union of their sets of ``width``-word
-    shingles is in both; ``component_id`` is the smallest doc_id that links lead to. ``kept``
-    tells whether it is the document's own. A document without words, or with a missing text,
-    has an empty set and no link. One without doc_id has no link either: its ``component_id``
-    is missing and it is kept. Rows that repeat a doc_id are judged one by one. Columns other
-    than doc_id and the text are ignored.
-    """
-    rows = staged(sketched(documents, width, text), "sketches")
+    """Per document: doc_id, ``row``, ``n_shingles`` and ``root``, which all documents of a
+    component have in common; it is missing for a document that takes part in no link."""
+    rows = staged(sketched(documents, width, text, row), "sketches")
     nodes = staged(
         rows.where("node IS NOT NULL").dropDuplicates(["node"]).select("doc_id", "node", "n_shingles", "bands", "sketch"),
         "nodes",
@@ -415,8 +415,23 @@ def near_duplicates(
         if not third.isEmpty():
             links = links.union(confirmed(third))
             roots = components(links)
-    known = rows.select("doc_id", "n_shingles", "node").join(roots, "node", "left")
-    known = known.withColumn("root", F.coalesce("root", "node"))
+    known = rows.select("doc_id", "row", "n_shingles", "node").join(roots, "node", "left")
+    return known.select("doc_id", "row", "n_shingles", F.coalesce("root", "node").alias("root"))
+
+
+def near_duplicates(
+    documents: DataFrame, width: int = 5, percent: int = 80, text: str = "text"
+) -> DataFrame:
+    """Per document: doc_id, ``n_shingles``, ``component_id`` and ``kept``.
+
+    Documents are linked if at least ``percent`` of the union of their sets of ``width``-word
+    shingles is in both; ``component_id`` is the smallest doc_id that links lead to. ``kept``
+    tells whether it is the document's own. A document without words, or with a missing text,
+    has an empty set and no link. One without doc_id has no link either: its ``component_id``
+    is missing and it is kept. Rows that repeat a doc_id are judged one by one. Columns other
+    than doc_id and the text are ignored.
+    """
+    known = _linked(documents, width, percent, text)
     heads = known.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("_least"))
     return known.join(heads, "root", "left").select(
         "doc_id",
@@ -424,3 +439,28 @@ def near_duplicates(
         F.coalesce("_least", "doc_id").alias("component_id"),
         (F.col("doc_id").isNull() | (F.col("doc_id") == F.coalesce("_least", "doc_id"))).alias("kept"),
     )
+
+
+def without_near_duplicates(
+    documents: DataFrame, width: int = 5, percent: int = 80, text: str = "text"
+) -> DataFrame:
+    """One row of each component: that of the smallest doc_id, and of its texts the one with the
+    smallest digest.
+
+    Rows are judged by doc_id and text, so another text under a repeated doc_id stays if it is in
+    another component. Documents without doc_id all stay; so do those without words, but rows
+    equal in doc_id and text stay once.
+    """
+    digest = F.unhex(F.sha2(text, 256))
+    known = staged(_linked(documents, width, percent, text, digest).where("root IS NOT NULL"), "rows")
+    heads = known.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("_head"))
+    gone = (
+        known.join(heads, "root")
+        .where("doc_id <> _head.doc_id OR row <> _head.row")
+        .select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"))
+        .distinct()
+    )
+    apart = (F.col("doc_id") == F.col("_doc")) & (digest == F.col("_row"))
+    left = documents.join(gone, apart, "left_anti").select(*documents.columns)
+    named = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", text])
+    return named.unionByName(left.where("doc_id IS NULL"))

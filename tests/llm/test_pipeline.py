@@ -3,7 +3,7 @@ import re
 import corpus_pipeline as pipeline
 from tokenizers import Tokenizer
 
-from helpers import odd_documents
+from helpers import odd_documents, prose
 from parcelsight.llm import queries, secrets, tokens
 from test_near_duplicates import brute
 
@@ -49,6 +49,19 @@ def test_stages_of_odd_rows_and_of_nothing(spark):
         assert out.columns[:4] == ["doc_id", "piece", "start", "length"]
 
 
+def test_a_repeated_id_with_other_texts(spark):
+    """Rows go, not ids: a text of its own stays, and one of two near copies under one id goes."""
+    a, b, c = (prose(200, seed) for seed in (61, 62, 63))
+    near = c + " and more"
+    rows = [(1, a, "x"), (5, a, "x"), (5, b, "x"), (5, b, "y"), (7, c, "x"), (7, near, "x"), (8, c, "x"), (None, a, "x"), (9, None, "x"), (9, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = pipeline.drop_near_duplicates(spark, docs, FOLDER).collect()
+    left = sorted((r.doc_id or 0, r.text or "") for r in got)
+    (seventh,) = [r.text for r in got if r.doc_id == 7]
+    assert seventh in (c, near)
+    assert left == sorted([(1, a), (5, b), (7, seventh), (0, a), (9, ""), (9, "")])
+
+
 def test_registered():
     import __spark_entry__ as entry
 
