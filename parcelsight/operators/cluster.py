@@ -78,6 +78,10 @@ def kmeans(
     return df.withColumn(name, F.when(_known(columns), _nearest(values, centers)))
 
 
+#: Centres of scaled columns that moved by no more stand still.
+SETTLED = 1e-12
+
+
 def lloyd(
     df: DataFrame,
     columns: Sequence[str] = AGENT_FEATURES,
@@ -89,7 +93,8 @@ def lloyd(
 
     Centre i of k starts at (2 i - 1) / k - 1 in every scaled column. A step is one sum over the
     rows; a centre without rows stays where it is, equally near ones go to the lower number, and
-    the steps end when no centre moves. Clusters are numbered by the final centres' order, first
+    the steps end when no centre moves by more than sums in another order may differ. Centres that
+    still move after ``steps`` steps are an error. Clusters are numbered by the final centres' order, first
     column first. The rows are read once for each step: give a stored frame.
     """
     complete = df.where(_known(columns))
@@ -102,9 +107,15 @@ def lloyd(
         means = points.groupBy(nearest.alias("_c")).agg(*[F.avg(n).alias(n) for n in names])
         found = {r["_c"]: tuple(r[n] for n in names) for r in means.collect()}
         moved = [found.get(i + 1, c) for i, c in enumerate(centers)]
-        if moved == centers:
-            break
+        settled = all(
+            abs(a - b) <= SETTLED for old, new in zip(centers, moved, strict=True)
+            for a, b in zip(old, new, strict=True)
+        )
         centers = moved
+        if settled:
+            break
+    else:
+        raise RuntimeError(f"the centres still move after {steps} steps")
     return df.withColumn(name, F.when(_known(columns), _nearest(values, sorted(centers))))
 
 

@@ -342,3 +342,10 @@ def test_bisecting_separates_blobs(spark):
     for r in cluster.bisecting(df, ["a", "b"]).collect():
         found.setdefault(r["cluster_hierarchical"], set()).add(r["id"] % 3)
     assert sorted(map(tuple, found.values())) == [(0,), (1,), (2,)]
+
+
+def test_lloyd_says_when_centres_still_move(spark):
+    df = spark.createDataFrame([(float(i * i),) for i in range(60)], "a double")
+    with pytest.raises(RuntimeError, match="still move after 2 steps"):
+        cluster.lloyd(df, ["a"], steps=2)
+    assert cluster.lloyd(df, ["a"]).select("cluster").distinct().count() == 3
