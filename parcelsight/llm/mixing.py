@@ -2,12 +2,13 @@
 
 A classifier learned from a labelled table gives each document the chances of its domains. A
 document's expected tokens of a domain are its tokens times that chance, times its rate. Rates
-are found by projected gradient steps of least squares: they are never negative, and the
+are found by Newton steps on the dual of least squares: they are never negative, and the
 expected totals of the domains come to the targets. A step needs one sum per domain.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
@@ -171,12 +172,14 @@ def _sums(
 
 @dataclass(frozen=True)
 class Mix:
-    """Domains, targets and expected totals in tokens, and the sum of the steps taken."""
+    """Domains, targets and expected totals in tokens, the sum of the steps taken, and whether the
+    totals meet the targets within the tolerance."""
 
     domains: tuple[str, ...]
     targets: np.ndarray
     totals: np.ndarray
     gradient: np.ndarray
+    met: bool
 
 
 def tempered(totals: np.ndarray, power: float = TEMPER) -> np.ndarray:
@@ -196,10 +199,12 @@ def fit_rates(
 
     ``weights`` are the domains' wanted shares of ``budget`` tokens (by default, of as many as
     there are); domains without one get 0. Without ``weights``, targets are ``tempered``.
-    A step goes along every document's chances, as far as the gradient and the curvature over
-    the rates above 0 say; the sum of all steps is projected on rates that are not negative, and
-    a step that does not lower the dual of the least-squares problem is halved. Rows with a missing ``posteriors`` take no
-    part. An empty table has totals of 0 and keeps the starting rates.
+    A step is a Newton step on the dual of the least-squares problem, which has one number for each
+    domain: the gap between totals and targets, divided by the curvature over the rates above 0.
+    Rates are what the steps' sum gives along a document's chances, and never negative; a step that
+    does not lower the dual is halved. Rows with a missing ``posteriors`` take no part. An empty
+    table has totals of 0 and keeps the starting rates. Totals that do not meet the targets when
+    the steps end are warned of, and ``met`` is false.
     """
     domains = len(model.domains)
     gradient = np.zeros(domains)
@@ -223,7 +228,13 @@ def fit_rates(
             length = min(1.0, 2 * length)
         else:
             length /= 2
-    return Mix(model.domains, targets, totals, gradient)
+    off = float(np.abs(totals - targets).max(initial=0.0))
+    met = not totals.any() or off <= tolerance * scale
+    if not met:
+        warnings.warn(
+            f"rates miss their targets by up to {off:.6g} of {scale:.6g} tokens", stacklevel=2
+        )
+    return Mix(model.domains, targets, totals, gradient, met)
 
 
 def with_rates(rows: DataFrame, mix: Mix) -> DataFrame:

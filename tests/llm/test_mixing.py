@@ -86,3 +86,14 @@ def test_odd_rows(spark):
     assert model.domains == ("",) and {r.rate for r in rows.collect()} == {1.0}
     rows, _, _ = mixing.mixed(empty_documents(spark), labels)
     assert rows.collect() == []
+
+
+def test_targets_that_are_not_met_are_reported(spark):
+    far = rows_of(spark, [[0.5, 0.5], [0.6, 0.4]], [100, 100])
+    with pytest.warns(UserWarning, match="miss their targets"):
+        assert not mixing.fit_rates(far, model_of("a", "b"), {"b": 1.0}).met
+    chances, tokens = soft(200)
+    rows = rows_of(spark, chances, tokens)
+    with pytest.warns(UserWarning, match="miss their targets"):
+        assert not mixing.fit_rates(rows, model_of("a", "b", "c"), steps=0).met
+    assert mixing.fit_rates(rows, model_of("a", "b", "c")).met
