@@ -124,3 +124,30 @@ def runs(sorted_values: np.ndarray) -> np.ndarray:
 def table(spark, folder: str, name: str) -> DataFrame:
     """A given table of a data folder."""
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+class Carried:
+    """A frame's own columns on their way through Arrow, under names that nothing else uses."""
+
+    def __init__(self, frame: DataFrame):
+        self.columns = frame.columns
+        self.names = [f"_carried{i}" for i in range(len(self.columns))]
+        self.ddl = "".join(
+            f"{n} {f.dataType.simpleString()}, "
+            for n, f in zip(self.names, frame.schema.fields, strict=True)
+        )
+
+    def enter(self, frame: DataFrame, **more: Column) -> DataFrame:
+        """The frame's columns under their new names, and some more columns."""
+        own = [F.col(f"`{c}`").alias(n) for c, n in zip(self.columns, self.names, strict=True)]
+        return frame.select(*own, *[c.alias(n) for n, c in more.items()])
+
+    def leave(self, frame: DataFrame, **added: str) -> DataFrame:
+        """The old names back, and added columns; these replace columns of their names."""
+        taken = {n.lower() for n in added}
+        own = [
+            F.col(n).alias(c)
+            for c, n in zip(self.columns, self.names, strict=True)
+            if c.lower() not in taken
+        ]
+        return frame.select(*own, *[F.col(c).alias(n) for n, c in added.items()])

@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from parcelsight.llm import (
     cross_polytope,
     kneser_ney,
+    language_filters,
     mixing,
     odd_sketch,
     orc_tokens,
     ordinal,
     packing,
     quality_ledger,
+    reversed_search,
     secrets,
+    skip_list,
     url_cascade,
 )
 from parcelsight.llm.common import table
@@ -161,3 +164,86 @@ def mixed_documents(spark: SparkSession, folder: str) -> DataFrame:
         "rate",
         mixing.copies().alias("copies"),
     )
+
+
+_SEARCH_SQL = r"""
+WITH letters(a, b) AS (VALUES ('ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')),
+words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, a, b), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents CROSS JOIN letters
+), lengths AS (
+  SELECT r, doc_id, len(ws) AS n FROM words WHERE len(ws) > 0
+), corpus AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM lengths
+), counts AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM words) GROUP BY r, term
+), asked AS (
+  SELECT i, item_id, term, count(*) AS repeats FROM (
+    SELECT row_number() OVER () AS i, item_id,
+           unnest(regexp_extract_all(translate(text, a, b), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark CROSS JOIN letters) GROUP BY i, item_id, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts CROSS JOIN corpus GROUP BY term
+), scored AS (
+  SELECT i, item_id, r, doc_id,
+         CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // total)))) AS BIGINT) AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (r) CROSS JOIN corpus
+  GROUP BY i, item_id, r, doc_id
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+         doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op11_reversed_search", _SEARCH_SQL)
+def ranked_documents(spark: SparkSession, folder: str) -> DataFrame:
+    documents, items = (table(spark, folder, t) for t in ("documents", "benchmark"))
+    return reversed_search.search(documents, items.select("item_id", "text")).select(
+        "item_id", "rank", "doc_id", "score"
+    )
+
+
+_MIDDLE_SQL = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines
+  FROM documents
+), drawn AS (
+  SELECT doc_id, t, lines, CAST(len(lines) AS BIGINT) AS n,
+         CAST('0x' || h[1:8] AS BIGINT) % (len(lines) + 1) AS r1, CAST('0x' || h[9:16] AS BIGINT) % (len(lines) + 1) AS r2,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+              WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+), parts AS (
+  SELECT doc_id, t, n, form, array_to_string(lines[1:least(r1, r2)], '') AS prefix,
+         array_to_string(lines[least(r1, r2) + 1:greatest(r1, r2)], '') AS middle,
+         array_to_string(lines[greatest(r1, r2) + 1:], '') AS suffix
+  FROM drawn
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
+@query("op12_skip_list", _MIDDLE_SQL)
+def middle_texts(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return skip_list.digest(skip_list.fill_in_middle(documents))
+
+
+@query("op13_language_filters")
+def predicted_languages(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held = language_filters.held_out()
+    model = language_filters.learn(documents.where(~held))
+    rows = language_filters.predict(documents.select("doc_id", "text"), model)
+    return rows.select("doc_id", held.alias("held_out"), "lang_pred", "score")
