@@ -96,8 +96,10 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def grouped(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``GROUP_CHARS`` bytes of text each, one row at least."""
+def grouped(
+    batch: pa.RecordBatch, column: str = "text", size: int = GROUP_CHARS
+) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of text each, one row at least."""
     sizes = np.asarray(
         pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64
     )
@@ -105,7 +107,7 @@ def grouped(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBa
     start = 0
     while start < batch.num_rows:
         done = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, done + GROUP_CHARS)))
+        stop = max(start + 1, int(np.searchsorted(ends, done + size)))
         yield batch.slice(start, stop - start)
         start = stop
 

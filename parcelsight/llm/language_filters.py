@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +21,10 @@ from pyspark.sql import functions as F
 from parcelsight.llm.common import Carried, grouped, mix, runs
 from parcelsight.sources.scratch import staged
 
-#: Characters of the n-grams, which are centred at every letter of a text.
+#: Characters of the n-grams, which are centred at every letter of a text (see ``grams``).
 LENGTHS = (3, 5)
+#: Bytes of text that are worked on at a time: their arrays stay in the processor's caches.
+GROUP = 200_000
 #: Least share of a language's n-grams (all lengths together) of one that its filter holds.
 SHARE = 1e-5
 #: Cells for each n-gram of the fullest language, and cells that an n-gram goes to.
@@ -47,23 +50,26 @@ def grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     is one n-gram of each length for each letter.
     """
     lowered = [t.lower() if t else "" for t in texts]
-    reach = max(LENGTHS) // 2
-    gap = " " * reach
+    gap = "  "
     whole = np.frombuffer((gap + gap.join(lowered) + gap).encode("utf-32-le", "surrogatepass"), np.uint32)
-    known, codes = np.unique(whole, return_inverse=True)
-    letters = np.array([chr(c).isalpha() for c in known.tolist()])
-    chars = np.where(letters, known, 32).astype(np.uint64)[codes]
-    at = np.flatnonzero(letters[codes])
-    ends = np.cumsum([len(t) + reach for t in lowered])
+    chars = _letters()[whole]
+    at = np.flatnonzero(chars != 32)
+    ends = np.cumsum([len(t) + len(gap) for t in lowered])
     sizes = np.diff(np.searchsorted(at, ends, side="left"), prepend=0)
-    out = []
-    for length in LENGTHS:
-        half = length // 2
-        packed = np.full(len(at), length, np.uint64)
-        for step in range(-half, length - half):
-            packed = mix(packed * np.uint64(1 << 21) + chars[at + step])
-        out.append(packed)
-    return np.stack(out, axis=1).reshape(-1), sizes * len(LENGTHS)
+    pairs = (chars[:-1] << np.uint64(21)) | chars[1:]
+    three = (pairs[at - 1] << np.uint64(21)) | chars[at + 1]
+    out = np.empty((len(at), 2), np.uint64)
+    out[:, 0] = mix(three, 3)
+    # The outer two characters besides the inner three.
+    outer = (chars[at - 2] << np.uint64(21)) | chars[at + 2]
+    out[:, 1] = mix(out[:, 0] + outer * np.uint64(0x9E3779B97F4A7C15), 5)
+    return out.reshape(-1), sizes * len(LENGTHS)
+
+
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Each code point as itself if it is a letter, else as a blank."""
+    return np.array([c if chr(c).isalpha() else 32 for c in range(0x110000)], np.uint64)
 
 
 def _summed(grams_: np.ndarray, langs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -94,7 +100,7 @@ def gram_counts(documents: DataFrame, text: str = "text", lang: str = "lang") ->
             )
 
         for batch in batches:
-            for part in grouped(batch, "text"):
+            for part in grouped(batch, "text", GROUP):
                 found, sizes = grams(part.column("text").to_pylist())
                 of = [codes.setdefault(x, len(codes)) for x in part.column("lang").to_pylist()]
                 langs = np.repeat(np.array(of, np.int64), sizes)
@@ -121,8 +127,10 @@ def gram_counts(documents: DataFrame, text: str = "text", lang: str = "lang") ->
 
 def _cells(grams_: np.ndarray, size: int) -> Iterator[np.ndarray]:
     """The cells of each n-gram, one array for each probe; ``size`` is a power of two."""
+    at, step = grams_, (grams_ >> np.uint64(32)) | np.uint64(1)
     for probe in range(PROBES):
-        yield (mix(grams_, probe + 1) & np.uint64(size - 1)).astype(np.int64)
+        at = at + step if probe else at
+        yield (at & np.uint64(size - 1)).view(np.int64)
 
 
 @dataclass(frozen=True)
@@ -157,7 +165,7 @@ class LanguageFilter:
             return out
         one = masks.dtype.type(1)
         for i, chance in enumerate(mistakes.tolist()):
-            hits = np.add.reduceat((masks >> masks.dtype.type(i) & one).astype(np.int64), starts)
+            hits = np.add.reduceat(masks >> masks.dtype.type(i) & one, starts, dtype=np.int64)
             out[some, i] = (hits / sizes[some] - chance) / max(1 - chance, 1e-9)
         return np.clip(out, 0.0, 1.0)
 
@@ -219,7 +227,7 @@ def _pass(rows: DataFrame, own: Carried, filters: tuple[LanguageFilter, ...], co
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, mistakes = sent.value
         for batch in batches:
-            for part in grouped(batch, "_text"):
+            for part in grouped(batch, "_text", GROUP):
                 found, sizes = grams(part.column("_text").to_pylist())
                 names, scores = part.column("_lang").to_pylist(), part.column("_score").to_numpy().copy()
                 for i in np.flatnonzero(sizes).tolist():
