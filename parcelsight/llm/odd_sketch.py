@@ -294,7 +294,7 @@ def _mixed_buckets(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     mixed = (
         rooted.groupBy("key")
         .agg(F.min("root").alias("_x"), F.max("root").alias("_y"), F.count(F.lit(1)).alias("_n"))
-        .where("_x <> _y AND _n > 2")
+        .where("_x <> _y")
         .select("key", F.expr(f"CAST(1 + _n div {BLOCK} AS INT)").alias("blocks"))
     )
     return rooted.join(mixed, "key").select("key", "node", "root", "size", "blocks")

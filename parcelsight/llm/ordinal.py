@@ -23,9 +23,10 @@ BUCKETS = 1 << 18
 SHAPES = 10
 #: First bytes of a word that are a feature, too.
 STEM = 5
-#: Least chi-square statistic of a word's rows over the grades for it to get a weight, and least
-#: number of rows: words that come by chance only name the sample's rows.
-LEAST_CHI, LEAST_ROWS = 16.0, 3
+#: A word gets a weight if it has so many rows, and if the chi-square statistic of its rows over the
+#: grades is so large that among all such words few would reach it by chance: about ``BY_CHANCE``.
+#: Words that come by chance only name the sample's rows.
+LEAST_ROWS, BY_CHANCE = 2, 10
 #: Labelled rows that a fit uses at most; those with the least hash of their doc_id are taken.
 SAMPLE = 8_000
 #: Rows whose features a fit computes at a time.
@@ -117,7 +118,9 @@ def _telling(seen: np.ndarray, rows: np.ndarray) -> np.ndarray:
     total = seen.sum(axis=0)
     expected = rows[:, None] / rows.sum() * total
     chi = np.divide((seen - expected) ** 2, expected, where=expected > 0, out=np.zeros(seen.shape))
-    out = (chi.sum(axis=0) >= LEAST_CHI) & (total >= LEAST_ROWS)
+    out = total >= LEAST_ROWS
+    # The chance of a statistic above x is exp(-x / 2) for three grades, and larger for more.
+    out &= chi.sum(axis=0) >= 2 * np.log(max(1.0, np.count_nonzero(out) / BY_CHANCE))
     out[BUCKETS:] = True
     return out
 

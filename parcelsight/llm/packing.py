@@ -157,12 +157,14 @@ def pack(
     ``size`` must lie from 1 to ``capacity`` and not be missing; anything else raises an error.
     Bins with at most ``slack`` (by default 1/128 of the capacity) left are not merged any
     further. Equal rows are items of their own. No items give no rows. The items' own columns
-    must not be named ``sequence_id`` or ``offset``.
+    must not be named ``sequence_id`` or ``offset``. Items are counted first: give a stored frame.
     """
     slack = capacity // 128 if slack is None else slack
     wrong = F.col(size).isNull() | ~F.col(size).between(1, capacity)
     checked = F.when(wrong, F.raise_error(F.lit(f"{size} must be from 1 to {capacity}")))
     items = items.withColumn(size, checked.otherwise(F.col(size)).cast("long"))
+    # As few blocks as hold all items: every block leaves underfull bins of its own.
+    items = items.coalesce(max(1, math.ceil(items.count() / block)))
     first = staged(_pack_blocks(items, size, capacity, 0, block), "packed")
     last, column, tasks, maps = first, "_bin", max(1, first.rdd.getNumPartitions()), []
     while True:

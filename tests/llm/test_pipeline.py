@@ -67,5 +67,5 @@ def test_registered():
 
     names = entry.queries()
     assert "pipeline" in names and pipeline.ORACLE_SQL is None
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(queries.ORACLES) <= set(names) and set(queries.ORACLES) <= set(entry.oracle_sql())
