@@ -55,43 +55,109 @@ class NaiveBayesModel:
         )
 
 
+@dataclass
+class Counts:
+    """What a model is made of, in parts that add up: rows of each class, number, mean and squared
+    deviations of each predictor in each class, and rows (label, level, n) of each level."""
+
+    label: str
+    rows: dict[str, int]
+    normal: dict[tuple[str, str], tuple[int, float, float]]
+    levels: dict[str, DataFrame]
+
+    def merged(self, other: Counts) -> Counts:
+        """Counts of the rows of both; the label and the predictors must be the same."""
+        if self.label != other.label or set(self.levels) != set(other.levels):
+            raise ValueError("counts of other predictors do not merge")
+        rows = {k: self.rows.get(k, 0) + other.rows.get(k, 0) for k in self.rows | other.rows}
+        normal = dict(self.normal)
+        for key, (n, mean, squares) in other.normal.items():
+            m, before, held = normal.get(key, (0, 0.0, 0.0))
+            total = m + n
+            gap = mean - before
+            if total:
+                before += gap * n / total
+                held += squares + gap * gap * m * n / total
+            normal[key] = (total, before, held)
+        both = {c: t.unionByName(other.levels[c]) for c, t in self.levels.items()}
+        sums = {
+            c: t.groupBy(self.label, "level").agg(F.sum("n").alias("n")) for c, t in both.items()
+        }
+        return Counts(self.label, rows, normal, sums)
+
+    def model(self) -> NaiveBayesModel:
+        """Normal densities and level shares of the counted rows."""
+        labels, total = sorted(self.rows), sum(self.rows.values())
+        normal = {}
+        for (c, k), (n, mean, squares) in self.normal.items():
+            sd = math.sqrt(squares / (n - 1)) if n > 1 else None
+            normal[c, k] = (mean if n else None, sd or FLOOR)
+        prior = {k: math.log(n / total) for k, n in self.rows.items()}
+        model = NaiveBayesModel(labels, prior, normal, {})
+        for c, counts in self.levels.items():
+            seen = counts.limit(LITERAL_LEVELS + 1).collect()
+            if len(seen) > LITERAL_LEVELS:
+                model.joined[c] = _share_table(counts, self.label, labels)
+                continue
+            per_class = {k: sum(r["n"] for r in seen if r[self.label] == k) for k in labels}
+            model.shares[c] = {
+                (r["level"], r[self.label]): r["n"] / per_class[r[self.label]] for r in seen
+            }
+        return model
+
+    def save(self, spark: SparkSession, path: str) -> str:
+        """Store the counts, replacing earlier ones; not those that these were read from."""
+        numbers = {
+            "label": self.label,
+            "rows": self.rows,
+            "normal": [[c, k, *three] for (c, k), three in self.normal.items()],
+            "levels": list(self.levels),
+        }
+        for i, table in enumerate(self.levels.values()):
+            table.write.mode("overwrite").parquet(f"{path}/levels_{i}")
+        text = spark.createDataFrame([(json.dumps(numbers),)], "counts string")
+        text.coalesce(1).write.mode("overwrite").text(f"{path}/numbers")
+        return path
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Counts:
+        """Counterpart of :meth:`save`."""
+        numbers = json.loads(spark.read.text(f"{path}/numbers").first()[0])
+        return Counts(
+            numbers["label"],
+            numbers["rows"],
+            {(c, k): tuple(three) for c, k, *three in numbers["normal"]},
+            {c: spark.read.parquet(f"{path}/levels_{i}") for i, c in enumerate(numbers["levels"])},
+        )
+
+
 def _level_counts(train: DataFrame, label: str, column: str) -> DataFrame:
     known = train.filter(F.col(column).isNotNull() & F.col(label).isNotNull())
     return known.groupBy(label, F.col(column).alias("level")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def count(
+    train: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str]
+) -> Counts:
+    """Moments per class and level counts per class; missing values are left out of both."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for c in numeric:
+        aggs += [F.count(c).alias(f"n_{c}"), F.avg(c).alias(f"mean_{c}"), F.var_pop(c).alias(f"var_{c}")]
+    rows = train.filter(F.col(label).isNotNull()).groupBy(label).agg(*aggs).collect()
+    normal = {
+        (c, r[label]): (r[f"n_{c}"], r[f"mean_{c}"] or 0.0, (r[f"var_{c}"] or 0.0) * r[f"n_{c}"])
+        for r in rows
+        for c in numeric
+    }
+    levels = {c: _level_counts(train, label, c) for c in categorical}
+    return Counts(label, {r[label]: r["n"] for r in rows}, normal, levels)
+
+
 def fit(
     train: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str]
 ) -> NaiveBayesModel:
-    """Moments per class and level shares per class; missing values are left out of both."""
-    moments = (
-        train.filter(F.col(label).isNotNull())
-        .groupBy(label)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.avg(c).alias(f"mean_{c}") for c in numeric],
-            *[F.stddev_samp(c).alias(f"sd_{c}") for c in numeric],
-        )
-        .collect()
-    )
-    rows = {r[label]: r for r in moments}
-    labels = sorted(rows)
-    total = sum(r["n"] for r in rows.values())
-    model = NaiveBayesModel(
-        labels,
-        {k: math.log(r["n"] / total) for k, r in rows.items()},
-        {(c, k): (r[f"mean_{c}"], r[f"sd_{c}"] or FLOOR) for k, r in rows.items() for c in numeric},
-        {},
-    )
-    for c in categorical:
-        counts = _level_counts(train, label, c)
-        seen = counts.limit(LITERAL_LEVELS + 1).collect()
-        if len(seen) > LITERAL_LEVELS:
-            model.joined[c] = _share_table(counts, label, labels)
-            continue
-        per_class = {k: sum(r["n"] for r in seen if r[label] == k) for k in labels}
-        model.shares[c] = {(r["level"], r[label]): r["n"] / per_class[r[label]] for r in seen}
-    return model
+    """The model of some rows; see :class:`Counts` for one that more rows can be added to."""
+    return count(train, label, numeric, categorical).model()
 
 
 def _share_table(counts: DataFrame, label: str, labels: Sequence[str]) -> DataFrame:

@@ -55,41 +55,75 @@ def repair_times(df: DataFrame, column: str = "delivery_time_min") -> DataFrame:
 
 @dataclass(frozen=True)
 class Moments:
-    """Mean, standard deviation (n - 1) and correlation of columns, without missing values."""
+    """Rows, means and co-moments (sums of products of deviations) of columns, over the rows that
+    have all of them. Those of two parts of a frame merge to those of the whole, without rows."""
 
     columns: tuple[str, ...]
+    n: int
     mean: np.ndarray
-    sd: np.ndarray
-    correlation: np.ndarray
+    comoment: np.ndarray
+
+    @property
+    def sd(self) -> np.ndarray:
+        """Standard deviations (n - 1); NaN for fewer than two rows."""
+        if self.n < 2:
+            return np.full(len(self.columns), np.nan)
+        return np.sqrt(np.diag(self.comoment) / (self.n - 1))
+
+    @property
+    def correlation(self) -> np.ndarray:
+        """Correlations, 1 on the diagonal; NaN where a column is constant."""
+        size = np.sqrt(np.diag(self.comoment))
+        scale = np.outer(size, size)
+        out = np.full(scale.shape, np.nan)
+        np.divide(self.comoment, scale, out=out, where=scale > 0)
+        np.fill_diagonal(out, 1.0)
+        return out
+
+    def merged(self, other: Moments) -> Moments:
+        """Moments of the rows of both; the columns must be the same."""
+        if self.columns != other.columns:
+            raise ValueError(f"moments of {self.columns} and of {other.columns} do not merge")
+        if not self.n or not other.n:
+            return self if self.n else other
+        n = self.n + other.n
+        gap = other.mean - self.mean
+        return Moments(
+            self.columns,
+            n,
+            self.mean + gap * (other.n / n),
+            self.comoment + other.comoment + np.outer(gap, gap) * (self.n * other.n / n),
+        )
+
+
+def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.na.drop("any", subset=list(columns))
 
 
 def correlation_row(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
-    """One row with mean_i, sd_i and corr_i_j over the rows complete in all columns."""
-    complete = df.na.drop("any", subset=list(columns))
+    """One row with mean_i, sd_i and corr_i_j over the rows complete in all columns; a correlation
+    with a constant column is missing."""
     aggs = []
     for i, c in enumerate(columns):
         aggs += [F.avg(c).alias(f"mean_{i}"), F.stddev_samp(c).alias(f"sd_{i}")]
     for (i, a), (j, b) in combinations(enumerate(columns), 2):
-        aggs.append(F.corr(a, b).alias(f"corr_{i}_{j}"))
-    return complete.agg(*aggs)
+        size = F.stddev_samp(a) * F.stddev_samp(b)
+        aggs.append(F.try_divide(F.covar_samp(a, b), size).alias(f"corr_{i}_{j}"))
+    return _complete(df, columns).agg(*aggs)
 
 
 def fit_moments(df: DataFrame, columns: Sequence[str] = FEATURES) -> Moments:
-    row = correlation_row(df, columns).first().asDict()
+    """One pass over the rows."""
     k = len(columns)
-
-    def number(name: str) -> float:
-        return float("nan") if row[name] is None else float(row[name])
-
-    correlation = np.eye(k)
-    for i, j in combinations(range(k), 2):
-        correlation[i, j] = correlation[j, i] = number(f"corr_{i}_{j}")
-    return Moments(
-        tuple(columns),
-        np.array([number(f"mean_{i}") for i in range(k)]),
-        np.array([number(f"sd_{i}") for i in range(k)]),
-        correlation,
-    )
+    aggs = [F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"mean_{i}") for i, c in enumerate(columns)]]
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    aggs += [F.covar_pop(columns[i], columns[j]).alias(f"co_{i}_{j}") for i, j in pairs]
+    row = _complete(df, columns).agg(*aggs).first()
+    comoment = np.zeros((k, k))
+    for i, j in pairs:
+        comoment[i, j] = comoment[j, i] = row["n"] * (row[f"co_{i}_{j}"] or 0.0)
+    mean = np.array([row[f"mean_{i}"] or 0.0 for i in range(k)], float)
+    return Moments(tuple(columns), row["n"], mean, comoment)
 
 
 def scaled(moments: Moments) -> list[Column]:
@@ -159,13 +193,19 @@ class Preparation:
             principal_components(clean, self.moments.columns, moments=self.moments)
         )
 
+    def extended(self, df: DataFrame) -> Preparation:
+        """Learned from new rows, too, without those learned from before.
+
+        The moments are those of all rows together; the median, which is not a sum, stays, and
+        missing values of the new rows are filled with it.
+        """
+        new = fit_moments(fill(df, "order_value", self.median), self.moments.columns)
+        return Preparation(self.median, self.moments.merged(new))
+
     def save(self, spark: SparkSession, path: str) -> str:
         """Store the fitted numbers, replacing earlier ones."""
         m = self.moments
-        row = (
-            self.median, list(m.columns), m.mean.tolist(), m.sd.tolist(),
-            m.correlation.ravel().tolist(),
-        )
+        row = (self.median, list(m.columns), m.n, m.mean.tolist(), m.comoment.ravel().tolist())
         spark.createDataFrame([row], _STORED).coalesce(1).write.mode("overwrite").parquet(path)
         return path
 
@@ -177,15 +217,14 @@ class Preparation:
         return Preparation(
             r["median"],
             Moments(
-                tuple(r["columns"]), np.array(r["mean"]), np.array(r["sd"]),
-                np.array(r["correlation"]).reshape(k, k),
+                tuple(r["columns"]), r["n"], np.array(r["mean"], float),
+                np.array(r["comoment"], float).reshape(k, k),
             ),
         )
 
 
 _STORED = (
-    "median double, columns array<string>, mean array<double>, sd array<double>,"
-    " correlation array<double>"
+    "median double, columns array<string>, n long, mean array<double>, comoment array<double>"
 )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parcelsight.operators import bayes, classify, cluster, evaluate, olap, outliers, prep
+from parcelsight.operators import bayes, classify, cluster, evaluate, olap, outliers, prep, ward
 from parcelsight.operators.numbering import exact_median
 from parcelsight.plans.queries_olap import performance
 from parcelsight.plans.registry import query, rounded
@@ -489,6 +489,53 @@ def stored_preparation(star: DeliveryStar):
     )
 
 
+_SIDES = "CAST(right(delivery_id, 1) AS INTEGER) % 3"
+_EXTENDED = [f"round(avg({c}), 6) AS mean_{i}, round(stddev_samp({c}), 6) AS sd_{i}"
+             for i, c in enumerate(prep.FEATURES)]
+
+
+@query(
+    "extended_preparation",
+    "ML-03 ML-04 SNK-03",
+    f"""WITH filled AS (SELECT * REPLACE (coalesce(order_value_raw, (SELECT
+            quantile_cont(order_value_raw, 0.5) FROM fact_delivery WHERE {_SIDES} > 0)) AS order_value)
+        FROM fact_delivery)
+    SELECT count(*) AS n, {", ".join(_EXTENDED + _PAIRS)} FROM filled
+    WHERE {" AND ".join(f"{c} IS NOT NULL" for c in prep.FEATURES)}""",
+)
+def extended_preparation(star: DeliveryStar):
+    """Moments fitted on two thirds of the deliveries, stored, loaded, and extended by the rest."""
+    rows = staged(_features(star), "features")
+    first = prep.fit_preparation(rows.where(f"{_SIDES} > 0"))
+    path = first.save(star.spark, scratch_path(star.spark, "preparation"))
+    moments = prep.Preparation.load(star.spark, path).extended(rows.where(f"{_SIDES} = 0")).moments
+    k = len(moments.columns)
+    named = {"n": moments.n}
+    named |= {f"mean_{i}": round(float(m), 6) for i, m in enumerate(moments.mean)}
+    named |= {f"sd_{i}": round(float(m), 6) for i, m in enumerate(moments.sd)}
+    named |= {
+        f"corr_{i}_{j}": round(float(moments.correlation[i, j]), 6) for i in range(k) for j in range(i + 1, k)
+    }
+    schema = ", ".join(f"{c} {'long' if c == 'n' else 'double'}" for c in named)
+    return star.spark.createDataFrame([tuple(named.values())], schema)
+
+
+@query(
+    "extended_bayes_confusion",
+    "ML-09 ML-11 SNK-03",
+    f"WITH {_BAYES} SELECT label, prediction, count(*) AS n FROM predicted GROUP BY label, prediction",
+)
+def extended_bayes_confusion(star: DeliveryStar):
+    """Counts of two thirds of the training rows, stored and loaded, with those of the rest."""
+    marked = staged(_marked(star), "marked")
+    train = marked.where("is_train")
+    of = ("label", ["distance_km", "order_value"], ["order_segment", "traffic_level"])
+    root = scratch_path(star.spark, "counts")
+    bayes.count(train.where(f"{_SIDES} > 0"), *of).save(star.spark, root)
+    held = bayes.Counts.load(star.spark, root).merged(bayes.count(train.where(f"{_SIDES} = 0"), *of))
+    return evaluate.confusion(bayes.predict(held.model(), marked.where("NOT is_train")))
+
+
 def _lloyd_sql(k: int = 3, steps: int = 40) -> str:
     """The steps of ``cluster.lloyd`` one after the other; after the last move nothing changes."""
     names, centres = ("z0", "z1", "z2"), ("c0", "c1", "c2")
@@ -559,6 +606,65 @@ def hierarchical_cluster_totals(star: DeliveryStar):
     )
 
 
+WARD_WIDTH = 0.25
+
+
+def _ward_sql() -> str:
+    """Leaves of the stated width, and all clusters after every merge of the nearest two."""
+    cells = ", ".join(f"CAST(trunc(abs(z{i}) / {WARD_WIDTH}) * sign(z{i}) AS BIGINT) AS c{i}" for i in range(3))
+    gap = " + ".join(f"(a.s{i} / a.n - b.s{i} / b.n) ** 2" for i in range(3))
+    return f"""celled AS MATERIALIZED (SELECT agent_key, z0, z1, z2, {cells} FROM points),
+    leaves AS MATERIALIZED (SELECT row_number() OVER (ORDER BY c0, c1, c2) - 1 AS id, c0, c1, c2,
+        count(*) AS n, sum(z0) AS s0, sum(z1) AS s1, sum(z2) AS s2 FROM celled GROUP BY c0, c1, c2),
+    clusters(step, id, n, s0, s1, s2, held, lft, rgt, cost) AS (
+        SELECT 0::BIGINT, id, n, s0, s1, s2, [id], NULL::BIGINT, NULL::BIGINT, NULL::DOUBLE FROM leaves
+        UNION ALL
+        SELECT * FROM (
+            WITH best AS (SELECT a.id AS x, b.id AS y, a.n * b.n / (a.n + b.n)::DOUBLE * ({gap}) AS cost
+                FROM clusters a JOIN clusters b ON a.id < b.id ORDER BY cost, x, y LIMIT 1),
+            pair AS (SELECT c.*, x, y, best.cost AS least FROM clusters c, best)
+            SELECT step + 1, id, n, s0, s1, s2, held, NULL::BIGINT, NULL::BIGINT, NULL::DOUBLE
+                FROM pair WHERE id NOT IN (x, y)
+            UNION ALL
+            SELECT any_value(step) + 1, (SELECT count(*) FROM leaves) + any_value(step), sum(n)::BIGINT,
+                sum(s0), sum(s1), sum(s2), flatten(list(held)), any_value(x), any_value(y), any_value(least)
+                FROM pair WHERE id IN (x, y) HAVING count(*) = 2)),
+    cut AS (SELECT k, unnest(held) AS id, cluster FROM (SELECT k, held, row_number() OVER (
+            PARTITION BY k ORDER BY s0 / n, s1 / n, s2 / n) AS cluster FROM clusters
+        JOIN (VALUES (2), (3), (5)) AS ks(k) ON step = greatest((SELECT count(*) FROM leaves) - k, 0)))"""
+
+
+@query(
+    "ward_agent_clusters",
+    "ML-15 FLT-02 PRJ-06",
+    f"""WITH RECURSIVE {_PERFORMANCE}, {_ward_sql()},
+    found AS (SELECT agent_key, CAST(max(cluster) FILTER (k = 2) AS INTEGER) AS cluster_2,
+        CAST(max(cluster) FILTER (k = 3) AS INTEGER) AS cluster_3,
+        CAST(max(cluster) FILTER (k = 5) AS INTEGER) AS cluster_5
+        FROM celled JOIN leaves USING (c0, c1, c2) JOIN cut USING (id) GROUP BY agent_key)
+    SELECT agent_key, agent_id, cluster_2, cluster_3, cluster_5
+    FROM performance LEFT JOIN found USING (agent_key)""",
+)
+def ward_agent_clusters(star: DeliveryStar):
+    """Agents with their clusters of one dendrogram, cut at 2, 3 and 5."""
+    agents = staged(performance(star), "agent-performance")
+    tree = ward.dendrogram(agents, width=WARD_WIDTH)
+    cut = tree.apply(agents, {f"cluster_{k}": k for k in (2, 3, 5)})
+    return cut.select("agent_key", "agent_id", "cluster_2", "cluster_3", "cluster_5")
+
+
+@query(
+    "ward_merges",
+    "ML-15",
+    f"""WITH RECURSIVE {_PERFORMANCE}, {_ward_sql()}
+    SELECT step, lft AS "left", rgt AS "right", n, round(sqrt(2 * cost), 6) AS height
+    FROM clusters WHERE cost IS NOT NULL""",
+)
+def ward_merges(star: DeliveryStar):
+    agents = staged(performance(star), "agent-performance")
+    return rounded(ward.dendrogram(agents, width=WARD_WIDTH).merges(star.spark), 6, "height")
+
+
 @query("agent_clusters", "ML-13 FLT-02 PRJ-06")
 def agent_clusters(star: DeliveryStar):
     return cluster.kmeans(staged(performance(star), "agent-performance"))
