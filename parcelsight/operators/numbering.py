@@ -251,3 +251,41 @@ def rank_thresholds(
         )
     last = inside().groupBy("_g", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
     return _cumulated(last, "_v").select(F.col("_g").alias(by), F.col("_v").alias("threshold"))
+
+
+def running_totals(
+    df: DataFrame, group: Sequence[str], order: str, columns: Sequence[str]
+) -> DataFrame:
+    """Columns summed up within their group over the rows up to each one, in the order of a column
+    that is unique within the group, and ``following``, the next value of that column; groups and
+    order must not be missing.
+
+    Rows are range partitioned and written once, so a group of any size is spread over many tasks;
+    each part is summed up by itself, and what the parts before it hold is added. Only one row for
+    each group and part meets in the second window.
+    """
+    keys = [*group, "_part"]
+    placed = staged(
+        df.select(*group, order, *columns)
+        .repartitionByRange(*group, order)
+        .withColumn("_part", F.spark_partition_id()),
+        "ranges",
+    )
+    own = Window.partitionBy(*keys).orderBy(order)
+    upto = own.rowsBetween(Window.unboundedPreceding, 0)
+    parts = placed.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in columns], F.min(order).alias("_first")
+    )
+    beside = Window.partitionBy(*group).orderBy("_part")
+    earlier = beside.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(
+        *keys,
+        F.lead("_first").over(beside).alias("_after"),
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_before_{c}") for c in columns],
+    )
+    return placed.join(offsets, keys).select(
+        *group,
+        order,
+        *[(F.sum(c).over(upto) + F.col(f"_before_{c}")).alias(c) for c in columns],
+        F.coalesce(F.lead(order).over(own), "_after").alias("following"),
+    )

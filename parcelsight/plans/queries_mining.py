@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parcelsight.operators import bayes, classify, cluster, evaluate, olap, outliers, prep, ward
+from parcelsight.operators import (
+    bayes,
+    classify,
+    cluster,
+    evaluate,
+    olap,
+    outliers,
+    prep,
+    tree,
+    ward,
+)
 from parcelsight.operators.numbering import exact_median
 from parcelsight.plans.queries_olap import performance
 from parcelsight.plans.registry import query, rounded
@@ -372,6 +382,178 @@ def decision_tree_quality(star: DeliveryStar):
     return _quality(star, "Decision Tree", classify.fit_tree)
 
 
+_TREE = ("label", ["distance_km", "order_value"], ["order_segment", "traffic_level"], ["delivery_id"])
+_PREDICTORS = ("distance_km", "order_value", "order_segment", "traffic_level")
+TREE_DEPTH, FOREST_TREES, FOREST_DEPTH, FOREST_TRIES = 3, 5, 2, 2
+FOREST_COMPLEXITY = 0.01
+
+
+def _tree_sql(depth: int, tries: int, complexity: float, least: int, smallest: int) -> str:
+    """Trees over ``rows0`` (tree, node, w, class, x0, x1, c2, c3), one level after the other; rows
+    of weight 0 only follow the splits. ``nodes`` holds all nodes, ``leaves`` the rows at the end."""
+    ctes, nodes = [], []
+    for at in range(depth + 1):
+        ctes.append(
+            f"""stats{at} AS MATERIALIZED (SELECT tree, node, sum(w)::BIGINT AS n,
+                coalesce(sum(w) FILTER (class = 0), 0)::BIGINT AS t0,
+                coalesce(sum(w) FILTER (class = 1), 0)::BIGINT AS t1
+                FROM rows{at} WHERE w > 0 AND NOT done GROUP BY tree, node)"""
+        )
+        if at == 0:
+            ctes.append("roots AS MATERIALIZED (SELECT tree, least(t0, t1) AS risk FROM stats0)")
+        if at == depth:
+            nodes.append(
+                f"SELECT tree, node, n, t0, t1, NULL::INTEGER AS p, NULL::DOUBLE AS cut, NULL::VARCHAR AS lefts,"
+                f" NULL::DOUBLE AS gain FROM stats{at}"
+            )
+            ctes.append(f"leaves AS MATERIALIZED (SELECT * FROM rows{at})")
+            break
+        draw = sql_uniform("concat_ws('|', tree, node, p)", "split")
+        numbers = " UNION ALL ".join(
+            f"SELECT tree, node, {i} AS p, x{i} AS v, class, w FROM inner{at}" for i in (0, 1)
+        )
+        levels = " UNION ALL ".join(
+            f"SELECT tree, node, {i} AS p, c{i} AS level, class, w FROM inner{at}" for i in (2, 3)
+        )
+        sums = "coalesce(sum(w) FILTER (class = 0), 0) AS n0, coalesce(sum(w) FILTER (class = 1), 0) AS n1"
+        ctes.append(
+            f"""active{at} AS MATERIALIZED (SELECT s.* FROM stats{at} s JOIN roots USING (tree)
+                WHERE n >= {least} AND least(t0, t1) > {complexity!r} * risk AND least(t0, t1) > 0),
+            inner{at} AS MATERIALIZED (SELECT r.* FROM rows{at} r SEMI JOIN active{at} USING (tree, node) WHERE w > 0 AND NOT done),
+            some{at} AS MATERIALIZED (SELECT tree, node, p FROM (SELECT tree, node, p, row_number() OVER (
+                PARTITION BY tree, node ORDER BY {draw}) AS place FROM active{at}
+                CROSS JOIN (VALUES (0), (1), (2), (3)) AS ps(p)) WHERE place <= {tries}),
+            levels{at} AS MATERIALIZED (SELECT *, n1 / (n0 + n1)::DOUBLE AS v FROM (
+                SELECT tree, node, p, level, {sums} FROM ({levels}) GROUP BY tree, node, p, level)),
+            values{at} AS MATERIALIZED (SELECT tree, node, p, v, {sums} FROM ({numbers}) GROUP BY tree, node, p, v
+                UNION ALL SELECT tree, node, p, v, sum(n0), sum(n1) FROM levels{at} GROUP BY tree, node, p, v),
+            upto{at} AS MATERIALIZED (SELECT tree, node, p, v, t0, t1, n,
+                (sum(n0) OVER upto)::DOUBLE AS l0, (sum(n1) OVER upto)::DOUBLE AS l1, lead(v) OVER following AS beyond
+                FROM values{at} SEMI JOIN some{at} USING (tree, node, p) JOIN active{at} USING (tree, node)
+                WINDOW upto AS (PARTITION BY tree, node, p ORDER BY v ROWS UNBOUNDED PRECEDING),
+                    following AS (PARTITION BY tree, node, p ORDER BY v)),
+            best{at} AS MATERIALIZED (SELECT * FROM (SELECT *,
+                round((l0 * l0 + l1 * l1) / (l0 + l1)
+                    + ((t0 - l0) * (t0 - l0) + (t1 - l1) * (t1 - l1)) / (n - l0 - l1)
+                    - (t0::DOUBLE * t0 + t1::DOUBLE * t1) / n, 9) AS gain
+                FROM upto{at} WHERE least(l0 + l1, n - l0 - l1) >= {smallest}) WHERE gain > 0
+                QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY gain DESC, p, v) = 1),
+            sides{at} AS MATERIALIZED (SELECT tree, node, list(level ORDER BY level) AS lefts
+                FROM levels{at} l JOIN best{at} b USING (tree, node, p) WHERE l.v <= b.v GROUP BY tree, node),
+            won{at} AS MATERIALIZED (SELECT tree, node, p, gain, CASE WHEN p < 2 THEN (v + beyond) / 2 END AS cut,
+                lefts FROM best{at} LEFT JOIN sides{at} USING (tree, node)),
+            rows{at + 1} AS MATERIALIZED (SELECT r.* REPLACE (CASE WHEN won.p IS NULL THEN node ELSE 2 * node + CASE
+                    WHEN CASE won.p WHEN 0 THEN x0 <= cut WHEN 1 THEN x1 <= cut WHEN 2 THEN list_contains(lefts, c2)
+                        ELSE list_contains(lefts, c3) END THEN 0 ELSE 1 END END AS node,
+                done OR won.p IS NULL AS done) FROM rows{at} r LEFT JOIN won{at} won USING (tree, node))"""
+        )
+        nodes.append(
+            f"""SELECT tree, node, n, t0, t1, p, cut, array_to_string(lefts, ',') AS lefts, gain
+                FROM stats{at} LEFT JOIN won{at} USING (tree, node)"""
+        )
+    ctes.append("nodes AS MATERIALIZED (" + " UNION ALL ".join(nodes) + ")")
+    return ",\n".join(ctes)
+
+
+def _tree_rows(copies: str, trees: int) -> str:
+    return f"""rows0 AS MATERIALIZED (SELECT tree, 1::BIGINT AS node, {copies} AS w, FALSE AS done,
+        (label = 'No_Complaint')::INTEGER AS class, r, delivery_id, label, is_train, distance_km AS x0,
+        order_value AS x1, coalesce('=' || order_segment, '') AS c2, coalesce('=' || traffic_level, '') AS c3
+        FROM (SELECT *, row_number() OVER () AS r FROM marked) CROSS JOIN range({trees}) AS ts(tree))"""
+
+
+_ONE_TREE = f"""{_DRAWN}, {_tree_rows("is_train::INTEGER", 1)},
+    {_tree_sql(TREE_DEPTH, 4, tree.COMPLEXITY, tree.MIN_SPLIT, tree.MIN_LEAF)}"""
+
+
+def _one_tree(star: DeliveryStar):
+    marked = staged(_marked(star), "marked")
+    return marked, tree.grow(marked.where("is_train"), *_TREE, max_depth=TREE_DEPTH)
+
+
+@query(
+    "tree_splits",
+    "ML-08",
+    f"""WITH {_ONE_TREE} SELECT node, n, t0 AS complaints,
+        CASE p WHEN 0 THEN 'distance_km' WHEN 1 THEN 'order_value' WHEN 2 THEN 'order_segment'
+            WHEN 3 THEN 'traffic_level' END AS predictor,
+        round(cut, 9) AS threshold, CASE WHEN p > 1 THEN lefts END AS left_levels, round(gain, 6) AS gain
+    FROM nodes""",
+)
+def tree_splits(star: DeliveryStar):
+    """Every node of a tree of depth 3, with its exact best split."""
+    _, grown = _one_tree(star)
+    rows = [
+        (
+            i, sum(x.counts), x.counts[0], None if x.predictor is None else _PREDICTORS[x.predictor],
+            x.threshold, None if x.left is None else ",".join(x.left),
+            None if x.predictor is None else x.gain,
+        )
+        for i, x in grown.trees[0].nodes.items()
+    ]
+    schema = "node long, n long, complaints long, predictor string, threshold double, left_levels string, gain double"
+    return rounded(rounded(star.spark.createDataFrame(rows, schema), 9, "threshold"), 6, "gain")
+
+
+@query(
+    "tree_confusion",
+    "ML-08 ML-11",
+    f"""WITH {_ONE_TREE} SELECT label, CASE WHEN t0 >= t1 THEN 'Complaint' ELSE 'No_Complaint' END AS prediction,
+        count(*) AS n FROM leaves JOIN nodes USING (tree, node) WHERE NOT is_train GROUP BY ALL""",
+)
+def tree_confusion(star: DeliveryStar):
+    """Test rows by class and by what the tree says, grown and stored and loaded."""
+    marked, grown = _one_tree(star)
+    path = grown.save(star.spark, scratch_path(star.spark, "tree"))
+    loaded = tree.Forest.load(star.spark, path)
+    return evaluate.confusion(tree.predictions(loaded, marked.where("NOT is_train")))
+
+
+@query("pruned_tree_path", "ML-08")
+def pruned_tree_path(star: DeliveryStar):
+    """Complexity, leaves, training error, cross-validated error and its deviation of each subtree."""
+    marked = staged(_marked(star), "marked")
+    grown = tree.grow(marked.where("is_train"), *_TREE, max_depth=5, complexity=0.002)
+    schema = "complexity double, leaves long, error double, validated_error double, deviation double"
+    return star.spark.createDataFrame(grown.trees[0].validated(), schema)
+
+
+_COPIES = " + ".join(f"(u >= {x!r})::INTEGER" for x in tree.DRAWN)
+_FOREST = f"""{_DRAWN}, {_tree_rows("CASE WHEN is_train THEN (SELECT " + _COPIES + " FROM (SELECT "
+    + sql_uniform("delivery_id", "tree' || tree || '") + " AS u)) ELSE 0 END", FOREST_TREES)},
+    {_tree_sql(FOREST_DEPTH, FOREST_TRIES, FOREST_COMPLEXITY, 2, 1)}"""
+
+
+def _forest(star: DeliveryStar):
+    train = staged(_marked(star).where("is_train"), "training")
+    grown = tree.grow(
+        train, *_TREE, trees=FOREST_TREES, tries=FOREST_TRIES, max_depth=FOREST_DEPTH, min_split=2, min_leaf=1,
+        complexity=FOREST_COMPLEXITY, folds=1,
+    )
+    return train, grown
+
+
+@query(
+    "forest_out_of_bag",
+    "ML-14 ML-11",
+    f"""WITH {_FOREST}, votes AS (SELECT r, label,
+            count(*) FILTER (w = 0 AND t0 >= t1) AS v0, count(*) FILTER (w = 0 AND t0 < t1) AS v1
+            FROM leaves JOIN nodes USING (tree, node) WHERE is_train GROUP BY ALL)
+        SELECT label, CASE WHEN v0 + v1 = 0 THEN NULL WHEN v0 >= v1 THEN 'Complaint' ELSE 'No_Complaint' END
+            AS prediction, count(*) AS n FROM votes GROUP BY ALL""",
+)
+def forest_out_of_bag(star: DeliveryStar):
+    """Training rows by class and by the votes of the trees that did not draw them."""
+    train, grown = _forest(star)
+    return evaluate.confusion(tree.predictions(grown, train, ["delivery_id"]))
+
+
+@query("forest_importance", "ML-14")
+def forest_importance(star: DeliveryStar):
+    train, grown = _forest(star)
+    return tree.importance(grown, train, "label", ["delivery_id"])
+
+
 @query("random_forest_quality", "ML-14 ML-11 ML-12")
 def random_forest_quality(star: DeliveryStar):
     return _quality(star, "Random Forest", classify.fit_forest)
