@@ -17,6 +17,8 @@ SMALL = 50_000
 SKETCH = 10_000
 # Buckets that a group's range is cut into to find a rank.
 BUCKETS = 4_096
+# Buckets of evenly drawn numbers: of 10^11 rows of a group one holds some 1.5 million.
+DRAW_BUCKETS = 1 << 16
 
 
 def _spread_copies(rows: DataFrame, copies: str, number: str) -> DataFrame:
@@ -253,6 +255,28 @@ def rank_thresholds(
     return _cumulated(last, "_v").select(F.col("_g").alias(by), F.col("_v").alias("threshold"))
 
 
+def drawn_thresholds(
+    df: DataFrame, by: str, column: str, share: float, buckets: int = DRAW_BUCKETS
+) -> DataFrame:
+    """As ``rank_thresholds``, of numbers known to lie in [0, 1) evenly: one count by group and
+    bucket, then a look at the one bucket of each group that holds the rank. No value may be missing.
+    """
+    bucket = F.least(F.floor(F.col(column) * buckets), F.lit(buckets - 1))
+    rows = df.select(F.col(by).alias("_g"), F.col(column).alias("_v"), bucket.alias("_bucket"))
+    counts = rows.groupBy("_g", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    total = F.sum("_n").over(Window.partitionBy("_g"))
+    ranked = counts.withColumn("_rank", F.greatest(F.ceil(F.lit(share) * total), F.lit(1)))
+    state = _cumulated(ranked, "_bucket").select(
+        F.col("_g").alias("_own"),
+        F.col("_bucket").alias("_in"),
+        (F.col("_rank") - F.col("_before")).alias("_rank"),
+    )
+    inside = rows["_g"].eqNullSafe(state["_own"]) & (rows["_bucket"] == state["_in"])
+    met = rows.join(state, inside)
+    last = met.groupBy("_g", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    return _cumulated(last, "_v").select(F.col("_g").alias(by), F.col("_v").alias("threshold"))
+
+
 def running_totals(
     df: DataFrame, group: Sequence[str], order: str, columns: Sequence[str]
 ) -> DataFrame:

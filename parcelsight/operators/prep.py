@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelsight.functions.columns import cut_right, floor_at_zero, recode, uniform
-from parcelsight.operators.numbering import SMALL, exact_median, rank_thresholds
+from parcelsight.operators.numbering import SMALL, drawn_thresholds, exact_median
 from parcelsight.sources.scratch import staged
 
 FEATURES = ("distance_km", "order_value", "agent_experience_years", "traffic_density_index")
@@ -265,7 +265,7 @@ def stratified_split(
     thresholds, one for each class, are joined to the rows.
     """
     drawn = df.withColumn("_u", uniform(key, f"split{seed}"))
-    thresholds = staged(rank_thresholds(drawn, label, "_u", share), "thresholds")
+    thresholds = staged(drawn_thresholds(drawn, label, "_u", share), "thresholds")
     thresholds = thresholds.withColumnRenamed(label, "_class")
     joined = drawn.join(thresholds, drawn[label].eqNullSafe(thresholds["_class"]), "left")
     training = F.coalesce(F.col("_u") <= F.col("threshold"), F.lit(False))

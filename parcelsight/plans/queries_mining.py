@@ -363,12 +363,16 @@ def executive_summary(star: DeliveryStar):
     return rounded(summary, 9, "avg_accuracy")
 
 
+# Rows of a staged file that a model is fitted on.
+FILE_ROWS = 20_000
+
+
 def _model_rows(star: DeliveryStar):
     """Prepared, labelled and split deliveries, staged once for all models."""
     features = _with_time(star, "customer_complaint", "traffic_level")
     prepared = prep.prepare(staged(features, "features"))
     framed = staged(prep.model_frame(prepared, ["delivery_id"]), "model-frame")
-    marked = prep.stratified_split(framed, "label", ["delivery_id"])
+    marked = staged(prep.stratified_split(framed, "label", ["delivery_id"]), "marked", FILE_ROWS)
     return marked.filter("is_train"), marked.filter("NOT is_train")
 
 

@@ -47,9 +47,13 @@ def release(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and return a scan of what was written."""
+def staged(df: DataFrame, name: str, records: int = 0) -> DataFrame:
+    """Write ``df`` to the shared folder and return a scan of what was written.
+
+    With ``records`` a file holds at most so many rows: few large tasks then leave a table that
+    many tasks can read, without a shuffle.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", records).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

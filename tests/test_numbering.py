@@ -1,5 +1,6 @@
 """Dense ids and exact order statistics against brute force, small limits included."""
 
+import math
 import random
 import statistics
 
@@ -88,3 +89,15 @@ def test_sketch_that_misses_is_widened(spark, monkeypatch):
         sorted(data)[r] for r in (0, 17, 1_500, 2_998, 2_999)
     ]
     df.unpersist()
+
+
+def test_thresholds_of_drawn_numbers(spark):
+    drawn = random.Random(3)
+    rows = [(g, drawn.random()) for g in ("a", None) for _ in range(700)] + [("b", 0.25)] * 9 + [("c", 0.999999)]
+    df = spark.createDataFrame(rows, "g string, u double").repartition(5)
+    for share in (0.8, 0.0, 1.0):
+        for buckets in (4, 1 << 16):
+            got = {r["g"]: r["threshold"] for r in numbering.drawn_thresholds(df, "g", "u", share, buckets).collect()}
+            for g in ("a", "b", "c", None):
+                values = sorted(u for name, u in rows if name == g)
+                assert got[g] == values[max(1, math.ceil(share * len(values))) - 1]
