@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parcelsight.functions.words import STOP_WORDS
+from parcelsight.functions.words import STOP_WORDS, word_pattern
 from parcelsight.operators import olap, rules, text
 from parcelsight.plans.registry import query, rounded
 from parcelsight.plans.star import DeliveryStar
@@ -24,7 +24,7 @@ TEXT_LEXICON = (
 
 _STOP = ", ".join(f"('{w}')" for w in STOP_WORDS)
 _ENTRIES = ", ".join(f"('{w}', '{s}')" for w, s in TEXT_LEXICON)
-_WORDS = r"regexp_extract_all(lower(review_text), '[\p{L}\p{M}\p{N}_]+(?:[''’][\p{L}\p{M}\p{N}_]+)*')"
+_WORDS = f"regexp_extract_all(lower(review_text), '{word_pattern('', '').replace(chr(39), chr(39) * 2)}')"
 _TOKENS = f"""all_words AS (SELECT review_id, unnest({_WORDS}) AS word FROM fact_review
         WHERE review_text IS NOT NULL),
     tokens AS (SELECT review_id, word FROM all_words
