@@ -23,12 +23,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelsight.functions.columns import uniform
 from parcelsight.functions.fourier import FourierFeatures
+from parcelsight.sources.scratch import staged
 
 NUMERIC = ("PC1", "PC2")
 CATEGORICAL = ("order_segment", "traffic_level")
 # Bins of a continuous predictor; a category with more levels than this gets as many.
 MAX_BINS = 32
+# Rows of a staged file of the SVM's design.
+DESIGN_ROWS = 20_000
 
 
 def _indexer(rows: DataFrame, column: str, code: str) -> StringIndexerModel:
@@ -144,33 +148,64 @@ def fit_svm(
     features: int = 64,
     max_iter: int = 100,
     seed: int = 123,
+    key: Sequence[str] | None = None,
+    folds: int = 3,
 ) -> PipelineModel:
-    """Radial-kernel SVM with class probabilities.
+    """Radial-kernel SVM with cross-fitted class probabilities.
 
     The kernel is approximated by random Fourier features, so training is linear in the
-    rows; probabilities come from a logistic curve over the margin. Rows with a missing
-    predictor (or NaN) are left out of the fit, and get no prediction.
+    rows; they are computed once and staged. Probabilities come from a logistic curve over the
+    margin, fitted on margins of rows that their own model has not seen: rows are dealt into
+    ``folds`` by ``key`` (by their features without one), and each fold is scored by a model of
+    the others. Where a fold's others hold one class only, and with one fold, the curve is fitted on
+    the final model's margins. Rows with a missing predictor (or NaN) are left out of the fit, and
+    get no prediction.
     """
     train, classes = _coded(train, label)
     known, terms = _design(train, numeric, categorical)
     train = train.filter(known)
     inputs = [f"_x{i}" for i in range(len(terms))]
     design = ", ".join(f"{t} AS {x}" for t, x in zip(terms, inputs))
-    stages = [
+    before = [
         SQLTransformer(statement=f"SELECT *, {design}, {known} AS _known FROM __THIS__"),
         FourierFeatures.drawn(inputs, "features", features, gamma or 1.0 / len(terms), seed),
-        LinearSVC(
+    ]
+    drawn = uniform(key, "svm-fold") if key else uniform([F.to_json(F.struct(*numeric, *categorical))], "svm-fold")
+    rows = PipelineModel(before).transform(train.withColumn("_fold", F.floor(drawn * folds).cast("int")))
+    rows = staged(rows.select("features", "label_code", "_fold"), "svm-design", DESIGN_ROWS)
+
+    def fitted(some: DataFrame):
+        return LinearSVC(
             labelCol="label_code", predictionCol="prediction_code", rawPredictionCol="margin",
-            regParam=1.0 / (cost * max(train.count(), 1)), maxIter=max_iter, standardization=False,
-        ),
-        LogisticRegression(
-            featuresCol="margin", labelCol="label_code", predictionCol="_p",
-            rawPredictionCol="_raw", probabilityCol="probability", maxIter=max_iter,
-        ),
+            regParam=1.0 / (cost * max(some.count(), 1)), maxIter=max_iter, standardization=False,
+            tol=1e-4,
+        ).fit(some)
+
+    final = fitted(rows)
+    margins = held_out_margins(rows, fitted, folds) if folds > 1 else None
+    margins = final.transform(rows) if margins is None else margins
+    curve = LogisticRegression(
+        featuresCol="margin", labelCol="label_code", predictionCol="_p",
+        rawPredictionCol="_raw", probabilityCol="probability", maxIter=max_iter,
+    ).fit(staged(margins.select("margin", "label_code"), "margins"))
+    after = [
         _name_stage(classes, "_named"),
         SQLTransformer(statement="SELECT *, if(_known, _named, NULL) AS prediction FROM __THIS__"),
-    ]
-    return Pipeline(stages=stages).fit(train)
+    ]
+    return PipelineModel([*before, final, curve, *after])
+
+
+def held_out_margins(rows: DataFrame, fitted, folds: int) -> DataFrame | None:
+    """All rows with the margin that a model of the other folds gives them; None if a fold's others
+    hold fewer than two classes."""
+    out = None
+    for fold in range(folds):
+        others = rows.where(F.col("_fold") != fold)
+        if others.select("label_code").distinct().count() < 2:
+            return None
+        scored = fitted(others).transform(rows.where(F.col("_fold") == fold))
+        out = scored if out is None else out.unionByName(scored)
+    return out
 
 
 def predictions(model: PipelineModel, rows: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from parcelsight.sources.scratch import staged
 
+# Splits of files whose offsets are sent to every task (some 150 bytes each).
+MOST_SPLITS = 500_000
 # Copies of one identical row that a single task expands.
 COPIES_PER_TASK = 100_000
 # Rows an order statistic may bring to the driver, and the sketch's rank error 1/n.
@@ -49,8 +51,8 @@ def dense_ids(
     """Consecutive ids in the order of ``order_by``.
 
     Rows are range partitioned and sorted, written once, and numbered as partition
-    offset + position; only one row per partition meets in the offset window. Spark
-    has no file order, so the order must be given. ``unique`` promises that ``order_by``
+    offset + position; only one row per partition meets in the offset window. For the order
+    of rows in files see ``file_order_ids``. ``unique`` promises that ``order_by``
     identifies a row. Without it the other columns break ties and identical rows are
     counted first, so a group of copies is spread over partitions by copy number.
     """
@@ -83,6 +85,42 @@ def dense_ids(
     )
 
 
+def file_order_ids(df: DataFrame, name: str = "row_id", start: int = 1) -> DataFrame:
+    """Consecutive ids in the order of the files' names and of the rows in each file.
+
+    ``df`` is a scan of files, with filters and computed columns on top at most: nothing that moves
+    rows between tasks. A row's place is that of its split (file and first byte), and its position
+    in it. Rows are written once as they come, neither sorted nor shuffled; only the splits' counts
+    are summed up. Rows that a filter takes out get no number, equal rows each their own, and empty
+    files hold none. Columns must not begin with ``_split``.
+    """
+    placed = staged(
+        df.withColumns(
+            {
+                "_split_file": F.col("_metadata.file_path"),
+                "_split_start": F.col("_metadata.file_block_start"),
+                # Grows by one from row to row of a task, so also within a split.
+                "_split_place": F.monotonically_increasing_id(),
+            }
+        ).select(*df.columns, "_split_file", "_split_start", "_split_place"),
+        "file-order",
+    )
+    keys = ["_split_file", "_split_start"]
+    splits = placed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_split_rows"), F.min("_split_place").alias("_split_first")
+    )
+    earlier = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_split_rows").over(earlier), F.lit(0))
+    # One row for each split of the scan.
+    offsets = staged(
+        splits.select(*keys, (before - F.col("_split_first")).alias("_split_before")), "splits"
+    )
+    if offsets.count() <= MOST_SPLITS:
+        offsets = F.broadcast(offsets)
+    number = F.col("_split_place") + F.col("_split_before") + F.lit(start)
+    return placed.join(offsets, keys).select(number.cast("bigint").alias(name), *df.columns)
+
+
 def level_table(df: DataFrame, column: str, code: str, start: int = 1) -> DataFrame:
     """Distinct non-null values in lexical order with their index."""
     levels = df.select(column).filter(F.col(column).isNotNull()).distinct()

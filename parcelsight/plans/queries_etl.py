@@ -96,6 +96,21 @@ def numbered_deliveries(star: DeliveryStar):
     return numbering.dense_ids(lines, list(LINE_KEY))
 
 
+@query(
+    "file_ordered_deliveries",
+    "WIN-01 SRC-01",
+    """SELECT row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber,
+        l_quantity, l_extendedprice) AS row_id, l_orderkey, l_partkey, l_suppkey, l_linenumber,
+        l_quantity, l_extendedprice FROM lineitem""",
+)
+def file_ordered_deliveries(star: DeliveryStar):
+    """Lines written in order to CSV files, and numbered as they come in the files."""
+    lines = star.table("lineitem").select(*LINE_KEY, "l_quantity", "l_extendedprice")
+    ordered = lines.repartitionByRange(*lines.columns).sortWithinPartitions(*lines.columns)
+    path = write_delimited(ordered, scratch_path(star.spark, "ordered-lines"))
+    return numbering.file_order_ids(read_delimited(star.spark, path, lines.schema))
+
+
 @query(
     "price_range_codes",
     "WIN-02",

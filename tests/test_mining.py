@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parcelsight.operators import bayes, classify, cluster, evaluate, prep, rules
+from parcelsight.sources.scratch import staged
 from parcelsight.sources.writers import load_models, save_models
 
 
@@ -349,3 +350,52 @@ def test_lloyd_says_when_centres_still_move(spark):
     with pytest.raises(RuntimeError, match="still move after 2 steps"):
         cluster.lloyd(df, ["a"], steps=2)
     assert cluster.lloyd(df, ["a"]).select("cluster").distinct().count() == 3
+
+
+def test_probabilities_are_cross_fitted_and_calibrated(spark):
+    """The curve comes from margins of rows that their model has not seen, and its chances hold."""
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    drawn = np.random.default_rng(4)
+    rows = []
+    for i in range(3000):
+        a, b = map(float, drawn.normal(size=2))
+        rows.append((i, a, b, "u", "v", "yes" if drawn.random() < 1 / (1 + np.exp(-2 * a)) else "no"))
+    df = staged(
+        spark.createDataFrame(rows, "id long, PC1 double, PC2 double, order_segment string, traffic_level string, label string"),
+        "rows",
+    )
+    seen = []
+    plain = classify.held_out_margins
+
+    def watched(frame, fitted, folds):
+        out = plain(frame, fitted, folds)
+        seen.append((frame.toPandas(), out.select("margin", "label_code", "_fold").toPandas()))
+        return out
+
+    classify.held_out_margins = watched
+    try:
+        model = classify.fit_svm(df.where("id < 2000"), key=["id"], max_iter=30, features=32)
+    finally:
+        classify.held_out_margins = plain
+    (design, held), curve = seen[0], next(s for s in model.stages if isinstance(s, LogisticRegressionModel))
+    assert len(held) == len(design) == 2000 and set(design["_fold"]) == {0, 1, 2}
+    x, y = np.array([m[1] for m in held["margin"]]), held["label_code"].to_numpy()
+
+    def loss(slope, shift):
+        z = slope * x + shift
+        return float(np.mean(np.log1p(np.exp(-z)) + (1 - y) * z))
+
+    slope = float(curve.coefficients[1] - curve.coefficients[0])
+    found = loss(slope, float(curve.intercept))
+    around = [loss(slope * s, float(curve.intercept) + d) for s in (0.9, 1.0, 1.1) for d in (-0.1, 0.0, 0.1)]
+    assert found <= min(around) + 1e-4
+    test = classify.predictions(model, df.where("id >= 2000")).toPandas()
+    chance = np.array([p[1] for p in test["probabilities"]])
+    truth = (test["label"] == "yes").to_numpy()
+    for low in (0.0, 0.25, 0.5, 0.75):
+        some = (chance >= low) & (chance < low + 0.25)
+        if some.sum() >= 50:
+            assert abs(chance[some].mean() - truth[some].mean()) < 0.1
+    one = classify.fit_svm(df.where("id < 200"), max_iter=10, features=16, folds=1)
+    assert classify.predictions(one, df.limit(5)).count() == 5

@@ -101,3 +101,39 @@ def test_thresholds_of_drawn_numbers(spark):
             for g in ("a", "b", "c", None):
                 values = sorted(u for name, u in rows if name == g)
                 assert got[g] == values[max(1, math.ceil(share * len(values))) - 1]
+
+
+def test_ids_are_the_line_numbers_of_files_in_many_splits(spark, tmp_path):
+    lines, folder = [], tmp_path / "lines"
+    folder.mkdir()
+    for part in range(4):
+        mine = [f"{part},{i},{'x' * (i * 7 % 90)}" for i in range(0 if part == 2 else 900 + 50 * part)]
+        lines += mine
+        (folder / f"part-{part}.csv").write_text("".join(x + "\n" for x in ["part,i,text", *mine]))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        spark.conf.set("spark.sql.files.openCostInBytes", "512")
+        df = spark.read.csv(str(folder), header=True, schema="part int, i int, text string")
+        assert df.rdd.getNumPartitions() > 20
+        got = numbering.file_order_ids(df, "id").collect()
+        odd = numbering.file_order_ids(df.where("i % 2 = 1").withColumn("j", F.col("i") + 1), "id", 0).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r.id, f"{r.part},{r.i},{r.text or ''}") for r in got) == list(enumerate(lines, 1))
+    wanted = [x for x in lines if int(x.split(",")[1]) % 2]
+    assert sorted((r.id, f"{r.part},{r.i},{r.text or ''}") for r in odd) == list(enumerate(wanted))
+    assert all(r.j == r.i + 1 for r in odd)
+
+
+def test_file_order_needs_no_exchange_of_rows(spark, tmp_path, monkeypatch):
+    spark.range(50).withColumn("t", F.lit("x")).write.csv(str(tmp_path / "in"))
+    plans = []
+    plain = numbering.staged
+    monkeypatch.setattr(numbering, "staged", lambda df, n: plans.append(df._jdf.queryExecution().toString()) or plain(df, n))
+    out = numbering.file_order_ids(spark.read.csv(str(tmp_path / "in"), schema="k long, t string"))
+    assert out.agg(F.min("row_id"), F.max("row_id"), F.count_distinct("row_id")).first()[:] == (1, 50, 50)
+    assert "Exchange" not in plans[0] and "Sort" not in plans[0]
+    none = numbering.file_order_ids(spark.read.csv(str(tmp_path / "in"), schema="k long, t string").where("k < 0"))
+    assert none.count() == 0
