@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 #: What separates words: blanks and the ASCII controls from tab to carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
 #: Texts are worked on in groups of this many characters, so that memory stays bounded.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 2_000_000
 
 
 def byte_words(text: str | None) -> list[bytes]:

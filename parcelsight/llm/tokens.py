@@ -1,8 +1,9 @@
 """Ids of a public byte-level tokenizer, with its answers for repeated pieces kept.
 
-A byte-level vocabulary splits a text before every run of white space that follows
-something else, whatever comes before or after. Pieces cut there can be encoded one by
-one, so the library is asked once for each distinct piece that a worker meets.
+A byte-level vocabulary splits a text before every run of white space that follows something else,
+and after every run of letters that a mark or a digit follows, whatever comes before or after.
+Pieces cut there can be encoded one by one, so the library is asked once for each distinct piece
+that a worker meets. Cutting, and looking up pieces by a hash of their bytes, work on arrays.
 """
 
 from __future__ import annotations
@@ -12,29 +13,47 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
-import pyarrow as pa
 from tokenizers import Tokenizer
 
-from parcelsight.llm.common import flat_list
+from parcelsight.llm.common import _BASE, _BYTE, mix, runs
 
 #: Id that ends every document.
 END_ID = 0
-#: Unicode white space, as the tokenizer's own splitting rule sees it.
-_SPACE = "\t-\r " + "".join(
-    map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
-)
-#: A word of Latin letters with the white space before it; or else all up to the next white space.
-#: What follows such a word starts a new piece of the tokenizer's own, too.
-_PIECE = re.compile(
-    f"[{_SPACE}]*[A-Za-zÀ-ÖØ-öø-ɏ]+(?![^\\W\\d_])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+"
-)
+#: White space that is not ASCII, as the tokenizer's own splitting rule sees it: a text that holds
+#: any is one piece, for no cut beside it is known to be right.
+_WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: A piece that the tokenizer does not split; a blank before it is written as a letter of its own.
-_PLAIN = re.compile(" ?[A-Za-z]+")
+_PLAIN = re.compile(b" ?[A-Za-z]+")
 _BLANK_LETTER = "Ġ"
-#: Pieces met once only are dropped when this many are kept (about 100 MB in all).
-KEPT = 400_000
-#: Longer pieces are not kept for the next texts.
-LONGEST = 100
+#: Pieces met once only are dropped when this many are kept (32 bytes each, and their ids).
+KEPT = 300_000
+#: Bytes that are cut and looked up at a time; longer texts are worked on whole.
+SPAN = 1 << 20
+
+_SPACES, _LETTERS, _BREAKS = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+_SPACES[[9, 10, 11, 12, 13, 32]] = True
+_LETTERS[[*range(65, 91), *range(97, 123)]] = True
+#: ASCII marks and digits; an apostrophe may belong to the letters after it.
+_BREAKS[33:127] = True
+_BREAKS[39] = False
+_BREAKS &= ~_LETTERS
+
+
+def cuts(raw: np.ndarray) -> np.ndarray:
+    """Where pieces begin in some bytes."""
+    space, before = _SPACES[raw[1:]], raw[:-1]
+    inside = (space & ~_SPACES[before]) | (_BREAKS[raw[1:]] & _LETTERS[before])
+    return np.concatenate(([0], np.flatnonzero(inside) + 1))
+
+
+@lru_cache(maxsize=2)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        steps = np.full(size, base, np.uint64)
+        steps[0] = 1
+        out.append(np.cumprod(steps))
+    return out[0], out[1]
 
 
 class Encoder:
@@ -44,10 +63,10 @@ class Encoder:
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = True
         self._model = self._library.model
-        self._slots: dict[str, int] = {}
-        self._ids = np.zeros(1 << 16, np.int32)
-        self._starts = np.zeros(1 << 14, np.int64)
-        self._uses = np.zeros(1 << 14, np.int64)
+        # Known pieces in the order of their hashes, with a second hash to be sure.
+        self._keys, self._checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self._starts, self._lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self._uses, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each with the end id, and where each text starts.
@@ -55,65 +74,108 @@ class Encoder:
         The starts have one more entry, the number of all ids. A missing text is empty:
         its only id is the end id.
         """
-        parts = [_PIECE.findall(t) if t else [] for t in texts]
-        pieces = flat_list(parts)
-        coded = pa.array(pieces, pa.string()).dictionary_encode()
-        different = coded.dictionary.to_pylist()
-        new = [p for p in different if p not in self._slots]
-        if new:
-            self._learn(new)
-        slots = np.fromiter(map(self._slots.__getitem__, different), np.int64, len(different))
-        slots = slots[coded.indices.to_numpy()]
-        self._uses[: len(self._slots)] += np.bincount(slots, minlength=len(self._slots))
-        starts = self._starts[slots]
-        lengths = self._starts[slots + 1] - starts
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self._ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
-        before = np.concatenate(([0], ends))
-        stops = before[np.cumsum([len(p) for p in parts], dtype=np.int64)]
-        ids = np.insert(ids, stops, END_ID)
-        if len(self._slots) > KEPT:
+        raws = [t.encode("utf-8") if t else b"" for t in texts]
+        found, sizes, at = [], [], 0
+        while at < len(texts):
+            held, stop = len(raws[at]), at + 1
+            while stop < len(texts) and held + len(raws[stop]) <= SPAN:
+                held, stop = held + len(raws[stop]), stop + 1
+            ids, counts = self._some(texts[at:stop], raws[at:stop])
+            found.append(ids)
+            sizes.append(counts)
+            at = stop
+        counts = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
+        ids = np.concatenate(found) if found else np.zeros(0, np.int32)
+        return ids, np.concatenate(([0], np.cumsum(counts)))
+
+    def _some(self, texts: list[str | None], raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a few texts with their end ids, and how many each has."""
+        whole = b"".join(raws)
+        ends = np.cumsum([len(r) for r in raws], dtype=np.int64)
+        if not whole:
+            return np.full(len(raws), END_ID, np.int32), np.ones(len(raws), np.int64)
+        raw = np.frombuffer(whole, np.uint8)
+        starts = np.union1d(cuts(raw), ends[:-1])
+        starts = starts[starts < len(raw)]
+        for i, text in enumerate(texts):
+            if text and not text.isascii() and _WIDE_SPACE.search(text):
+                first = ends[i] - len(raws[i])
+                starts = starts[(starts <= first) | (starts >= ends[i])]
+        stops = np.append(starts[1:], len(raw))
+        keys, checks = self._hashes(raw, starts, stops)
+        slots = self._slots(keys, checks)
+        if (slots < 0).any():
+            self._learn(whole, starts, stops, keys, checks, slots < 0)
+            slots = self._slots(keys, checks)
+        self._uses += np.bincount(slots, minlength=len(self._uses))
+        lengths = self._lengths[slots]
+        to = np.cumsum(lengths)
+        ids = self._ids[np.repeat(self._starts[slots] - (to - lengths), lengths) + np.arange(to[-1])]
+        before = np.concatenate(([0], to))
+        stops_at = before[np.searchsorted(starts, ends)]
+        ids = np.insert(ids, stops_at, END_ID)
+        if len(self._keys) > KEPT:
             self._forget()
-        return ids, np.concatenate(([0], stops + np.arange(1, len(texts) + 1)))
-
-    def _learn(self, pieces: list[str]) -> None:
-        plain, rest = [], []
-        for piece in pieces:
-            (plain if _PLAIN.fullmatch(piece) else rest).append(piece)
-        tokenize = self._model.tokenize
-        found = [[t.id for t in tokenize(p.replace(" ", _BLANK_LETTER))] for p in plain]
-        found += [e.ids for e in self._library.encode_batch_fast(rest, add_special_tokens=False)]
-        first, counts = len(self._slots), [len(x) for x in found]
-        used, last = int(self._starts[first]), first + len(found)
-        ids = np.fromiter(chain.from_iterable(found), np.int32, sum(counts))
-        while used + len(ids) > len(self._ids):
-            self._ids = np.concatenate((self._ids, np.zeros_like(self._ids)))
-        while last + 1 > len(self._starts):
-            self._starts = np.concatenate((self._starts, np.zeros_like(self._starts)))
-            self._uses = np.concatenate((self._uses, np.zeros_like(self._uses)))
-        self._ids[used : used + len(ids)] = ids
-        self._starts[first + 1 : last + 1] = used + np.cumsum(counts)
-        self._uses[first:last] = 0
-        self._slots.update(zip(chain(plain, rest), range(first, last), strict=True))
+        return ids, np.diff(stops_at, prepend=0) + 1
+
+    def _hashes(self, raw, starts, stops) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of each piece, by sums over random values of its bytes."""
+        power, inverse = _powers(max(SPAN, 1 << (len(raw) - 1).bit_length()))
+        out = []
+        for shift in (0, 1):
+            # A second polynomial over other values: those of the bytes turned by a constant.
+            values = _BYTE if not shift else mix(_BYTE, 3)
+            sums = np.concatenate(([np.uint64(0)], np.cumsum(values[raw] * power[: len(raw)])))
+            found = (sums[stops] - sums[starts]) * inverse[starts]
+            out.append(mix(found + (stops - starts).astype(np.uint64), shift))
+        return out[0], out[1]
+
+    def _slots(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Place of each piece among the known ones, -1 for a new one."""
+        if not len(self._keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
+        return np.where((self._keys[at] == keys) & (self._checks[at] == checks), at, -1)
+
+    def _learn(self, whole, starts, stops, keys, checks, new) -> None:
+        """Ask the library for the ids of new pieces, and keep them."""
+        places = np.flatnonzero(new)
+        order = places[np.argsort(keys[places], kind="stable")]
+        first = order[runs(keys[order])]
+        pieces = [whole[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True)]
+        found: list[list[int]] = [[] for _ in pieces]
+        rest, tokenize = [], self._model.tokenize
+        for i, piece in enumerate(pieces):
+            if _PLAIN.fullmatch(piece):
+                found[i] = [t.id for t in tokenize(piece.decode().replace(" ", _BLANK_LETTER))]
+            else:
+                rest.append(i)
+        answers = self._library.encode_batch_fast([pieces[i].decode() for i in rest], add_special_tokens=False)
+        for i, answer in zip(rest, answers, strict=True):
+            found[i] = answer.ids
+        counts = np.array([len(x) for x in found], np.int64)
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))
+        begins = len(self._ids) + np.cumsum(counts) - counts
+        merged = np.argsort(np.concatenate((self._keys, keys[first])), kind="stable")
+        self._ids = np.concatenate((self._ids, ids))
+        for name, more in (
+            ("_keys", keys[first]), ("_checks", checks[first]), ("_starts", begins),
+            ("_lengths", counts), ("_uses", np.zeros(len(first), np.int64)),
+        ):
+            setattr(self, name, np.concatenate((getattr(self, name), more))[merged])
 
     def _forget(self) -> None:
         """Keep the pieces met twice or more since the last time, if they are half or fewer."""
-        n = len(self._slots)
-        again = self._uses[:n] > 1
+        again = self._uses > 1
         if np.count_nonzero(again) > KEPT // 2:
             again[:] = False
-        names = [p for p, stay in zip(self._slots, again.tolist(), strict=True) if stay and len(p) <= LONGEST]
-        old = np.array([self._slots[p] for p in names], np.int64)
-        starts = self._starts[old]
-        lengths = self._starts[old + 1] - starts
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self._ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
-        self._ids[:total] = ids
-        self._starts[1 : len(old) + 1] = ends
-        self._uses[: len(old)] = 1
-        self._slots = dict(zip(names, range(len(old)), strict=True))
+        lengths = self._lengths[again]
+        to = np.cumsum(lengths)
+        total = int(to[-1]) if len(to) else 0
+        self._ids = self._ids[np.repeat(self._starts[again] - (to - lengths), lengths) + np.arange(total)]
+        self._keys, self._checks = self._keys[again], self._checks[again]
+        self._starts, self._lengths = to - lengths, lengths
+        self._uses = np.ones(len(lengths), np.int64)
 
 
 @lru_cache(maxsize=2)
