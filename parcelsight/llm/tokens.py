@@ -26,7 +26,7 @@ _WIDE_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u
 _PLAIN = re.compile(b" ?[A-Za-z]+")
 _BLANK_LETTER = "Ġ"
 #: Pieces met once only are dropped when this many are kept (32 bytes each, and their ids).
-KEPT = 300_000
+KEPT = 600_000
 #: Bytes that are cut and looked up at a time; longer texts are worked on whole.
 SPAN = 1 << 20
 
