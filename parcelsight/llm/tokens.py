@@ -27,6 +27,8 @@ _PLAIN = re.compile(b" ?[A-Za-z]+")
 _BLANK_LETTER = "Ġ"
 #: Pieces met once only are dropped when this many are kept (32 bytes each, and their ids).
 KEPT = 600_000
+#: Entries of a table of places, less one, and which bits of the hash each of the tables goes by.
+_MASK, _TURNS = np.uint64((1 << 21) - 1), (np.uint64(0), np.uint64(32))
 #: Bytes that are cut and looked up at a time; longer texts are worked on whole.
 SPAN = 1 << 20
 
@@ -63,7 +65,8 @@ class Encoder:
         self._library = Tokenizer.from_file(path)
         self._library.encode_special_tokens = True
         self._model = self._library.model
-        # Known pieces in the order of their hashes, with a second hash to be sure.
+        # Known pieces by their hash, with a second hash to be sure, and where to look for them.
+        self._tables = [np.zeros(_MASK + np.uint64(1), np.int32) for _ in _TURNS]
         self._keys, self._checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         self._starts, self._lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self._uses, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int32)
@@ -95,8 +98,10 @@ class Encoder:
         if not whole:
             return np.full(len(raws), END_ID, np.int32), np.ones(len(raws), np.int64)
         raw = np.frombuffer(whole, np.uint8)
-        starts = np.union1d(cuts(raw), ends[:-1])
-        starts = starts[starts < len(raw)]
+        begins = np.zeros(len(raw) + 1, bool)
+        begins[cuts(raw)] = True
+        begins[ends[:-1]] = True
+        starts = np.flatnonzero(begins[:-1])
         for i, text in enumerate(texts):
             if text and not text.isascii() and _WIDE_SPACE.search(text):
                 first = ends[i] - len(raws[i])
@@ -105,8 +110,7 @@ class Encoder:
         keys, checks = self._hashes(raw, starts, stops)
         slots = self._slots(keys, checks)
         if (slots < 0).any():
-            self._learn(whole, starts, stops, keys, checks, slots < 0)
-            slots = self._slots(keys, checks)
+            self._learn(whole, starts, stops, keys, checks, slots)
         self._uses += np.bincount(slots, minlength=len(self._uses))
         lengths = self._lengths[slots]
         to = np.cumsum(lengths)
@@ -131,17 +135,30 @@ class Encoder:
         return out[0], out[1]
 
     def _slots(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
-        """Place of each piece among the known ones, -1 for a new one."""
+        """Place of each piece among the known ones, -1 for one that is new, or that both of its
+        entries in the tables were taken from."""
+        out = np.full(len(keys), -1)
         if not len(self._keys):
-            return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
-        return np.where((self._keys[at] == keys) & (self._checks[at] == checks), at, -1)
-
-    def _learn(self, whole, starts, stops, keys, checks, new) -> None:
-        """Ask the library for the ids of new pieces, and keep them."""
-        places = np.flatnonzero(new)
+            return out
+        for table, shift in zip(self._tables, _TURNS, strict=True):
+            left = np.flatnonzero(out < 0)
+            at = table[(keys[left] >> shift & _MASK).view(np.int64)]
+            good = (self._keys[at] == keys[left]) & (self._checks[at] == checks[left])
+            out[left[good]] = at[good]
+        return out
+
+    def _enter(self, first: int) -> None:
+        """Put the pieces from a place on into the tables."""
+        for table, shift in zip(self._tables, _TURNS, strict=True):
+            table[(self._keys[first:] >> shift & _MASK).view(np.int64)] = np.arange(first, len(self._keys))
+
+    def _learn(self, whole, starts, stops, keys, checks, slots) -> None:
+        """Ask the library for the ids of new pieces, keep them, and fill in their places."""
+        places = np.flatnonzero(slots < 0)
         order = places[np.argsort(keys[places], kind="stable")]
-        first = order[runs(keys[order])]
+        heads = runs(keys[order])
+        first, known = order[heads], len(self._keys)
+        slots[order] = known + np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(order))))
         pieces = [whole[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True)]
         found: list[list[int]] = [[] for _ in pieces]
         rest, tokenize = [], self._model.tokenize
@@ -156,13 +173,13 @@ class Encoder:
         counts = np.array([len(x) for x in found], np.int64)
         ids = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))
         begins = len(self._ids) + np.cumsum(counts) - counts
-        merged = np.argsort(np.concatenate((self._keys, keys[first])), kind="stable")
         self._ids = np.concatenate((self._ids, ids))
         for name, more in (
             ("_keys", keys[first]), ("_checks", checks[first]), ("_starts", begins),
             ("_lengths", counts), ("_uses", np.zeros(len(first), np.int64)),
         ):
-            setattr(self, name, np.concatenate((getattr(self, name), more))[merged])
+            setattr(self, name, np.concatenate((getattr(self, name), more)))
+        self._enter(known)
 
     def _forget(self) -> None:
         """Keep the pieces met twice or more since the last time, if they are half or fewer."""
@@ -176,6 +193,9 @@ class Encoder:
         self._keys, self._checks = self._keys[again], self._checks[again]
         self._starts, self._lengths = to - lengths, lengths
         self._uses = np.ones(len(lengths), np.int64)
+        for table in self._tables:
+            table[:] = 0
+        self._enter(0)
 
 
 @lru_cache(maxsize=2)
