@@ -25,11 +25,18 @@ from parcelsight.operators import (
     prep,
     quality,
     rules,
+    standing,
     text,
     warehouse,
 )
 from parcelsight.sources.readers import read_stage
-from parcelsight.sources.writers import save_models, write_delimited, write_stage
+from parcelsight.sources.scratch import staged
+from parcelsight.sources.writers import (
+    replace_folders,
+    save_models,
+    write_delimited,
+    write_stage,
+)
 
 DELIVERY_FIELDS = (
     "distance_km", "delivery_time_min", "sla_min", "delayed_flag", "traffic_level", "weather",
@@ -100,22 +107,35 @@ class Workflow:
         self._keep("preprocessed_data", prep.Preparation.load(self.spark, path).apply(facts))
 
     def report_measures(self) -> None:
+        """Grouped reports from parts of the months; only months whose facts changed are read."""
+        standing.refresh(self.spark, self.path("fact_delivery"), self.path("measure_parts"))
         facts, cities = self.read("fact_delivery"), self.read("dim_city")
-        self._keep("city_traffic", olap.city_traffic(facts, cities))
-        self._keep("city_month", olap.city_month(facts, cities, self.read("dim_time")))
-        named = facts.join(cities, "city_id", "left").withColumnRenamed("agent_id", "agent_name")
-        keys = ["city", "agent_name", "traffic_level", "weather"]
-        self._keep("measure_parts", olap.measure_parts(named, keys))
-        parts = self.read("measure_parts")
-        self._keep("daily_orders", olap.daily_orders(facts, self.read("dim_time")))
+        days, places, cells = (
+            standing.parts_of(self.spark, self.path("measure_parts"), name)
+            for name in ("days", "places", "cells")
+        )
+        self._keep("city_traffic", olap.city_traffic(cells, cities))
+        self._keep("city_month", olap.city_month(days, cities, self.read("dim_time")))
+        self._keep("daily_orders", olap.daily_orders(days, self.read("dim_time")))
+        named = places.join(cities, "city_id", "left").withColumnRenamed("agent_id", "agent_name")
         for level in ("city", "agent_name"):
-            self._keep(f"drill_{level}", olap.drill(parts, level))
-        places = olap.measure_parts(parts, ["city", "agent_name"])
-        self._keep("place_rollup", olap.hierarchy_rollup(places, ["city", "agent_name"]))
-        cells = ["city", "traffic_level", "weather"]
-        self._keep("cube", olap.dimension_cube(olap.measure_parts(parts, cells), cells))
+            self._keep(f"drill_{level}", olap.drill(named, level))
+        self._keep("place_rollup", olap.hierarchy_rollup(named, ["city", "agent_name"]))
+        kept = ["city", "traffic_level", "weather"]
+        self._keep("cube", olap.dimension_cube(cells.join(cities, "city_id", "left"), kept))
         self._keep("key_figures", olap.key_figures(facts))
 
+    def replace_months(self, facts: DataFrame) -> None:
+        """Put plain delivery facts in place of all those of their months, and renew the reports.
+
+        ``facts`` have the columns of the stored ones and ids and keys of the same dimensions.
+        """
+        facts = staged(facts, "month-facts")
+        replace_folders(facts, self.path("fact_delivery_plain"), "month_id")
+        rich = enrich.enrich_deliveries(facts, ["delivery_id"])
+        replace_folders(rich, self.path("fact_delivery"), "month_id")
+        self.report_measures()
+
     def classify(self) -> None:
         """Fit and compare the tree, naive Bayes and SVM, and a forest beside them."""
         frame = prep.model_frame(self.read("preprocessed_data"), ["delivery_id"])

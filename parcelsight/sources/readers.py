@@ -73,9 +73,22 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _pointers(spark: SparkSession, base: str) -> DataFrame | None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{base}.current")
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return None
+    return spark.read.schema(POINTER).json(f"{base}.current")
+
+
+def current_number(spark: SparkSession, root: str, name: str) -> int:
+    """The number of a replaced table's current version; 0 if there is none."""
+    found = _pointers(spark, f"{root.rstrip('/')}/{name}")
+    return 0 if found is None else found.agg(F.max("number")).first()[0] or 0
+
+
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The version of a replaced table that its newest pointer names, in any session."""
     base = f"{root.rstrip('/')}/{name}"
-    newest = spark.read.schema(POINTER).parquet(f"{base}.current").orderBy(F.desc("number")).first()
+    newest = spark.read.schema(POINTER).json(f"{base}.current").orderBy(F.desc("number")).first()
     schema = T.StructType.fromJson(json.loads(newest["schema"]))
     return spark.read.schema(schema).parquet(f"{base}.versions/{newest['version']}")

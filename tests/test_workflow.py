@@ -8,6 +8,7 @@ from parcelsight.operators import enrich
 from parcelsight.plans.star import LINE_KEY, DeliveryStar
 from parcelsight.plans.workflow import Workflow
 from parcelsight.sources import schemas
+from parcelsight.sources.scratch import staged
 
 
 @pytest.fixture(scope="module")
@@ -90,3 +91,26 @@ def test_reports(run, spark):
     # The phrases hold words of the built-in lexicon.
     sentiments = spark.read.option("header", True).csv(flow.path("review_sentiment_summary_csv"))
     assert {r["sentiment"] for r in sentiments.collect()} == {"positive", "negative"}
+
+
+def test_reports_follow_a_replaced_month(run):
+    flow, star = run
+    plain = flow.read("fact_delivery_plain")
+    month = plain.agg(F.max("month_id")).first()[0]
+    rows = staged(plain.where(F.col("month_id") == month), "month")
+    lines, gone = star.table("lineitem").count(), rows.where("delayed_flag = 1").count()
+
+    def counted():
+        return (
+            flow.read("cube").where("level_id = 7").first()["deliveries"],
+            flow.read("daily_orders").agg(F.sum("orders")).first()[0],
+            flow.read("place_rollup").where("level_id = 3").first()["deliveries"],
+        )
+
+    assert gone and counted() == (lines,) * 3
+    before = sorted(map(str, flow.read("fact_delivery").collect()))
+    flow.replace_months(rows.where("NOT delayed_flag <=> 1"))
+    assert counted() == (lines - gone,) * 3
+    flow.replace_months(rows)
+    assert counted() == (lines,) * 3
+    assert sorted(map(str, flow.read("fact_delivery").collect())) == before
