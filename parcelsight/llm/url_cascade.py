@@ -51,12 +51,13 @@ def host_and_path(url: str) -> tuple[Column, Column]:
     return F.translate(host, capitals, capitals.lower()), F.regexp_extract(rest, r"^[^?#]*", 0)
 
 
-def keys_of(host: str, path: str, lengths: list[int]) -> Column:
+def keys_of(host: str, path: str, lengths: list[int], depth: int) -> Column:
     """Every key that a rule fitting this host and path can have: the host and the domains above
-    it, each with those starts of the path that have one of the rules' lengths."""
+    it, as far as they have no more labels than a rule's host has (``depth``), each with those
+    starts of the path that have one of the rules' lengths."""
     labels = F.split(host, r"\.", -1)
     above = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
+        F.sequence(F.greatest(F.lit(1), F.size(labels) - F.lit(depth - 1)), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
     starts = F.filter(
@@ -212,11 +213,18 @@ def judge(
     out, of rules with the same key an allowing one stands. A rule fits its host and all
     subdomains, if the path starts with its own; the longest decides (of equally long ones, that
     with the longer host). A url without a fitting rule gets ``default``. A missing url, or one
-    without ``://``, has an empty host and path. Columns of these names are replaced, all others
+    without ``://``, has an empty host and path. Domains with more labels than any rule's host are not
+    looked up, so the work on a very long host grows with its length only. Columns of these names are replaced, all others
     stay. Keys are looked up in two cascades, one for the allowing rules and one for the blocking.
     """
     known = rules.where("verdict IN ('allow', 'block') AND host IS NOT NULL AND path IS NOT NULL")
-    keyed = known.select("verdict", "path", key_of(F.col("host"), F.col("path")).alias("key"))
+    keyed = known.select(
+        "verdict",
+        "path",
+        key_of(F.col("host"), F.col("path")).alias("key"),
+        F.size(F.split("host", r"\.", -1)).alias("depth"),
+    )
+    depth = keyed.agg(F.max("depth")).first()[0] or 1
     # One number for each length of a rule's path: as many as the longest path at most.
     lengths = sorted(r.n for r in keyed.select(F.length("path").alias("n")).distinct().collect())
     added = ("host", "path", "rule", "verdict")
@@ -224,9 +232,9 @@ def judge(
     host, path = host_and_path(url)
     whole = F.struct(*[F.col(f"`{c}`") for c in kept])
     rows = pages.select(whole.alias("_row"), host.alias("host"), path.alias("path"))
-    rows = rows.withColumn("_keys", F.array_distinct(keys_of("host", "path", lengths)))
+    rows = rows.withColumn("_keys", F.array_distinct(keys_of("host", "path", lengths, depth)))
     universe = rows.select("host", "path").distinct()
-    universe = universe.select(F.explode(keys_of("host", "path", lengths)).alias("key"))
+    universe = universe.select(F.explode(keys_of("host", "path", lengths, depth)).alias("key"))
     allow, block = (
         build(keyed.where(F.col("verdict") == v).select("key"), universe) for v in ("allow", "block")
     )

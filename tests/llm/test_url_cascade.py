@@ -70,3 +70,10 @@ def test_no_rules_and_no_pages(spark):
     pages = spark.createDataFrame([(1, "http://a.com/x", "p")], "page_id long, url string, verdict string")
     assert [(r.rule, r.verdict) for r in uc.judge(pages, none).collect()] == [(None, "allow")]
     assert uc.judge(pages.limit(0), uc.fixed_rules(spark)).collect() == []
+
+
+def test_very_long_hosts(spark):
+    rules = [*uc.RULES, ("block", "a.b.c.d.e", "/")]
+    urls = [f"http://{'x.' * n}{end}/fr/y" for n in (1, 100, 12_000) for end in ("net", "com", "a.b.c.d.e", "org")]
+    urls += ["http://b.c.d.e/", "http://a.b.c.d.e/", f"http://{'.' * 9_000}/", f"http://net/{'/' * 50_000}"]
+    assert judged(spark, urls, rules) == [brute(u, rules) for u in urls]
