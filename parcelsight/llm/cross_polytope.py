@@ -128,7 +128,8 @@ def search(
     """Each query's ``k`` nearest found: query_id, rank (from 1), vec_id and score (cosine).
 
     Candidates are all vectors but those with the query's own id; equal scores go to the smaller
-    id. A query with fewer candidates found has fewer rows. Rows with a missing id, or a vector
+    id. A query that finds fewer than ``k`` looks into four times as many buckets, again and again,
+    in the end into all of one table: it has fewer rows only if there are fewer candidates. Rows with a missing id, or a vector
     that is missing, empty, zero or holds missing or non-finite components, take no part. Equal
     vectors all count. Vectors of different lengths never meet. Other columns are ignored.
 
@@ -140,15 +141,10 @@ def search(
     sizes = members.groupBy(*place).agg(
         F.expr(f"CAST(1 + count(1) div {block} AS INT)").alias("blocks")
     )
+    sizes = staged(sizes, "bucket-sizes")
     cut = members.join(sizes, place).select(
         *place, "id", "vector", F.expr("CAST(pmod(xxhash64(id), blocks) AS INT)").alias("block")
     )
-    looked = sizes.select(*[F.col(c).alias(c) for c in sizes.columns])
-    asked = _hashed(usable(queries, key, vector), tables, probes).join(looked, place)
-    asked = asked.select(
-        *place, "id", "vector", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block")
-    )
-
     def work(asking: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
         if len(asking) and len(there):
@@ -172,16 +168,34 @@ def search(
         return pd.DataFrame(out)
 
     by = [*place, "block"]
-    found = (
-        asked.groupBy(*by)
-        .cogroup(cut.groupBy(*by))
-        .applyInPandas(work, "query_id long, vec_id long, score double")
-    )
-    best = F.slice(
-        F.sort_array(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k
-    )
-    ranked = found.groupBy("query_id").agg(best.alias("best"))
-    return ranked.select("query_id", F.posexplode("best").alias("at", "hit")).select(
+
+    def nearest(some: DataFrame, tables: int, probes: int) -> DataFrame:
+        """The best of each query's candidates: query_id and a sorted array."""
+        asked = _hashed(some, tables, probes).join(sizes, place)
+        asked = asked.select(
+            *place, "id", "vector", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block")
+        )
+        met = cut.where(F.col("table") < tables).groupBy(*by)
+        found = asked.groupBy(*by).cogroup(met).applyInPandas(
+            work, "query_id long, vec_id long, score double"
+        )
+        best = F.sort_array(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id")))
+        return staged(found.groupBy("query_id").agg(F.slice(best, 1, k).alias("best")), "nearest")
+
+    wanted = usable(queries, key, vector)
+    best = nearest(wanted, tables, probes)
+    width = members.agg(F.max("width")).first()[0] or 1
+    axes = 2 << max(0, (width - 1).bit_length())
+    while probes < axes:
+        done = best.where(F.size("best") >= k)
+        ids = done.select(F.col("query_id").alias("id"))
+        short = staged(wanted.join(ids, "id", "left_anti"), "short")
+        if short.isEmpty():
+            break
+        probes = min(4 * probes, axes)
+        # All buckets of one table hold all vectors.
+        best = done.union(nearest(short, 1 if probes == axes else tables, probes))
+    return best.select("query_id", F.posexplode("best").alias("at", "hit")).select(
         "query_id",
         (F.col("at") + 1).alias("rank"),
         F.col("hit.vec_id").alias("vec_id"),

@@ -84,3 +84,13 @@ def test_rows_of_one_id_are_one_candidate_less(spark):
     rows = [(0, [1.0, 0.0], "x"), (1, [1.0, 0.1], "x"), (1, [1.0, 0.1], "x"), (2, [0.9, 0.2], "x")]
     got = search(spark.createDataFrame(rows, SCHEMA).withColumn("bucket", F.lit(1)), probes=4)
     assert [v for v, _ in got[0]] == [1, 2]
+
+
+@pytest.mark.parametrize("n", [1, 2, 4, 6, 20, 130])
+def test_small_tables_give_all_there_is(spark, n):
+    drawn = np.random.default_rng(n)
+    rows = [(50 * i if i % 2 else i, drawn.normal(size=64).astype(np.float32).tolist(), "x") for i in range(n)]
+    got, expected = search(spark.createDataFrame(rows, SCHEMA)), brute(rows)
+    assert {q: len(h) for q, h in got.items()} == {q: len(h) for q, h in expected.items() if h}
+    if n <= 6:
+        assert {q: [v for v, _ in h] for q, h in got.items()} == {q: [v for v, _ in h] for q, h in expected.items() if h}
