@@ -128,23 +128,35 @@ def _telling(seen: np.ndarray, rows: np.ndarray) -> np.ndarray:
 def fit(
     texts: list[str | None], grades: np.ndarray, levels: int = GRADES, steps: int = 150,
     rate: float = 0.1, decay: float = 1e-4,
+) -> OrdinalModel:
+    """Fit weights and thresholds to texts; see ``fit_features``."""
+    parts = []
+    for at in range(0, len(texts), PART):
+        index, value, starts = features(texts[at : at + PART])
+        row = np.repeat(np.arange(at, at + len(starts) - 1, dtype=np.int32), np.diff(starts))
+        parts.append((index.astype(np.int32), value.astype(np.float32), row))
+    return fit_features(parts, grades, levels, steps, rate, decay)
+
+
+def fit_features(
+    parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], grades: np.ndarray,
+    levels: int = GRADES, steps: int = 150, rate: float = 0.1, decay: float = 1e-4,
 ) -> OrdinalModel:
     """Fit weights and thresholds by adaptive gradient steps on the whole sample.
 
-    Rows count such that all grades weigh the same. Without rows every chance is that of the
-    prior: weights 0 and thresholds at 0, 1, ... apart.
+    Each part has features, their values and the rows they belong to. Rows count such that all
+    grades weigh the same. Without rows every chance is that of the prior: weights 0 and
+    thresholds at 0, 1, ... apart.
     """
     base = np.arange(levels - 1, dtype=float) - (levels - 2) / 2
     weights = np.zeros(BUCKETS + SHAPES)
-    if not len(texts):
+    size = len(grades)
+    if not size:
         return OrdinalModel(weights, base)
-    seen, parts = np.zeros((levels, BUCKETS + SHAPES)), []
-    for at in range(0, len(texts), PART):
-        index, value, starts = features(texts[at : at + PART])
-        row = np.repeat(np.arange(at, at + len(starts) - 1, dtype=np.int32), np.diff(starts))
+    seen = np.zeros((levels, BUCKETS + SHAPES))
+    for index, _, row in parts:
         for k in range(levels):
             seen[k] += np.bincount(index[grades[row] == k], minlength=BUCKETS + SHAPES)
-        parts.append((index.astype(np.int32), value.astype(np.float32), row))
     telling = _telling(seen, np.bincount(grades, minlength=levels))
     parts = [[c[telling[p[0]]] for c in p] for p in parts]
     index, value, row = (np.concatenate(c) for c in zip(*parts, strict=True))
@@ -158,10 +170,10 @@ def fit(
     for step in range(1, steps + 1):
         steps_up = np.exp(params[n + 1 :])
         cuts = params[n] + np.concatenate(([0.0], np.cumsum(steps_up)))
-        total = np.bincount(row, params[slot] * value, minlength=len(texts))
+        total = np.bincount(row, params[slot] * value, minlength=size)
         above = 1 / (1 + np.exp(np.clip(cuts[None, :] - total[:, None], -50, 50)))
-        edges = np.concatenate((np.ones((len(texts), 1)), above, np.zeros((len(texts), 1))), axis=1)
-        at = np.arange(len(texts))
+        edges = np.concatenate((np.ones((size, 1)), above, np.zeros((size, 1))), axis=1)
+        at = np.arange(size)
         upper, lower = edges[at, grades], edges[at, grades + 1]
         chance = np.maximum(upper - lower, 1e-12)
         up, down = upper * (1 - upper), lower * (1 - lower)
@@ -190,14 +202,8 @@ def grade(quality: str = "quality", toxic: str = "toxic") -> Column:
     )
 
 
-def labelled_sample(
-    documents: DataFrame, labels: DataFrame, limit: int = SAMPLE, text: str = "text"
-) -> DataFrame:
-    """``_text`` and ``_grade`` of at most ``limit`` labelled documents, those with the least hash.
-
-    A document with several labels takes the lowest grade. Labels without doc_id or grade are
-    left out; of rows that share a doc_id, all are taken, up to the limit.
-    """
+def _labelled(documents: DataFrame, labels: DataFrame, limit: int, text: str) -> DataFrame:
+    """Texts and grades of the ``limit`` labelled ids with the least hash, and what orders them."""
     graded = (
         labels.withColumn("_grade", grade())
         .where("doc_id IS NOT NULL AND _grade IS NOT NULL")
@@ -207,16 +213,70 @@ def labelled_sample(
         .limit(limit)
     )
     picked = documents.select(F.col("doc_id"), F.col(text).alias("_text"))
-    rows = picked.join(F.broadcast(graded), "doc_id").select("doc_id", "_text", "_grade")
-    return rows.orderBy(F.xxhash64("doc_id"), "_text").limit(limit).select("_text", "_grade")
+    return picked.join(F.broadcast(graded), "doc_id").select(
+        F.xxhash64("doc_id").alias("_key"), F.xxhash64("_text").alias("_tie"), "_text", "_grade"
+    )
+
+
+def labelled_sample(
+    documents: DataFrame, labels: DataFrame, limit: int = SAMPLE, text: str = "text"
+) -> DataFrame:
+    """``_text`` and ``_grade`` of at most ``limit`` labelled documents, those with the least hash.
+
+    A document with several labels takes the lowest grade. Labels without doc_id or grade are
+    left out; of rows that share a doc_id, all are taken, up to the limit.
+    """
+    rows = _labelled(documents, labels, limit, text)
+    return rows.orderBy("_key", "_tie").limit(limit).select("_text", "_grade")
+
+
+def _sparse(rows: DataFrame) -> DataFrame:
+    """Features in place of ``_text``, computed where the texts lie: ``_words``, the hashed words
+    (at most ``BUCKETS`` numbers, however long the text), and ``_shape``."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in grouped(batch, "_text"):
+                index, value, starts = features(some.column("_text").to_pylist())
+                word = index < BUCKETS
+                words = np.diff(starts) - SHAPES
+                offsets = np.concatenate(([0], np.cumsum(words))).astype(np.int32)
+                at = np.arange(some.num_rows + 1, dtype=np.int32) * SHAPES
+                yield pa.record_batch(
+                    {
+                        "_key": some.column("_key"),
+                        "_tie": some.column("_tie"),
+                        "_grade": some.column("_grade"),
+                        "_words": pa.ListArray.from_arrays(offsets, index[word].astype(np.int32)),
+                        "_shape": pa.ListArray.from_arrays(at, value[~word].astype(np.float32)),
+                    }
+                )
+
+    return rows.mapInArrow(
+        work, "_key long, _tie long, _grade int, _words array<int>, _shape array<float>"
+    )
 
 
 def train(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE, text: str = "text") -> OrdinalModel:
-    """The model of a bounded sample of labelled documents, fitted in one task."""
+    """The model of a bounded sample of labelled documents (``labelled_sample``).
+
+    Texts become features in the tasks that read them; one task fits the sample's features.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches([*batches], schema=schema)
-        model = fit(rows.column(0).to_pylist(), rows.column(1).to_numpy().astype(np.int64))
+        parts, grades, at = [], [np.zeros(0, np.int64)], 0
+        for batch in batches:
+            rows = np.arange(at, at + batch.num_rows, dtype=np.int32)
+            grades.append(batch.column("_grade").to_numpy().astype(np.int64))
+            words = batch.column("_words")
+            index = words.flatten().to_numpy()
+            row = np.repeat(rows, np.diff(words.offsets.to_numpy()))
+            parts.append((index, np.ones(len(index), np.float32), row))
+            shapes = np.tile(np.arange(BUCKETS, BUCKETS + SHAPES, dtype=np.int32), len(rows))
+            value = batch.column("_shape").flatten().to_numpy()
+            parts.append((shapes, value, np.repeat(rows, SHAPES)))
+            at += batch.num_rows
+        model = fit_features(parts, np.concatenate(grades))
         used = np.flatnonzero(model.weights)
         columns = [[used], [model.weights[used]], [model.thresholds]]
         types = (pa.int64(), pa.float64(), pa.float64())
@@ -225,8 +285,8 @@ def train(documents: DataFrame, labels: DataFrame, limit: int = SAMPLE, text: st
             ["used", "weights", "thresholds"],
         )
 
-    schema = pa.schema([("_text", pa.string()), ("_grade", pa.int32())])
-    sample = labelled_sample(documents, labels, limit, text).coalesce(1)
+    rows = _sparse(_labelled(documents, labels, limit, text))
+    sample = rows.orderBy("_key", "_tie").limit(limit).coalesce(1)
     found = sample.mapInArrow(
         work, "used array<long>, weights array<double>, thresholds array<double>"
     ).collect()

@@ -60,3 +60,43 @@ def test_odd_rows(spark):
     prior = ordinal.train(empty_documents(spark), labels)
     assert ordinal.rate(empty_documents(spark), prior).collect() == []
     assert ordinal.rate(documents, prior).count() == len(odd_rows())
+
+
+def loss(texts, grades, weights, thresholds, decay=1e-4):
+    """Likelihood by its definition: grades weigh the same, a grade's chance is a difference of tails."""
+    total = 0.0
+    for text, grade in zip(texts, grades):
+        index, value, _ = ordinal.features([text])
+        score = float((weights[index] * value).sum())
+        above = [1.0, *[1 / (1 + np.exp(t - score)) for t in thresholds], 0.0]
+        total -= np.log(above[grade] - above[grade + 1]) / list(grades).count(grade) / len(set(grades))
+    return total + decay / 2 * float((weights**2).sum())
+
+
+def test_no_step_from_the_fit_is_better():
+    drawn = np.random.default_rng(3)
+    words = ["bad", "poor", "plain", "fine", "great"]
+    grades = drawn.integers(0, 3, 60)
+    texts = [" ".join(words[min(4, max(0, g + int(drawn.integers(0, 3))))] for _ in range(3)) for g in grades]
+    model = ordinal.fit(texts, grades, steps=6000, rate=0.01)
+    least = loss(texts, grades, model.weights, model.thresholds)
+    assert least < loss(texts, grades, np.zeros_like(model.weights), model.thresholds) - 0.1
+    used = np.flatnonzero(model.weights)
+    for _ in range(30):
+        moved = model.weights.copy()
+        moved[used] += drawn.normal(0, 0.05, len(used))
+        cuts = np.sort(model.thresholds + drawn.normal(0, 0.05, 2))
+        assert loss(texts, grades, moved, cuts) > least - 1e-5
+
+
+def test_sparse_rows_give_the_fit_of_the_texts(spark):
+    drawn = np.random.default_rng(5)
+    words = ["bad", "poor", "plain", "fine", "great", "x" * 40]
+    rows = [(i, " ".join(drawn.choice(words[g : g + 4], 5)), int(g)) for i, g in enumerate(drawn.integers(0, 3, 90))]
+    rows += [(90, None, 0), (91, "", 1)]
+    documents = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(g > 1), int(g == 0)) for i, _, g in rows], LABELS)
+    found = ordinal.train(documents, labels)
+    plain = ordinal.fit([t for _, t, _ in rows], np.array([g for _, _, g in rows]))
+    assert np.allclose(found.weights, plain.weights, atol=1e-4)
+    assert np.allclose(found.thresholds, plain.thresholds, atol=1e-4)
