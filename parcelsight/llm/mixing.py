@@ -1,13 +1,15 @@
 """Mixing documents to target weights of domains that a classifier sees in them.
 
 A classifier learned from a labelled table gives each document the chances of its domains. A
-document's expected tokens of a domain are its tokens times that chance, times its rate. Rates
-are found by Newton steps on the dual of least squares: they are never negative, and the
-expected totals of the domains come to the targets. A step needs one sum per domain.
+document's expected tokens of a domain are its tokens times that chance, times its rate. Rates are
+fitted by projected-gradient steps with momentum on the least squares of totals and targets:
+they are never negative, and the totals come as near to the targets as they can. A step needs
+one sum per domain.
 """
 
 from __future__ import annotations
 
+import math
 import warnings
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
@@ -27,7 +29,9 @@ SAMPLE = 6_000
 #: Part of a word's mean share that is added to its share in each domain.
 SMOOTHING = 0.05
 #: Steps at most, and the relative error of the totals that ends them.
-STEPS, TOLERANCE = 60, 1e-6
+STEPS, TOLERANCE = 400, 1e-6
+#: Steps after which rates are stored; between, they are computed from the steps taken since.
+STORED = 40
 #: Target weights of domains are their shares to this power, unless targets are given.
 TEMPER = 0.7
 
@@ -134,50 +138,83 @@ def with_posteriors(documents: DataFrame, model: DomainModel, text: str = "text"
     return kept.mapInArrow(work, T.StructType([*kept.schema.fields, *fields]))
 
 
-def _rates(chances: np.ndarray, gradient: np.ndarray) -> np.ndarray:
-    """Rates after the steps summed up so far, projected on those that are not negative."""
-    return np.maximum(0.0, 1.0 - chances @ gradient)
+def _moved(
+    chances: np.ndarray, rates: np.ndarray, before: np.ndarray, momenta: np.ndarray, gradient: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rates after some steps, before the last of them, and where that one began. A step goes on by
+    a part of the last move, then against the gradient, and is projected on rates that are not
+    negative."""
+    along, start = chances @ gradient.T, rates
+    for at, part in enumerate(momenta):
+        start = rates + part * (rates - before)
+        rates, before = np.maximum(0.0, start - along[:, at]), rates
+    return rates, before, start
 
 
 def _chances(batch: pa.RecordBatch, domains: int) -> np.ndarray:
     return batch.column("posteriors").flatten().to_numpy().reshape(-1, domains)
 
 
-def _sums(
-    rows: DataFrame, gradient: np.ndarray, domains: int
-) -> tuple[np.ndarray, float, np.ndarray]:
-    """Expected tokens of every domain at the present rates, half the sum of tokens times squared
-    rates, and how a step along all chances moves the totals: sums of tokens times the product of
-    two chances, over the rates above 0. One array per task is summed up."""
+def _at(batch: pa.RecordBatch, momenta: np.ndarray, gradient: np.ndarray):
+    """Chances of a batch, and its rates as ``_moved`` gives them, from stored ones (or 1)."""
+    chances = _chances(batch, gradient.shape[1])
+    held = batch.schema.names
+    one = np.ones(len(chances))
+    rates, before = (
+        batch.column(c).to_numpy() if c in held else one for c in ("_rate", "_before")
+    )
+    return chances, *_moved(chances, rates, before, momenta, gradient)
+
+
+def _totals(
+    rows: DataFrame, momenta: np.ndarray, gradient: np.ndarray
+) -> tuple[np.ndarray, float]:
+    """Expected tokens of every domain after the steps, and the sum of tokens times the squared move
+    of the last step. One array per task is summed up."""
+    domains = gradient.shape[1]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((domains + 2, domains))
+        sums = np.zeros(domains + 1)
         for batch in batches:
-            chances = _chances(batch, domains)
+            chances, rates, _, start = _at(batch, momenta, gradient)
             weight = batch.column("n_tokens").to_numpy().astype(float)
-            rates = _rates(chances, gradient)
-            sums[0] += (weight * rates) @ chances
-            sums[1, 0] += (weight * rates) @ rates / 2
-            sums[2:] += (chances * (weight * (rates > 0))[:, None]).T @ chances
-        yield pa.record_batch({"place": pa.array(range(sums.size)), "value": pa.array(sums.ravel())})
-
-    parts = rows.select("n_tokens", "posteriors").mapInArrow(work, "place long, value double")
-    found = parts.groupBy("place").agg(F.sum("value").alias("value")).collect()
-    sums = np.zeros((domains + 2) * domains)
-    for row in found:
+            sums[:-1] += (weight * rates) @ chances
+            sums[-1] += weight @ (rates - start) ** 2
+        yield pa.record_batch({"place": pa.array(range(domains + 1)), "value": pa.array(sums)})
+
+    parts = rows.mapInArrow(work, "place long, value double")
+    sums = np.zeros(domains + 1)
+    for row in parts.groupBy("place").agg(F.sum("value").alias("value")).collect():
         sums[row.place] = row.value
-    sums = sums.reshape(domains + 2, domains)
-    return sums[0], float(sums[1, 0]), sums[2:]
+    return sums[:-1], float(sums[-1])
+
+
+def _stored(rows: DataFrame, momenta: np.ndarray, gradient: np.ndarray) -> DataFrame:
+    """Rows with the rates after the steps, written to the shared folder."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, rates, before, _ = _at(batch, momenta, gradient)
+            kept = [batch.column("n_tokens"), batch.column("posteriors")]
+            yield pa.record_batch(
+                [*kept, pa.array(rates), pa.array(before)],
+                ["n_tokens", "posteriors", "_rate", "_before"],
+            )
+
+    types = "n_tokens long, posteriors array<double>, _rate double, _before double"
+    return staged(rows.mapInArrow(work, types), "rates")
 
 
 @dataclass(frozen=True)
 class Mix:
-    """Domains, targets and expected totals in tokens, the sum of the steps taken, and whether the
-    totals meet the targets within the tolerance."""
+    """Domains, targets and expected totals in tokens, whether the totals meet the targets within
+    the tolerance, and the steps taken: one row of ``gradient`` (scaled, by domain) and the part of
+    the move before that a step goes on by, for each."""
 
     domains: tuple[str, ...]
     targets: np.ndarray
     totals: np.ndarray
+    momenta: np.ndarray
     gradient: np.ndarray
     met: bool
 
@@ -199,51 +236,80 @@ def fit_rates(
 
     ``weights`` are the domains' wanted shares of ``budget`` tokens (by default, of as many as
     there are); domains without one get 0. Without ``weights``, targets are ``tempered``.
-    A step is a Newton step on the dual of the least-squares problem, which has one number for each
-    domain: the gap between totals and targets, divided by the curvature over the rates above 0.
-    Rates are what the steps' sum gives along a document's chances, and never negative; a step that
-    does not lower the dual is halved. Rows with a missing ``posteriors`` take no part. An empty
-    table has totals of 0 and keeps the starting rates. Totals that do not meet the targets when
-    the steps end are warned of, and ``met`` is false.
+    A step moves each rate against the gradient of the squared gaps of totals and targets, each over
+    its domain's tokens, and projects it on those that are not negative. In that measure a step of
+    length 1 is never too long, as a document's chances add up to 1; longer ones are taken as far as
+    the curvature along the last move allows. Steps go on by a part of the move before; where the
+    squares would rise, the step is taken again without it. All rates start at 1,
+    and targets out of reach end at the nearest totals in the same measure. A step is one pass over
+    chances, which sends one number for each domain and one more; every ``STORED`` steps rates are written.
+
+    Rows with a missing ``posteriors`` or ``n_tokens`` take no part. An empty table has totals of 0
+    and keeps the starting rates. Totals that do not meet the targets in the end are warned of, and
+    ``met`` is false.
     """
     domains = len(model.domains)
-    gradient = np.zeros(domains)
-    totals, energy, moves = _sums(rows, gradient, domains)
+    rows = rows.where("posteriors IS NOT NULL AND n_tokens IS NOT NULL").select(
+        F.col("n_tokens").cast("long"), "posteriors"
+    )
+    momenta, gradient = np.zeros(0), np.zeros((0, domains))
+    whole, _ = _totals(rows, momenta, gradient)
+    totals = last = whole
     if weights is None:
         targets = tempered(totals)
     else:
         wanted = np.array([max(0.0, float(weights.get(d, 0.0))) for d in model.domains])
         targets = wanted / max(wanted.sum(), 1e-300) * (totals.sum() if budget is None else budget)
     scale = max(float(targets.sum()), 1.0)
-    length = 1.0
+    # A domain without tokens has a chance of 0 in every row: its gap moves no rate.
+    tokens = np.where(whole > 0, whole, 1.0)
+
+    def squares(found: np.ndarray) -> float:
+        return float(((found - targets) ** 2 / tokens).sum())
+
+    weight, length, stored = 1.0, 1.0, 0
     for _ in range(steps):
-        gap = totals - targets
-        if not totals.any() or np.abs(gap).max() <= tolerance * scale or length < 1e-4:
+        if not whole.any() or np.abs(totals - targets).max() <= tolerance * scale:
+            break
+        heavier = (1 + math.sqrt(1 + 4 * weight * weight)) / 2
+        part = (weight - 1) / heavier
+        # Totals are linear in the rates, so those of the point the step starts at are known.
+        start = totals + part * (totals - last)
+        tried = np.append(momenta, part), np.vstack((gradient, length * (start - targets) / tokens))
+        found, moved = _totals(rows, tried[0][stored:], tried[1][stored:])
+        bent = float(((found - start) ** 2 / tokens).sum()) / max(moved, 1e-300)
+        if length > 1 and length * bent > 1 + 1e-9:
+            length = max(1.0, min(length / 2, 0.9 / bent))
+            continue
+        if squares(found) > squares(totals):
+            if not part:
+                break
+            weight, last = 1.0, totals
+            continue
+        (momenta, gradient), last, totals, weight = tried, totals, found, heavier
+        length = max(length, min(1.5 * length, 0.9 / max(bent, 1e-9)))
+        if np.abs(totals - last).max() <= 1e-3 * tolerance * scale:
             break
-        ridge = 1e-9 * max(float(np.trace(moves)), 1e-300) * np.eye(domains)
-        tried = gradient + length * np.linalg.solve(moves + ridge, gap)
-        found, held, moved = _sums(rows, tried, domains)
-        if held + targets @ tried < energy + targets @ gradient:
-            gradient, totals, energy, moves = tried, found, held, moved
-            length = min(1.0, 2 * length)
-        else:
-            length /= 2
+        if len(momenta) - stored >= STORED:
+            rows = _stored(rows, momenta[stored:], gradient[stored:])
+            stored = len(momenta)
     off = float(np.abs(totals - targets).max(initial=0.0))
-    met = not totals.any() or off <= tolerance * scale
+    met = not whole.any() or off <= tolerance * scale
     if not met:
         warnings.warn(
             f"rates miss their targets by up to {off:.6g} of {scale:.6g} tokens", stacklevel=2
         )
-    return Mix(model.domains, targets, totals, gradient, met)
+    return Mix(model.domains, targets, totals, momenta, gradient, met)
 
 
 def with_rates(rows: DataFrame, mix: Mix) -> DataFrame:
-    """Add ``rate`` to rows with ``posteriors``."""
-    domains = len(mix.domains)
+    """Add ``rate`` to rows with ``posteriors``: what the steps of the fit make of the rate 1."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rates = _rates(_chances(batch, domains), mix.gradient)
+            chances = _chances(batch, len(mix.domains))
+            one = np.ones(len(chances))
+            rates, _, _ = _moved(chances, one, one, mix.momenta, mix.gradient)
             yield pa.record_batch(
                 [*batch.columns, pa.array(rates)], [*batch.schema.names, "rate"]
             )

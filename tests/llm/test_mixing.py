@@ -97,3 +97,45 @@ def test_targets_that_are_not_met_are_reported(spark):
     with pytest.warns(UserWarning, match="miss their targets"):
         assert not mixing.fit_rates(rows, model_of("a", "b", "c"), steps=0).met
     assert mixing.fit_rates(rows, model_of("a", "b", "c")).met
+
+
+def brute_least_squares(chances, tokens, targets, rounds=2_000):
+    """Squares that no rates get below: coordinate steps, one rate at a time, until none moves."""
+    whole = tokens @ chances
+    rates, totals = np.ones(len(tokens)), tokens @ chances
+    for _ in range(rounds):
+        moved = 0.0
+        for i, (p, t) in enumerate(zip(chances, tokens)):
+            best = max(0.0, rates[i] - (p * (totals - targets) / whole).sum() / (t * (p * p / whole).sum()))
+            moved = max(moved, abs(best - rates[i]))
+            totals = totals + (best - rates[i]) * t * p
+            rates[i] = best
+        if moved < 1e-10:
+            break
+    return totals
+
+
+@pytest.mark.parametrize("weights", [{"b": 1.0}, {"a": 0.02, "b": 0.97, "c": 0.01}, {"a": 0.3, "b": 0.3, "c": 0.4}])
+def test_totals_are_the_nearest_that_rates_reach(spark, weights):
+    drawn = np.random.default_rng(8)
+    # No document holds a domain alone, so extreme shares are out of reach.
+    chances = 0.1 + 0.7 * drawn.dirichlet([0.3] * 3, 25)
+    tokens = drawn.integers(1, 900, 25)
+    rows = rows_of(spark, chances, tokens)
+    mix = mixing.fit_rates(rows, model_of("a", "b", "c"), weights)
+    rates = {r.doc_id: r.rate for r in mixing.with_rates(rows, mix).collect()}
+    rates = np.array([rates[i] for i in range(len(tokens))])
+    assert (rates >= 0).all() and (tokens * rates) @ chances == pytest.approx(mix.totals, rel=1e-9)
+    assert mix.totals == pytest.approx(brute_least_squares(chances, tokens, mix.targets), rel=1e-3)
+
+
+def test_stored_rates_go_on_as_computed_ones(spark, monkeypatch):
+    chances, tokens = soft(300)
+    rows, weights = rows_of(spark, chances, tokens), {"a": 0.85, "b": 0.12, "c": 0.03}
+    whole = mixing.fit_rates(rows, model_of("a", "b", "c"), weights)
+    monkeypatch.setattr(mixing, "STORED", 3)
+    parts = mixing.fit_rates(rows, model_of("a", "b", "c"), weights)
+    assert len(whole.momenta) > 6 and parts.totals == pytest.approx(whole.totals, rel=1e-9)
+    missing = rows.union(spark.sql("SELECT 9L, 5L, CAST(NULL AS array<double>)"))
+    again = mixing.fit_rates(missing, model_of("a", "b", "c"), weights)
+    assert again.totals == pytest.approx(whole.totals, rel=1e-9)
