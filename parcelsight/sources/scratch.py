@@ -47,6 +47,18 @@ def release(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing will read again: whatever was computed from them has been
+    written. Frames that are no table of the run's folder are left alone."""
+    for table in tables:
+        spark = table.sparkSession
+        folders = {name.rpartition("/")[0] for name in table.inputFiles()}
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if path.getParent().getName() == run_folder(spark).rpartition("/")[2]:
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged(df: DataFrame, name: str, records: int = 0) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written.
 
