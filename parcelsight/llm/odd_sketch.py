@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelsight.llm.common import grouped, hashed_words, lower_bytes, mix
-from parcelsight.sources.scratch import staged
+from parcelsight.sources.scratch import discard, staged
 
 #: Samples, and samples of a band. Two sets of similarity 0.8 share no band once in 10 million.
 SAMPLES, ROWS = 200, 5
@@ -29,6 +29,8 @@ MARGIN = 0.15
 #: Samples and bits of the finer sketches that nodes get which are compared with all others in
 #: their buckets, and the margin below the wanted similarity (five deviations again).
 FINE_SAMPLES, FINE_BITS, FINE_MARGIN = 1000, 8192, 0.06
+#: Parts that the links of a node are dealt into.
+SALTS = 16
 #: Documents of a bucket that are compared with each other at a time.
 BLOCK = 1024
 
@@ -219,8 +221,9 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) of every linked node: the smallest node that its links lead to.
 
     Links (a, b) are turned into stars by alternately linking the larger and the smaller
-    neighbours of every node to its smallest one. Every step is two shuffles of pairs and is
-    written to the shared folder; hot nodes are reduced before they are joined.
+    neighbours of every node to its smallest one. Every step is written to the shared folder, and
+    the one before deleted. Links of a hot node are reduced and joined in parts, by a hash of the
+    other node.
     """
 
     def star(pairs: DataFrame, larger: bool) -> DataFrame:
@@ -231,8 +234,10 @@ def components(links: DataFrame) -> DataFrame:
             )
         else:
             sides = pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        least = sides.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        met = sides.join(least, "u")
+        sides = sides.withColumn("s", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+        parts = sides.groupBy("u", "s").agg(F.min("v").alias("m"))
+        least = parts.groupBy("u").agg(F.least(F.min("m"), F.col("u")).alias("m"))
+        met = sides.join(parts.select("u", "s").join(least, "u"), ["u", "s"])
         if larger:
             out = met.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         else:
@@ -250,7 +255,8 @@ def components(links: DataFrame) -> DataFrame:
 
     pairs = staged(links.where("a <> b").select("a", "b").distinct(), "links")
     while True:
-        pairs = staged(star(star(pairs, True), False), "stars")
+        before, pairs = pairs, staged(star(star(pairs, True), False), "stars")
+        discard(before)
         if not tangled(pairs):
             break
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -263,7 +269,9 @@ def _shared_buckets(nodes: DataFrame) -> DataFrame:
     repeated = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     shared = staged(rows.join(repeated, "key"), "buckets")
     met = shared.groupBy("node").agg(F.sum(F.col("_n") - 1).alias("met"))
-    return staged(shared.join(met, "node").select("key", "node", "size", "met"), "buckets")
+    out = staged(shared.join(met, "node").select("key", "node", "size", "met"), "buckets")
+    discard(shared)
+    return out
 
 
 def _with_leaders(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -289,34 +297,52 @@ def _with_leaders(buckets: DataFrame, nodes: DataFrame, percent: int) -> DataFra
 
 
 def _mixed_buckets(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of buckets whose nodes are not all connected, with ``root`` and number of blocks."""
+    """Rows of buckets whose nodes are not all connected: with ``root``, ``block``, the number of
+    ``blocks``, and of those that meet all others (``open``). Nodes of the component that holds
+    most of a bucket are in blocks of their own, which do not meet each other."""
     rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    held = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("_n"))
+    most = F.max(F.struct("_n", "root"))
     mixed = (
-        rooted.groupBy("key")
-        .agg(F.min("root").alias("_x"), F.max("root").alias("_y"), F.count(F.lit(1)).alias("_n"))
-        .where("_x <> _y")
-        .select("key", F.expr(f"CAST(1 + _n div {BLOCK} AS INT)").alias("blocks"))
+        held.groupBy("key")
+        .agg(F.sum("_n").alias("_n"), most.alias("_most"), F.count(F.lit(1)).alias("_roots"))
+        .where("_roots > 1")
+        .select(
+            "key",
+            F.col("_most.root").alias("_top"),
+            F.expr(f"_n < {BLOCK}").alias("_small"),
+            F.expr(f"CAST(1 + (_n - _most._n) div {BLOCK} AS INT)").alias("_out"),
+            F.expr(f"CAST(1 + _most._n div {BLOCK} AS INT)").alias("_in"),
+        )
+    )
+    dealt = "xxhash64(node, 1)"
+    block = (
+        f"CAST(CASE WHEN _small THEN 0 WHEN root = _top THEN _out + pmod({dealt}, _in)"
+        f" ELSE pmod({dealt}, _out) END AS INT)"
     )
-    return rooted.join(mixed, "key").select("key", "node", "root", "size", "blocks")
+    return rooted.join(mixed, "key").select(
+        "key", "node", "root", "size", F.expr(block).alias("block"),
+        F.expr("IF(_small, 1, _out + _in)").alias("blocks"),
+        F.expr("IF(_small, 1, _out)").alias("open"),
+    )
 
 
 def _across(rows: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
     """Close pairs (a, b) of nodes in mixed buckets that are not connected yet.
 
-    Buckets are cut into blocks of about BLOCK nodes; blocks are compared with themselves and
-    with each other as arrays of fine sketches. Only close pairs become rows, each in the first
+    Buckets are cut into blocks of about BLOCK nodes; open blocks are compared with themselves and
+    with all others as arrays of fine sketches. Only close pairs become rows, each in the first
     of the bands that it shares.
     """
     least = percent / 100 - FINE_MARGIN
     blocks = (
         rows.join(fine, "node")
-        .withColumn("block", F.expr("CAST(pmod(xxhash64(node, 1), blocks) AS INT)"))
-        .groupBy("key", "block", "blocks")
+        .groupBy("key", "block", "blocks", "open")
         .agg(F.collect_list(F.struct("node", "root", "size", "bands", "sketch")).alias("held"))
     )
     alone = blocks.where("blocks = 1").select("key", "held", F.lit(None).cast(blocks.schema["held"].dataType).alias("facing"))
     many = blocks.where("blocks > 1")
-    left = many.select(
+    left = many.where("block < open").select(
         "key", F.explode(F.expr("sequence(block, blocks - 1)")).alias("other"), "held"
     )
     right = many.select("key", F.col("block").alias("other"), F.col("held").alias("facing"))
@@ -398,7 +424,9 @@ def _linked(
     def confirmed(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
         sets = staged(full_sets(texts_of(ends), width).dropDuplicates(["node"]), "sets")
-        return staged(_confirmed(pairs, sets, percent), "confirmed")
+        out = staged(_confirmed(pairs, sets, percent), "confirmed")
+        discard(sets)
+        return out
 
     links = confirmed(best)
     roots = components(links)
@@ -408,13 +436,16 @@ def _linked(
         links = links.union(confirmed(second))
         roots = components(links)
     mixed = staged(_mixed_buckets(buckets, roots), "mixed")
+    discard(buckets, close, second)
     if not mixed.isEmpty():
         fine = fine_sketches(texts_of(mixed.select("node")), width).dropDuplicates(["node"])
         fine = fine.join(nodes.select("node", "bands"), "node")
         third = staged(_across(mixed, fine, percent), "across")
+        discard(mixed)
         if not third.isEmpty():
             links = links.union(confirmed(third))
             roots = components(links)
+    discard(nodes, links)
     known = rows.select("doc_id", "row", "n_shingles", "node").join(roots, "node", "left")
     return known.select("doc_id", "row", "n_shingles", F.coalesce("root", "node").alias("root"))
 
