@@ -33,6 +33,9 @@ FINE_SAMPLES, FINE_BITS, FINE_MARGIN = 1000, 8192, 0.06
 SALTS = 16
 #: Documents of a bucket that are compared with each other at a time.
 BLOCK = 1024
+#: Rows of a staged table's file. Small tables are written by as many tasks as run at once, not by
+#: one for each shuffle partition.
+FILE_ROWS = 50_000
 
 _DRAWN = np.random.default_rng(20240229)
 _FACTORS = _DRAWN.integers(0, 1 << 31, FINE_SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -217,6 +220,47 @@ def _may_be(x: str, y: str, percent: int) -> Column:
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
+def _few(df: DataFrame, rows: int, size: int = FILE_ROWS) -> DataFrame:
+    """In partitions of about ``size`` rows, if there are ``rows`` rows, and no fewer partitions than
+    tasks run at once."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // size)))
+
+
+def _stored(df: DataFrame, name: str, rows: int, size: int = FILE_ROWS) -> DataFrame:
+    """Staged in files of about ``size`` rows, if there are ``rows`` rows."""
+    return staged(_few(df, rows, size), name)
+
+
+def _tops(links: DataFrame) -> DataFrame:
+    """(node, root) of every node b of a forest: the top of its tree.
+
+    A node is b in one link (a, b) at most, and no chain of links comes back to its start. Each
+    step doubles the links that a node has gone up.
+    """
+    rows = links.count()
+    pairs = _stored(links.select(F.col("b").alias("node"), F.col("a").alias("root")), "tops", rows)
+    while True:
+        above = pairs.select(F.col("node").alias("root"), F.col("root").alias("_above"))
+        moved = pairs.select("node", "root").join(above, "root", "left").select(
+            "node", F.coalesce("_above", "root").alias("root"), F.col("_above").isNotNull().alias("_moved")
+        )
+        before, pairs = pairs, _stored(moved, "tops", rows)
+        discard(before)
+        if pairs.where("_moved").isEmpty():
+            return pairs.select("node", "root")
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) after more links (a, b): only the roots that they connect are worked on."""
+    edges = _apart(links, roots, ("ra", "rb")).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    new = components(edges)
+    moved = new.select(F.col("node").alias("root"), F.col("root").alias("_new"))
+    old = roots.join(moved, "root", "left").select("node", F.coalesce("_new", "root").alias("root"))
+    out = _stored(old.union(new), "roots", roots.count() + new.count())
+    discard(roots, new)
+    return out
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every linked node: the smallest node that its links lead to.
 
@@ -254,22 +298,24 @@ def components(links: DataFrame) -> DataFrame:
         return not sides.where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
 
     pairs = staged(links.where("a <> b").select("a", "b").distinct(), "links")
+    rows = 2 * pairs.count()
     while True:
-        before, pairs = pairs, staged(star(star(pairs, True), False), "stars")
+        before, pairs = pairs, _stored(star(star(pairs, True), False), "stars", rows)
         discard(before)
         if not tangled(pairs):
             break
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def _shared_buckets(nodes: DataFrame) -> DataFrame:
+def _shared_buckets(nodes: DataFrame, most: int) -> DataFrame:
     """(key, node, size, met) of every band that two nodes or more share; ``met`` counts the other
     nodes in all buckets of a node: the text that others were copied from meets the most."""
     rows = nodes.select("node", F.col("n_shingles").alias("size"), F.explode("bands").alias("key"))
     repeated = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    shared = staged(rows.join(repeated, "key"), "buckets")
+    shared = _stored(rows.join(repeated, "key"), "buckets", most, 10 * FILE_ROWS)
     met = shared.groupBy("node").agg(F.sum(F.col("_n") - 1).alias("met"))
-    out = staged(shared.join(met, "node").select("key", "node", "size", "met"), "buckets")
+    rows = shared.count()
+    out = _stored(shared.join(met, "node").select("key", "node", "size", "met"), "buckets", rows, 10 * FILE_ROWS)
     discard(shared)
     return out
 
@@ -392,13 +438,13 @@ def _across(rows: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(work, "a binary, b binary").distinct()
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) that are not connected."""
+def _apart(pairs: DataFrame, roots: DataFrame, more: tuple = ()) -> DataFrame:
+    """Pairs (a, b) that are not connected, and columns ``more`` of their roots ra and rb."""
     one = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
     two = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
     met = pairs.select("a", "b").join(one, "a", "left").join(two, "b", "left")
-    met = met.where(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    met = met.withColumns({"ra": F.coalesce("ra", "a"), "rb": F.coalesce("rb", "b")}).where("ra <> rb")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *more)
 
 
 def _linked(
@@ -407,12 +453,15 @@ def _linked(
     """Per document: doc_id, ``row``, ``n_shingles`` and ``root``, which all documents of a
     component have in common; it is missing for a document that takes part in no link."""
     rows = staged(sketched(documents, width, text, row), "sketches")
-    nodes = staged(
+    most = rows.count()
+    nodes = _stored(
         rows.where("node IS NOT NULL").dropDuplicates(["node"]).select("doc_id", "node", "n_shingles", "bands", "sketch"),
         "nodes",
+        most,
     )
-    buckets = _shared_buckets(nodes)
-    close = staged(_with_leaders(buckets, nodes, percent), "close")
+    buckets = _shared_buckets(nodes, most * SAMPLES // ROWS)
+    held = buckets.count()
+    close = _stored(_with_leaders(buckets, nodes, percent), "close", held)
     best = close.groupBy("b").agg(F.max_by("a", F.struct("estimated", "a")).alias("a")).select("a", "b")
 
     def texts_of(wanted: DataFrame) -> DataFrame:
@@ -421,31 +470,35 @@ def _linked(
         picked = documents.select(F.col("doc_id").cast("long"), F.col(text).alias("text"))
         return picked.join(ids, "doc_id", "left_semi")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
+    def confirmed(pairs: DataFrame, count: int) -> DataFrame:
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-        sets = staged(full_sets(texts_of(ends), width).dropDuplicates(["node"]), "sets")
-        out = staged(_confirmed(pairs, sets, percent), "confirmed")
+        sets = _stored(full_sets(texts_of(ends), width).dropDuplicates(["node"]), "sets", min(most, 2 * count), 5_000)
+        out = _stored(_confirmed(pairs, sets, percent), "confirmed", count, 5_000)
         discard(sets)
         return out
 
-    links = confirmed(best)
-    roots = components(links)
+    # A leader meets more nodes than those that it leads, so these links are a forest.
+    links = confirmed(best, min(most, close.count()))
+    roots = _tops(links)
+    discard(links)
     # Leaders' other pairs, then all other pairs: each time those only that are still apart.
-    second = staged(_apart(close.join(best, ["a", "b"], "left_anti"), roots), "apart")
+    second = _stored(_apart(close.join(best, ["a", "b"], "left_anti"), roots), "apart", close.count())
     if not second.isEmpty():
-        links = links.union(confirmed(second))
-        roots = components(links)
-    mixed = staged(_mixed_buckets(buckets, roots), "mixed")
+        links = confirmed(second, second.count())
+        roots = _merged(roots, links)
+        discard(links)
+    mixed = _stored(_mixed_buckets(buckets, roots), "mixed", held)
     discard(buckets, close, second)
     if not mixed.isEmpty():
         fine = fine_sketches(texts_of(mixed.select("node")), width).dropDuplicates(["node"])
         fine = fine.join(nodes.select("node", "bands"), "node")
-        third = staged(_across(mixed, fine, percent), "across")
+        third = _stored(_across(mixed, fine, percent), "across", held)
         discard(mixed)
         if not third.isEmpty():
-            links = links.union(confirmed(third))
-            roots = components(links)
-    discard(nodes, links)
+            links = confirmed(third, third.count())
+            roots = _merged(roots, links)
+            discard(links)
+    discard(nodes)
     known = rows.select("doc_id", "row", "n_shingles", "node").join(roots, "node", "left")
     return known.select("doc_id", "row", "n_shingles", F.coalesce("root", "node").alias("root"))
 
@@ -464,6 +517,7 @@ def near_duplicates(
     """
     known = _linked(documents, width, percent, text)
     heads = known.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("_least"))
+    heads = _stored(heads, "heads", documents.count())
     return known.join(heads, "root", "left").select(
         "doc_id",
         "n_shingles",
@@ -484,7 +538,8 @@ def without_near_duplicates(
     """
     digest = F.unhex(F.sha2(text, 256))
     known = staged(_linked(documents, width, percent, text, digest).where("root IS NOT NULL"), "rows")
-    heads = known.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("_head"))
+    rows = known.count()
+    heads = _stored(known.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("_head")), "heads", rows)
     gone = (
         known.join(heads, "root")
         .where("doc_id <> _head.doc_id OR row <> _head.row")
@@ -494,4 +549,4 @@ def without_near_duplicates(
     apart = (F.col("doc_id") == F.col("_doc")) & (digest == F.col("_row"))
     left = documents.join(gone, apart, "left_anti").select(*documents.columns)
     named = left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", text])
-    return named.unionByName(left.where("doc_id IS NULL"))
+    return _few(named.unionByName(left.where("doc_id IS NULL")), rows, 5_000)

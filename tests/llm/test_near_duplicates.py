@@ -112,6 +112,52 @@ def test_components_of_a_long_path(spark):
         assert all(got.get(names[i], names[i]) == least for i in part)
 
 
+def test_small_tables_are_few_files_whatever_the_shuffles(spark, monkeypatch):
+    """A file for each shuffle partition and step filled the disk with a run's log, and every file
+    is one more process beside the executor."""
+    files, plain = {}, od.staged
+
+    def noted(df, name, *rest):
+        out = plain(df, name, *rest)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(od, "staged", noted)
+    most = spark.sparkContext.defaultParallelism
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 8 * most)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        rows = planted(6)
+        documents = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+        got = {r.doc_id: tuple(r)[1:] for r in od.near_duplicates(documents, 2).collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert got == brute(rows, 2, 80)
+    assert files and max(files.values()) <= most, files
+
+
+def test_later_links_join_the_trees_of_earlier_ones(spark):
+    """Tops of a forest, then links between trees, within one, to new nodes, and among these."""
+    drawn = random.Random(8)
+    names = [bytes([i]) * 16 for i in range(120)]
+    first = [(names[drawn.randrange(max(0, i - 9), i)], names[i]) for i in range(1, 90) if i % 11]
+    more = [(names[drawn.randrange(120)], names[drawn.randrange(120)]) for _ in range(9)]
+    first, more = (spark.createDataFrame(x, "a binary, b binary") for x in (first, more))
+
+    def groups(roots):
+        found = {bytes(r.node): bytes(r.root) for r in roots.collect()}
+        held = {}
+        for n in names:
+            held.setdefault(found.get(n, n), set()).add(n)
+        return sorted(map(sorted, held.values()))
+
+    tops = od._tops(first)
+    assert groups(tops) == groups(od.components(first))
+    assert groups(od._merged(tops, od.staged(more, "more"))) == groups(od.components(first.union(more)))
+
+
 def test_odd_rows(spark):
     out = od.near_duplicates(clashing(odd_documents(spark)), 2).collect()
     assert len(out) == len(odd_rows())
