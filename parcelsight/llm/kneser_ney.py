@@ -74,8 +74,26 @@ def _counts(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words[order[first]], keys[first], np.diff(np.append(first, len(keys)))[:, None]
 
 
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of each row of numbers, byte by byte, which compress well."""
+    bytes_ = np.ascontiguousarray(values, np.uint64).view(np.uint8).reshape(len(values), -1, 8)
+    return np.ascontiguousarray(bytes_[:, :, :width].transpose(0, 2, 1)).tobytes()
+
+
+def _of_planes(raw: np.ndarray, rows: int, width: int) -> np.ndarray:
+    size = len(raw) // (rows * width)
+    whole = np.zeros((rows, size, 8), np.uint8)
+    whole[:, :, :width] = raw.reshape(rows, width, size).transpose(0, 2, 1)
+    return whole.view(np.uint64)[:, :, 0]
+
+
+def _code_bits(different: int) -> int:
+    return max(1, (different - 1).bit_length())
+
+
 def _pack(words: np.ndarray, keys: np.ndarray, numbers: np.ndarray, level: int, bits: int):
-    """One row of _PARTIAL for each shard: columns one after the other, which compress well."""
+    """One row of _PARTIAL for each shard: its different words once, as steps from one to the next,
+    then the n-grams' words by their places among these, column by column."""
     shard = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), int)
     edges = np.searchsorted(shard, np.arange((1 << bits) + 1))
     out: dict[str, list] = {k: [] for k in ("level", "shard", "size", "words", "numbers")}
@@ -83,16 +101,24 @@ def _pack(words: np.ndarray, keys: np.ndarray, numbers: np.ndarray, level: int,
         a, b = edges[at], edges[at + 1]
         if a == b:
             continue
-        order = np.lexsort(words[a:b].T[::-1])
-        mine = words[a:b][order]
-        steps = np.diff(mine[:, 0], prepend=np.uint64(0))
-        mine = np.concatenate((steps[:, None], mine[:, 1:]), axis=1)
-        planes = np.ascontiguousarray(mine.T).view(np.uint8).reshape(level, b - a, 8)
-        planes = planes[:, :, :WIDTH]
+        known, codes = np.unique(words[a:b], return_inverse=True)
+        codes = codes.reshape(b - a, level).astype(np.uint64)
+        wide = _code_bits(len(known))
+        if level * wide <= 64:
+            whole = codes[:, 0]
+            for column in codes.T[1:]:
+                whole = whole << np.uint64(wide) | column
+            order = np.argsort(whole)
+        else:
+            order = np.lexsort(codes.T[::-1])
+        codes = codes[order].T
+        codes[0] = np.diff(codes[0], prepend=np.uint64(0))
+        head = np.array([len(known)], np.int64).tobytes()
+        steps = np.diff(known, prepend=np.uint64(0))[None]
         out["level"].append(level)
         out["shard"].append(at)
         out["size"].append(b - a)
-        out["words"].append(np.ascontiguousarray(planes.transpose(0, 2, 1)).tobytes())
+        out["words"].append(head + _planes(steps, WIDTH) + _planes(codes, -(-wide // 8)))
         counts = np.ascontiguousarray(numbers[a:b][order].T, np.int64)
         bytes_ = counts.view(np.uint8).reshape(len(counts), b - a, 8)
         out["numbers"].append(np.ascontiguousarray(bytes_.transpose(0, 2, 1)).tobytes())
@@ -101,10 +127,12 @@ def _pack(words: np.ndarray, keys: np.ndarray, numbers: np.ndarray, level: int,
 
 
 def _unpack(level: int, size: int, words: bytes, numbers: bytes) -> tuple[np.ndarray, np.ndarray]:
-    whole = np.zeros((level, size, 8), np.uint8)
-    whole[:, :, :WIDTH] = np.frombuffer(words, np.uint8).reshape(level, WIDTH, size).transpose(0, 2, 1)
-    mine = whole.view(np.uint64)[:, :, 0].T.copy()
-    mine[:, 0] = np.cumsum(mine[:, 0], dtype=np.uint64)
+    different = int(np.frombuffer(words, np.int64, 1)[0])
+    raw = np.frombuffer(words, np.uint8, offset=8)
+    known = np.cumsum(_of_planes(raw[: WIDTH * different], 1, WIDTH)[0], dtype=np.uint64)
+    codes = _of_planes(raw[WIDTH * different :], level, -(-_code_bits(different) // 8)).astype(np.int64)
+    codes[0] = np.cumsum(codes[0])
+    mine = known[codes.T]
     bytes_ = np.frombuffer(numbers, np.uint8).reshape(-1, 8, size)
     return mine, np.ascontiguousarray(bytes_.transpose(0, 2, 1)).view(np.int64)[:, :, 0].T
 
@@ -275,11 +303,13 @@ def _added_up(partials: DataFrame, level: int, order: int, bits: int, folder: st
             _unpack(here, int(n), w, c)
             for n, w, c in zip(frame["size"], frame["words"], frame["numbers"], strict=True)
         ]
-        wide = max(c.shape[1] for _, c in parts)
+        # Rows carry the numbers that they have something in; the others are 0.
+        wide = len(_numbers(here, order))
         words = np.concatenate([w for w, _ in parts])
-        numbers = np.concatenate(
-            [np.pad(c, ((0, 0), (0, wide - c.shape[1]))) for _, c in parts]
-        )
+        numbers, at = np.zeros((len(words), wide), np.int64), 0
+        for _, some in parts:
+            numbers[at : at + len(some), : some.shape[1]] = some
+            at += len(some)
         del parts
         words, keys, numbers = _added(words, numbers)
         if here < level:
@@ -311,15 +341,16 @@ def _added_up(partials: DataFrame, level: int, order: int, bits: int, folder: st
         if level > 1:
             own = count > 0
             words, count = words[own], count[own]
+            del keys, numbers, own
             # As a context: how often it goes on, and with how many words seen once, twice, ...
-            context = np.zeros((len(words), len(NUMBERS)), np.int64)
+            context = np.zeros((len(words), 5), np.int64)
             context[:, 1] = count
             context[:, 2], context[:, 3], context[:, 4] = count == 1, count == 2, count > 2
             out.append(_pack(*_added(words[:, :-1], context), level - 1, bits))
             # Without the first word: one for each word in front; a text's start has none.
-            suffix = np.zeros((len(words), len(NUMBERS)), np.int64)
-            suffix[:, 0] = np.where(words[:, 1] == BEFORE, count, 1) if level > 2 else 1
-            out.append(_pack(*_added(words[:, 1:], suffix), level - 1, bits))
+            del context
+            suffix = np.where(words[:, 1] == BEFORE, count, 1) if level > 2 else np.ones_like(count)
+            out.append(_pack(*_added(words[:, 1:], suffix[:, None]), level - 1, bits))
         return pa.Table.from_batches(out).to_pandas()
 
     return partials.groupBy("level", "shard").applyInPandas(work, _PARTIAL)

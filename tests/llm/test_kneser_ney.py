@@ -122,6 +122,20 @@ def test_partial_counts_are_packed_without_loss():
     assert got == sorted((*w, *n) for w, n in zip(words.tolist(), numbers.tolist()))
 
 
+def test_words_of_many_ngrams_are_sent_once():
+    """Seven random bytes for each word of each n-gram took more disk than there was."""
+    drawn = np.random.default_rng(2)
+    known = drawn.integers(0, 1 << 56, 3000, dtype=np.uint64)
+    words = known[drawn.integers(0, 3000, (60_000, 3))]
+    some, keys, sums = kn._counts(words)
+    batch = kn._pack(some, keys, sums, 3, 0)
+    sent = batch.column("words")[0].as_py()
+    assert len(sent) < 7 * len(some)
+    back, numbers = kn._unpack(3, len(some), sent, batch.column("numbers")[0].as_py())
+    got = sorted((*w, *n) for w, n in zip(back.tolist(), numbers.tolist()))
+    assert got == sorted((*w, *n) for w, n in zip(some.tolist(), sums.tolist()))
+
+
 def test_hashed_words_are_the_words(monkeypatch):
     texts = [t for _, t, *_ in odd_rows()] + ["x" * 100 + " y", "a\x1cb\x85c A", ""]
     raws = common.lower_bytes(texts)
