@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -86,36 +87,35 @@ def lloyd(
     df: DataFrame,
     columns: Sequence[str] = AGENT_FEATURES,
     k: int = 3,
-    steps: int = 100,
+    steps: int | None = None,
     name: str = "cluster",
 ) -> DataFrame:
     """k-means on scaled columns from a stated start; incomplete rows keep NULL.
 
     Centre i of k starts at (2 i - 1) / k - 1 in every scaled column. A step is one sum over the
     rows; a centre without rows stays where it is, equally near ones go to the lower number, and
-    the steps end when no centre moves by more than sums in another order may differ. Centres that
-    still move after ``steps`` steps are an error. Clusters are numbered by the final centres' order, first
-    column first. The rows are read once for each step: give a stored frame.
+    the steps end when no centre moves by more than sums in another order may differ. More rows need
+    more steps, so their number has no bound of its own; with ``steps``, centres that still move after
+    so many are an error. Centres never come back to where they have been but by rows as near to one
+    centre as to another, so the steps end there, too. Clusters are numbered by the final centres'
+    order, first column first. The rows are read once for each step: give a stored frame.
     """
     complete = df.where(_known(columns))
     values = [F.coalesce(v, F.lit(0.0)) for v in scaled(fit_moments(complete, columns))]
     names = [f"_z{i}" for i in range(len(values))]
     points = staged(complete.select(*[v.alias(n) for v, n in zip(values, names)]), "points")
     centers = [((2 * i + 1) / k - 1,) * len(values) for i in range(k)]
-    for _ in range(steps):
+    seen = [np.array(centers)]
+    settled = False
+    while not settled:
+        if steps is not None and len(seen) > steps:
+            raise RuntimeError(f"the centres still move after {steps} steps")
         nearest = _nearest([F.col(n) for n in names], centers)
         means = points.groupBy(nearest.alias("_c")).agg(*[F.avg(n).alias(n) for n in names])
         found = {r["_c"]: tuple(r[n] for n in names) for r in means.collect()}
-        moved = [found.get(i + 1, c) for i, c in enumerate(centers)]
-        settled = all(
-            abs(a - b) <= SETTLED for old, new in zip(centers, moved, strict=True)
-            for a, b in zip(old, new, strict=True)
-        )
-        centers = moved
-        if settled:
-            break
-    else:
-        raise RuntimeError(f"the centres still move after {steps} steps")
+        centers = [found.get(i + 1, c) for i, c in enumerate(centers)]
+        settled = any(np.abs(np.array(centers) - old).max(initial=0.0) <= SETTLED for old in reversed(seen))
+        seen.append(np.array(centers))
     return df.withColumn(name, F.when(_known(columns), _nearest(values, sorted(centers))))
 
 

@@ -352,6 +352,24 @@ def test_lloyd_says_when_centres_still_move(spark):
     assert cluster.lloyd(df, ["a"]).select("cluster").distinct().count() == 3
 
 
+def test_lloyd_goes_on_until_no_centre_moves(spark):
+    """More than 100 steps, which were an error before; the same clusters as by numpy."""
+    k, x = 12, np.arange(2000.0) ** 2
+    z = (x - x.mean()) / x.std(ddof=1)
+    centres, taken = (2 * np.arange(k) + 1) / k - 1, 0
+    while True:
+        label = np.abs(z[:, None] - centres).argmin(1)
+        moved = np.array([z[label == i].mean() if (label == i).any() else centres[i] for i in range(k)])
+        taken += 1
+        if np.abs(moved - centres).max() <= 1e-12:
+            break
+        centres = moved
+    assert taken > 100
+    df = spark.createDataFrame([(v,) for v in x.tolist()], "a double").coalesce(1)
+    got = sorted((r["a"], r["cluster"]) for r in cluster.lloyd(df, ["a"], k=k).collect())
+    assert [c for _, c in got] == (np.argsort(np.argsort(centres))[label] + 1).tolist()
+
+
 def test_probabilities_are_cross_fitted_and_calibrated(spark):
     """The curve comes from margins of rows that their model has not seen, and its chances hold."""
     from pyspark.ml.classification import LogisticRegressionModel
