@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from parcelsight.functions.columns import uniform
 from parcelsight.operators import bayes, classify, cluster, evaluate, prep, rules
 from parcelsight.sources.scratch import staged
 from parcelsight.sources.writers import load_models, save_models
@@ -417,3 +418,40 @@ def test_probabilities_are_cross_fitted_and_calibrated(spark):
             assert abs(chance[some].mean() - truth[some].mean()) < 0.1
     one = classify.fit_svm(df.where("id < 200"), max_iter=10, features=16, folds=1)
     assert classify.predictions(one, df.limit(5)).count() == 5
+
+
+def test_svms_fitted_side_by_side_are_linear_svcs(spark, monkeypatch):
+    """The same models as LinearSVC fits one after the other; a pass over the rows for each step of all."""
+    from pyspark.ml.classification import LinearSVC, LinearSVCModel
+
+    from parcelsight.operators import svm
+
+    drawn = np.random.default_rng(5)
+    rows = []
+    for i in range(400):
+        a, b = map(float, drawn.normal(size=2))
+        kind = "uvw"[i % 3]
+        rows.append((i, a, b, kind, "hl"[i % 2], "yes" if a * b + (kind == "u") + drawn.normal() > 0.5 else "no"))
+    rows += [(400, None, 0.0, "u", "h", "yes"), (401, 0.0, float("nan"), "u", "h", "no"), (402, 0.0, 0.0, None, "h", "no")]
+    columns = "id long, PC1 double, PC2 double, order_segment string, traffic_level string, label string"
+    df = staged(spark.createDataFrame(rows, columns).coalesce(2), "rows")
+    passes, plain = [], svm._losses
+    monkeypatch.setattr(svm, "_losses", lambda *a: passes.append(len(a[2])) or plain(*a))
+    found = []
+    searched = svm._searched
+    monkeypatch.setattr(svm, "_searched", lambda *a: found.append(searched(*a)) or found[0])
+    model = classify.fit_svm(df, key=["id"], max_iter=25, features=24)
+    assert len(passes) <= 40  # some 25 steps of four models, each with a point or more
+    final = next(s for s in model.stages if isinstance(s, LinearSVCModel))
+    design = model.stages[1].transform(model.stages[0].transform(df)).where("_known")
+    fold = F.floor(uniform(["id"], "svm-fold") * 3).cast("int")
+    design = design.select("features", F.expr("if(label = 'yes', 1D, 0D)").alias("y"), fold.alias("f")).coalesce(1).persist()
+    assert design.count() == 400
+    for at, some in enumerate([design, *[design.where(F.col("f") != i) for i in range(3)]]):
+        plainly = LinearSVC(
+            labelCol="y", regParam=1.0 / some.count(), maxIter=25, standardization=False, tol=1e-4
+        ).fit(some)
+        np.testing.assert_allclose(found[0][1][at, :-1], plainly.coefficients.toArray(), rtol=1e-5, atol=1e-6)
+        assert found[0][1][at, -1] == pytest.approx(plainly.intercept, rel=1e-5, abs=1e-6)
+    np.testing.assert_array_equal(final.coefficients.toArray(), found[0][1][0, :-1])
+    design.unpersist()
