@@ -216,3 +216,49 @@ def test_nothing_to_grow_from(spark):
     one = tree.grow(df.withColumn("y", F.lit("only")), *ARGS)
     assert list(one.trees[0].nodes) == [1] and one.trees[0].path() == [(0.0, [1])]
     assert {r.prediction for r in tree.predictions(one, df).collect()} == {"only"}
+
+
+def test_a_forest_draws_once_and_moves_rows_only_to_split_them(spark, monkeypatch):
+    """One digest for each row and tree, rows staged once for each level that is split, and none
+    staged, nor any table joined, to deal a predictor's values to other rows."""
+    rows = [(i, float(i % 17), "ab"[i % 2], "yes" if (i % 17 > 8) != (i % 5 == 0) else "no") for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, x double, c string, label string").coalesce(3)
+    made = []
+    plain = tree.staged
+
+    def watched(frame, name):
+        made.append((name, frame._jdf.queryExecution().optimizedPlan().toString()))
+        return plain(frame, name)
+
+    monkeypatch.setattr(tree, "staged", watched)
+    forest = tree.fit_forest(df, "label", ["x"], ["c"], ["id"], trees=4, tries=2, bins=None, max_depth=2)
+    frames = [plan for name, plan in made if name == "tree-rows"]
+    assert len(frames) == 2 and frames[0].count("md5(") == 4
+    for t in forest.trees:
+        for i, node in t.nodes.items():
+            if node.predictor is not None:
+                assert node.counts == [a + b for a, b in zip(t.nodes[2 * i].counts, t.nodes[2 * i + 1].counts)]
+    made.clear()
+    got = {r["predictor"]: r["importance"] for r in tree.importance(forest, df, "label", ["id"]).collect()}
+    assert not made and got["x"] > 0.1
+
+
+def test_importance_of_parts_is_that_of_all_rows(spark):
+    """Rows in one part, in many, and one row alone: every row gets the next one's values."""
+    rows = [(i, float(i % 17), "ab"[i % 2], "yes" if i % 17 > 8 else "no") for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, x double, c string, label string")
+    forest = tree.fit_forest(df, "label", ["x"], ["c"], ["id"], trees=3, tries=2, bins=None, max_depth=2)
+    found = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    try:
+        spark.conf.set(merging, "false")
+        for parts in ("1", "7", "150"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            found.append([r["importance"] for r in tree.importance(forest, df, "label", ["id"]).collect()])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset(merging)
+    assert found[0] == found[1] == found[2] and found[0][0] > 0
+    one = tree.importance(forest, df.where("id = 3"), "label", ["id"]).collect()
+    assert [r["importance"] for r in one] == [0.0, 0.0]
