@@ -40,34 +40,45 @@ BEFORE, END = np.uint64(1), np.uint64(2)
 ORDER = 3
 #: Tokens that a task counts before it sends what it has.
 HELD_TOKENS = 3_000_000
+#: Level of compression of what is sent: more takes longer than it saves.
+SQUEEZE = 3
 #: Numbers of an n-gram: own count, occurrences as a context, and how many n-grams with it as
 #: context were seen once, twice, more often; words also have the plain count of occurrences.
 NUMBERS = ("count", "total", "once", "twice", "more", "plain")
+#: Half a byte that says that a number is this or larger and kept elsewhere.
+OFTEN = 15
 #: Numbers of a word that may be larger than 32 bits hold.
 _WIDE = ("count", "total", "plain")
 _PARTIAL = "level int, shard int, size long, words binary, numbers binary"
 
 
-def key_of(words: np.ndarray) -> np.ndarray:
-    """One hash for each row of word hashes."""
-    out = words[:, 0].copy()
-    for at in range(1, words.shape[1]):
-        out = mix(out, at) + words[:, at]
-    return mix(out, words.shape[1])
+def key_of(words: np.ndarray, bits: int = 0) -> np.ndarray:
+    """One hash for each row of word hashes. Its first ``bits`` are, of three words or more, those of
+    the words before the last one: n-grams of one context lie in one shard, which sends the context
+    once. A shard holds no more of a context than different words follow it."""
+    out, size = words[:, 0].copy(), words.shape[1]
+    for at in range(1, size):
+        context = mix(out, at)
+        out = context + words[:, at]
+    out = mix(out, size)
+    if bits and size > 2:
+        rest = np.uint64((1 << 64 - bits) - 1)
+        out = context & ~rest | out & rest
+    return out
 
 
-def _added(words: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _added(words: np.ndarray, numbers: np.ndarray, bits: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different rows of words in the order of their hashes, the hashes, and summed numbers."""
-    keys = key_of(words)
+    keys = key_of(words, bits)
     order = np.argsort(keys, kind="stable")
     first = runs(keys[order])
     sums = np.add.reduceat(numbers[order], first, axis=0) if len(first) else numbers
     return words[order[first]], keys[order[first]], sums
 
 
-def _counts(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _counts(words: np.ndarray, bits: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different rows of words in the order of their hashes, the hashes, and how often they come."""
-    keys = key_of(words)
+    keys = key_of(words, bits)
     order = np.argsort(keys)
     keys = keys[order]
     first = runs(keys)
@@ -87,6 +98,16 @@ def _of_planes(raw: np.ndarray, rows: int, width: int) -> np.ndarray:
     return whole.view(np.uint64)[:, :, 0]
 
 
+def _squeezed(raw: bytes) -> bytes:
+    """Compressed, behind its length."""
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", SQUEEZE).compress(raw, asbytes=True)
+
+
+def _unsqueezed(held: bytes) -> bytes:
+    size = int.from_bytes(held[:8], "little")
+    return pa.Codec("zstd").decompress(held[8:], size, asbytes=True)
+
+
 def _code_bits(different: int) -> int:
     return max(1, (different - 1).bit_length())
 
@@ -118,15 +139,16 @@ def _pack(words: np.ndarray, keys: np.ndarray, numbers: np.ndarray, level: int,
         out["level"].append(level)
         out["shard"].append(at)
         out["size"].append(b - a)
-        out["words"].append(head + _planes(steps, WIDTH) + _planes(codes, -(-wide // 8)))
+        out["words"].append(_squeezed(head + _planes(steps, WIDTH) + _planes(codes, -(-wide // 8))))
         counts = np.ascontiguousarray(numbers[a:b][order].T, np.int64)
         bytes_ = counts.view(np.uint8).reshape(len(counts), b - a, 8)
-        out["numbers"].append(np.ascontiguousarray(bytes_.transpose(0, 2, 1)).tobytes())
+        out["numbers"].append(_squeezed(np.ascontiguousarray(bytes_.transpose(0, 2, 1)).tobytes()))
     types = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
     return pa.record_batch([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], list(out))
 
 
 def _unpack(level: int, size: int, words: bytes, numbers: bytes) -> tuple[np.ndarray, np.ndarray]:
+    words, numbers = _unsqueezed(words), _unsqueezed(numbers)
     different = int(np.frombuffer(words, np.int64, 1)[0])
     raw = np.frombuffer(words, np.uint8, offset=8)
     known = np.cumsum(_of_planes(raw[: WIDTH * different], 1, WIDTH)[0], dtype=np.uint64)
@@ -195,8 +217,10 @@ class Model:
 
     def numbers(self, level: int, shard: int, name: str, at: np.ndarray) -> np.ndarray:
         """Stored numbers at some places of a shard."""
-        out = self.column(level, shard, name)[at].astype(np.int64)
-        more = np.flatnonzero(out == 255) if level > 1 else ()
+        if level == 1:
+            return self.column(level, shard, name)[at].astype(np.int64)
+        out = (self.column(level, shard, name)[at >> 1] >> ((at & 1) << 2).astype(np.uint8) & 15).astype(np.int64)
+        more = np.flatnonzero(out == OFTEN)
         if len(more):
             place = np.searchsorted(self.column(level, shard, f"{name}-often"), at[more])
             out[more] = self.column(level, shard, f"{name}-oftener")[place]
@@ -254,11 +278,11 @@ def _counted(texts: DataFrame, order: int, bits: int) -> DataFrame:
         def flush():
             if order > 1:
                 grams = np.concatenate([_windows(w, s, order) for w, s in held])
-                some = _counts(grams)
+                some = _counts(grams, bits)
                 del grams
                 yield _pack(*some, order, bits)
                 del some
-            some, keys, sums = _counts(np.concatenate([w for w, _ in held])[:, None])
+            some, keys, sums = _counts(np.concatenate([w for w, _ in held])[:, None], bits)
             numbers = np.zeros((len(some), len(NUMBERS)), np.int64)
             numbers[:, 5] = sums[:, 0]
             if order == 1:
@@ -311,7 +335,7 @@ def _added_up(partials: DataFrame, level: int, order: int, bits: int, folder: st
             numbers[at : at + len(some), : some.shape[1]] = some
             at += len(some)
         del parts
-        words, keys, numbers = _added(words, numbers)
+        words, keys, numbers = _added(words, numbers, bits)
         if here < level:
             return _pack(words, keys, numbers, here, bits).to_pandas()
         _store(folder, f"{level}-{shard}-key", keys)
@@ -319,9 +343,10 @@ def _added_up(partials: DataFrame, level: int, order: int, bits: int, folder: st
             if level == 1:
                 _store(folder, f"{level}-{shard}-{name}", column.astype(np.uint64 if name in _WIDE else np.uint32))
                 continue
-            # Most n-grams are rare: one byte for each, and more for the others.
-            _store(folder, f"{level}-{shard}-{name}", np.minimum(column, 255).astype(np.uint8))
-            often = np.flatnonzero(column >= 255)
+            # Most n-grams are rare: half a byte for each, and more for the others.
+            small = np.minimum(np.append(column, np.zeros(len(column) % 2, np.int64)), OFTEN).astype(np.uint8)
+            _store(folder, f"{level}-{shard}-{name}", small[::2] | small[1::2] << 4)
+            often = np.flatnonzero(column >= OFTEN)
             _store(folder, f"{level}-{shard}-{name}-often", often.astype(np.uint32))
             _store(folder, f"{level}-{shard}-{name}-oftener", column[often].astype(np.uint64))
         count = numbers[:, 0]
@@ -346,11 +371,14 @@ def _added_up(partials: DataFrame, level: int, order: int, bits: int, folder: st
             context = np.zeros((len(words), 5), np.int64)
             context[:, 1] = count
             context[:, 2], context[:, 3], context[:, 4] = count == 1, count == 2, count > 2
-            out.append(_pack(*_added(words[:, :-1], context), level - 1, bits))
+            contexts, _, context = _added(words[:, :-1], context, bits)
             # Without the first word: one for each word in front; a text's start has none.
-            del context
             suffix = np.where(words[:, 1] == BEFORE, count, 1) if level > 2 else np.ones_like(count)
-            out.append(_pack(*_added(words[:, 1:], suffix[:, None]), level - 1, bits))
+            words, _, suffix = _added(words[:, 1:], suffix[:, None], bits)
+            # Both in one block, which has one list of words then.
+            context = np.concatenate((context, np.pad(suffix, ((0, 0), (0, 4)))))
+            words = np.concatenate((contexts, words))
+            out.append(_pack(*_added(words, context, bits), level - 1, bits))
         return pa.Table.from_batches(out).to_pandas()
 
     return partials.groupBy("level", "shard").applyInPandas(work, _PARTIAL)
@@ -433,7 +461,7 @@ def token_scores(
     room = model.words + 1
     plain = None
     for level in range(1, model.order + 1):
-        keys, inverse = np.unique(key_of(grams[:, model.order - level :]), return_inverse=True)
+        keys, inverse = np.unique(key_of(grams[:, model.order - level :], model.bits), return_inverse=True)
         names = ("count", "plain") if level == 1 else ("count",)
         if level < model.order:
             names += ("total", "once", "twice", "more")

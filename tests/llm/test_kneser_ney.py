@@ -185,3 +185,28 @@ def test_documents_are_scored_with_two_words_of_context(spark, tmp_path):
     assert max(held[0] for held in model.contexts[3].values()) >= 255
     out = {r.doc_id: r.score for r in queries.QUERIES["op1_kneser_ney"](spark, str(tmp_path)).collect()}
     assert out == pytest.approx({i: model.score(t) for i, t in rows}, rel=1e-9)
+
+
+def test_a_context_is_sent_once_and_a_number_takes_half_a_byte(spark):
+    """Contexts of three words lie in one shard; before, each of their n-grams could send them anew."""
+    drawn = np.random.default_rng(3)
+    words = drawn.integers(2, 40, (4000, 3)).astype(np.uint64)
+    some, keys, sums = kn._counts(words, 4)
+    shard = keys >> np.uint64(60)
+    own = kn.key_of(np.ascontiguousarray(some[:, :2]), 4) >> np.uint64(60)
+    assert (shard == own).all() and len(set(shard.tolist())) == 16
+    assert (np.diff(keys.astype(object)) > 0).all() and len(keys) == len({tuple(w) for w in words.tolist()})
+    batch = kn._pack(some, keys, sums, 3, 4)
+    assert len(b"".join(batch.column("numbers").to_pylist())) < len(some)
+    many = [(i, "".join(f"w{(i * 7 + k * k) % 23} " for k in range(60)) + "so it was " * (i % 30)) for i in range(60)]
+    model = kn.train(spark.createDataFrame(many, "doc_id long, text string"), 3)
+    brute = Brute([t for _, t in many], 3)
+    size = {kind: 0 for kind in ("key", "count")}
+    for level in (2, 3):
+        for at in range(1 << model.bits):
+            for kind in size:
+                size[kind] += model.column(level, at, kind).nbytes
+    assert 16 * size["count"] <= size["key"] + 16 * 2 * (1 << model.bits)
+    assert max(brute.counts[3].values()) > 15
+    found = {r.doc_id: r.score for r in kn.score(spark.createDataFrame(many, "doc_id long, text string"), model).collect()}
+    assert found == pytest.approx({i: brute.score(t) for i, t in many}, rel=1e-9)
